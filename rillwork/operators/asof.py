@@ -38,15 +38,17 @@ def asof_join(events: DataFrame, versions: DataFrame, key: str, event_time: Colu
     no_version = F.lit(None).cast(ve.schema["_v"].dataType)
     no_row = F.lit(None).cast(ev.schema["_row"].dataType)
 
-    # Counting comes for free with the per-slice aggregate.
-    marks = (ev.select("_key", "_slice", no_version.alias("_v"), F.lit(1).alias("_n"))
-             .unionByName(ve.select("_key", "_slice", "_v", F.lit(0).alias("_n"))))
-    per_slice = marks.groupBy("_key", "_slice").agg(F.max("_v").alias("_v"),
-                                                    F.sum("_n").alias("_n"))
-    before = (Window.partitionBy("_key").orderBy("_slice")
+    # One row per (key, slice) from each side. An event slice sorts before the versions of the same
+    # slice, so the rows before it hold the versions of earlier slices only.
+    counts = ev.groupBy("_key", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    marks = (counts.select("_key", "_slice", no_version.alias("_v"), "_n")
+             .unionByName(ve.groupBy("_key", "_slice").agg(F.max("_v").alias("_v"))
+                          .withColumn("_n", F.lit(0).cast("bigint"))))
+    before = (Window.partitionBy("_key").orderBy("_slice", F.col("_n").desc())
               .rowsBetween(Window.unboundedPreceding, -1))
-    carried = per_slice.withColumn("_v", F.last("_v", ignorenulls=True).over(before))
-    carried = carried.where(F.col("_v").isNotNull() & (F.col("_n") > 0)).select(
+    carried = marks.withColumn("_v", F.last("_v", ignorenulls=True).over(before))
+    # Keeping the count in this branch makes it the same aggregate as the one below: Spark runs it once.
+    carried = carried.where((F.col("_n") > 0) & F.col("_v").isNotNull()).select(
         "_key", F.col("_slice").alias("_t"), no_row.alias("_row"), "_v", "_slice",
         F.lit(CARRIED).alias("_kind"))
     facts = carried.unionByName(
@@ -58,7 +60,7 @@ def asof_join(events: DataFrame, versions: DataFrame, key: str, event_time: Colu
     if hot_rows is None:
         ev, facts = ev.withColumn("_part", F.lit(0)), facts.withColumn("_part", F.lit(0))
     else:
-        hot = per_slice.where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(
+        hot = counts.where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(
             skew.MAX_HOT_GROUPS)
         hot = F.broadcast(hot.select("_key", "_slice",
                                      F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts")))
