@@ -2,9 +2,30 @@
 
 from __future__ import annotations
 
+import json
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 
+# Python workers get this module's code with the task; they need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+@F.pandas_udf("string")
+def _indented(values: pd.Series) -> pd.Series:
+    """For display only, applied to the few chosen messages. Text that is no JSON stays as it is."""
+
+    def one(text):
+        try:
+            return json.dumps(json.loads(text), indent=2)
+        except (TypeError, ValueError):
+            return text
+
+    return values.map(one)
+
+
 def newest(df: DataFrame, order_col: str, n: int = 10, ties: tuple[str, ...] = ()) -> DataFrame:
     """The ``n`` newest rows; ``ties`` makes the choice deterministic."""
     return df.orderBy(F.col(order_col).desc(), *ties).limit(n)
@@ -23,5 +44,4 @@ def peek(messages: DataFrame, n: int, topics: list[str] | None = None,
     first = chosen.orderBy(*cols).limit(n)
     if not pretty:
         return first
-    shown = F.to_json(F.try_parse_json("value"), {"pretty": "true"})
-    return first.withColumn("value", F.coalesce(shown, F.col("value")))
+    return first.withColumn("value", _indented("value"))

@@ -7,17 +7,23 @@ chunk at a time; a user's rows of a micro-batch are never gathered.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rillwork.operators.aggregate import latest_profiles
 from rillwork.operators.join import PROFILE_COLS, join_profiles
 
-KIND, TIME, PART = "_kind", "_time", "_part"
+# Python workers get this module's code with the task; they need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# No leading underscores: the state worker would rename such columns.
+KIND, TIME, PART = "row_kind", "row_time", "state_part"
 UPDATE, EVENT = 0, 1
 _CELL = "micros bigint, username string, user_segment string, registration_date string"
 
@@ -72,27 +78,22 @@ class HybridProfiles(StatefulProcessor):
 class CachedProfiles(StatefulProcessor):
     """A profile is kept for ``ttl_ms`` after it was taken from the row's candidate.
 
-    ``clock='processing'`` uses the time of the micro-batch and lets the state store drop expired
-    cells by itself. ``clock='event'`` uses the rows' own times, for reproducible runs.
+    A miss is not kept. With ``cleanup`` the state store drops expired cells by itself.
     """
 
-    def __init__(self, event_cols: list[str], ttl_ms: int, clock: str):
-        self.event_cols, self.ttl_ms, self.clock = event_cols, ttl_ms, clock
+    def __init__(self, event_cols: list[str], ttl_ms: int, cleanup: bool):
+        self.event_cols, self.ttl_ms, self.cleanup = event_cols, ttl_ms, cleanup
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        native = self.ttl_ms if self.clock == "processing" else None
-        self.cell = handle.getValueState("profile", _CELL, native)
+        self.cell = handle.getValueState("profile", _CELL, self.ttl_ms if self.cleanup else None)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         ttl = self.ttl_ms * 1000
         cached = tuple(self.cell.get()) if self.cell.exists() else None
         start = cached
         for chunk in rows:
-            if self.clock == "event":
-                chunk = chunk.sort_values(TIME, kind="stable", ignore_index=True)
-                now = _micros(chunk[TIME])
-            else:
-                now = np.full(len(chunk), timerValues.getCurrentProcessingTimeInMs() * 1000)
+            chunk = chunk.sort_values(TIME, kind="stable", ignore_index=True)
+            now = _micros(chunk[TIME])
             found = chunk[PROFILE_COLS[0]].notna().to_numpy()
             candidates = chunk[PROFILE_COLS].to_numpy(dtype=object)
             profile = np.full((len(chunk), len(PROFILE_COLS)), None, dtype=object)
@@ -129,7 +130,11 @@ def _each_part(parts: int) -> Column:
 
 def enrich_hybrid_stream(events: DataFrame, updates: DataFrame, snapshot: DataFrame | None = None,
                          parts: int = 1, ttl_ms: int | None = None) -> DataFrame:
-    """Events with the latest profile update, else the snapshot's profile."""
+    """Events with the latest profile update, else the snapshot's profile.
+
+    With ``ttl_ms`` a cell that gets no update for so long is dropped; such a query works on the
+    processing-time clock and does not end under an ``availableNow`` trigger.
+    """
     nothing = {c: F.lit(None).cast("string").alias(c) for c in PROFILE_COLS}
     ev = events.select("*", *nothing.values(), F.lit(EVENT).alias(KIND),
                        F.col("event_time").alias(TIME), _part_of(events, parts).alias(PART))
@@ -145,22 +150,26 @@ def enrich_hybrid_stream(events: DataFrame, updates: DataFrame, snapshot: DataFr
         initial = base.groupBy("user_id", PART)
     return keyed.transformWithStateInPandas(
         HybridProfiles(events.columns, ttl_ms), _output_schema(events), "append",
-        "ProcessingTime", initial)
+        "ProcessingTime" if ttl_ms else "None", initial)
 
 
 def enrich_cached_stream(events: DataFrame, profiles: DataFrame, ttl_ms: int,
-                         clock: str = "processing", parts: int = 1) -> DataFrame:
+                         clock: str = "processing", parts: int = 1, cleanup: bool = False
+                         ) -> DataFrame:
     """Events with a profile that is taken from ``profiles`` and then kept for ``ttl_ms``.
 
-    A task cannot start a lookup, so the candidate is joined in first. With ``parts`` a hot user
-    has that many cache entries, each with its own expiry.
+    ``clock='processing'`` reads the time of the micro-batch, ``'event'`` the rows' own times. A
+    task cannot start a lookup, so the candidate is joined in first. With ``parts`` a hot user has
+    that many cache entries, each with its own expiry. ``cleanup`` lets the state store drop
+    expired cells; such a query does not end under an ``availableNow`` trigger.
     """
     if clock not in ("processing", "event"):
         raise ValueError(f"clock must be 'processing' or 'event', got {clock!r}")
+    now = F.current_timestamp() if clock == "processing" else F.col("event_time")
     event_cols = events.columns
     joined = join_profiles(events, latest_profiles(profiles))
-    keyed = joined.select("*", F.col("event_time").alias(TIME),
-                          _part_of(events, parts).alias(PART)).groupBy("user_id", PART)
+    keyed = joined.select("*", now.alias(TIME), _part_of(events, parts).alias(PART)).groupBy(
+        "user_id", PART)
     return keyed.transformWithStateInPandas(
-        CachedProfiles(event_cols, ttl_ms, clock), _output_schema(events), "append",
-        "ProcessingTime")
+        CachedProfiles(event_cols, ttl_ms, cleanup), _output_schema(events), "append",
+        "ProcessingTime" if cleanup else "None")

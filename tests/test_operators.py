@@ -1,0 +1,210 @@
+import itertools
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import Observation, functions as F
+
+from helpers import at, event, event_rows, messages, product_rows, profile_rows, tuples
+from rillwork.operators import (aggregate as agg, inspect as look, join as jn, lookup as lk,
+                                sqlfile)
+from rillwork.operators.asof import asof_join
+from rillwork.sources import synth
+
+SLOW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+def test_latest_ties_do_not_depend_on_order(spark):
+    rows = [("u", "b", "new", "2024-01-01", at(5)), ("u", "a", "vip", "2024-01-02", at(5)),
+            ("u", "z", "old", "2024-01-03", at(1)), ("v", "v", "new", "2024-01-01", at(0))]
+    for order in itertools.permutations(rows):
+        got = tuples(agg.latest_profiles(profile_rows(spark, list(order))).select(
+            "user_id", "username", "user_segment"))
+        assert got == [("u", "b", "new"), ("v", "v", "new")]
+
+
+def test_colwise_max_mixes_versions_latest_does_not(spark):
+    df = profile_rows(spark, [("u", "a", "vip", "2024-01-01", at(2)),
+                              ("u", "b", "new", "2024-01-02", at(1))])
+    assert tuples(agg.colwise_max(df, ["user_id"]))[0][:4] == ("u", "b", "vip", "2024-01-02")
+    assert tuples(agg.latest_profiles(df).select("username", "user_segment")) == [("a", "vip")]
+
+
+def _events(spark):
+    return event_rows(spark, [
+        ("e1", "u1", "view", "p1", at(0)), ("e2", "u1", "view", "p2", at(10)),
+        ("e3", "u2", "view", None, at(20)), ("e4", "u2", "view", "p1", at(60)),
+        ("e5", "u3", "view", "p3", at(59.999999))])
+
+
+def _products(spark):
+    return product_rows(spark, [
+        ("p1", "A", 1.0, "c", at(30)), ("p1", "B", 2.0, "c", at(59.999999)),
+        ("p1", "C", 3.0, "c", at(60)), ("p3", "D", 4.0, "c", at(60))])
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1, 1_000_000])
+def test_join_in_window(spark, hot_rows):
+    got = tuples(jn.join_in_window(_events(spark), _products(spark), hot_rows=hot_rows).select(
+        "event_id", "product_id", "product_name"))
+    assert got == sorted([
+        ("e1", "p1", "A"), ("e1", "p1", "B"),       # two updates in one window
+        ("e2", None, None), ("e3", None, None),     # unmatched events lose their product id
+        ("e4", "p1", "C"), ("e5", None, None)],     # 00:00:59.999999 and 00:01:00 differ
+        key=repr)
+
+
+def test_three_way_keeps_own_product_id(spark):
+    profiles = profile_rows(spark, [("u1", "n", "s", "d", at(0))])
+    got = jn.three_way(_events(spark), _products(spark), profiles)
+    ids = {(r.event_id, r.product_id) for r in got.collect()}
+    assert ("e2", "p2") in ids and ("e3", None) in ids
+
+
+@SLOW
+@given(seed=st.integers(0, 10_000), hot_rows=st.integers(1, 6))
+def test_split_join_equals_brute_force(spark, seed, hot_rows):
+    rnd = random.Random(seed)
+    ids = ["hot"] * 6 + ["a", "b", None]
+    ev = [(f"e{i}", "u", "t", rnd.choice(ids), at(rnd.randrange(180))) for i in range(60)]
+    pr = [(rnd.choice([x for x in ids if x]), f"n{i}", float(i), "c", at(rnd.randrange(180)))
+          for i in range(25)]
+    want = []
+    for e in ev:
+        hits = [p for p in pr if p[0] == e[3] and p[4].minute == e[4].minute]
+        want += [(e[0], p[0], p[1]) for p in hits] or [(e[0], None, None)]
+    got = jn.join_in_window(event_rows(spark, ev), product_rows(spark, pr), hot_rows=hot_rows)
+    assert tuples(got.select("event_id", "product_id", "product_name")) == sorted(want, key=repr)
+
+
+@SLOW
+@given(seed=st.integers(0, 10_000), hot_rows=st.sampled_from([None, 1, 3]))
+def test_asof_equals_brute_force(spark, seed, hot_rows):
+    rnd = random.Random(seed)
+    users = ["hot"] * 5 + ["a", "b"]
+    ev = [(f"e{i}", rnd.choice(users), "t", None, at(rnd.randrange(600))) for i in range(50)]
+    ve = [(rnd.choice(users), f"n{i:02d}", "s", "d", at(rnd.randrange(600))) for i in range(15)]
+    want = []
+    for e in ev:
+        seen = [v for v in ve if v[0] == e[1] and v[4] <= e[4]]
+        want.append((e[0], max(seen, key=lambda v: (v[4], v[1]))[1] if seen else None))
+    got = asof_join(event_rows(spark, ev), profile_rows(spark, ve), "user_id", F.col("event_time"),
+                    "timestamp", ["username"], "1 minute", hot_rows)
+    assert tuples(got.select("event_id", "username")) == sorted(want, key=repr)
+
+
+@SLOW
+@given(seed=st.integers(0, 10_000))
+def test_cache_equals_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    ev = [(f"e{i}", rnd.choice("ab"), "t", None, at(10 * rnd.randrange(120))) for i in range(60)]
+    ve = [(rnd.choice("ab"), f"n{i:02d}", "s", "d", at(rnd.randrange(900))) for i in range(8)]
+    ttl, tick = 120, 10
+    want = []
+    for user in "ab":
+        cached = None
+        for e in sorted((e for e in ev if e[1] == user), key=lambda e: (e[4], e[0])):
+            if cached is None or (e[4] - cached[0]).total_seconds() >= ttl:
+                seen = [v for v in ve if v[0] == user and v[4] <= e[4]]
+                name = max(seen, key=lambda v: (v[4], v[1]))[1] if seen else None
+                cached = (e[4], name) if name else None
+            want.append((e[0], cached[1] if cached else None))
+    got = lk.enrich_cached(event_rows(spark, ev), profile_rows(spark, ve), f"{ttl} seconds",
+                           f"{tick} seconds", "1 minute")
+    assert tuples(got.select("event_id", "username")) == sorted(want, key=repr)
+
+
+def test_hybrid_prefers_updates_over_a_newer_snapshot(spark):
+    ev = event_rows(spark, [("e1", "u", "t", None, at(5)), ("e2", "u", "t", None, at(20)),
+                            ("e3", "w", "t", None, at(20))])
+    snap = profile_rows(spark, [("u", "stored", "s", "d", at(99))])
+    ups = profile_rows(spark, [("u", "live", "s", "d", at(10))])
+    got = lk.enrich_hybrid(ev, snap, ups).select("event_id", "username")
+    assert tuples(got) == [("e1", "stored"), ("e2", "live"), ("e3", None)]
+
+
+def test_refresh_waits_for_the_next_renewal(spark):
+    ev = event_rows(spark, [("e1", "u", "t", None, at(1700)), ("e2", "u", "t", None, at(1800))])
+    ve = profile_rows(spark, [("u", "n", "s", "d", at(10))])
+    assert tuples(lk.enrich_refreshing(ev, ve).select("event_id", "username")) == [
+        ("e1", None), ("e2", "n")]
+
+
+def test_lookup_defaults_and_fallback(spark):
+    ev = event_rows(spark, [(f"e{u}", u, "t", None, at(0)) for u in "abc"])
+    one = profile_rows(spark, [("a", "A1", "s", "d", at(0))])
+    two = profile_rows(spark, [("a", "A2", "s", "d", at(9)), ("b", "B2", "s", "d", at(0))])
+    got = lk.enrich_lookup(ev, two, {"username": "unknown"}).select("user_id", "username")
+    assert tuples(got) == [("a", "A2"), ("b", "B2"), ("c", "unknown")]
+    chain = lk.fallback(ev, [("cache", one), ("table", two)], {"username": "nobody"})
+    assert tuples(chain.select("user_id", "username", "profile_source")) == [
+        ("a", "A1", "cache"), ("b", "B2", "table"), ("c", "nobody", "default")]
+
+
+def test_point_lookup_filter_reaches_the_scan(spark, tmp_path):
+    profile_rows(spark, [("a", "x", "s", "d", at(0)), ("a", "y", "s", "d", at(1)),
+                         ("b", "z", "s", "d", at(2))]).write.parquet(str(tmp_path / "t"))
+    got = lk.point_lookup(spark.read.parquet(str(tmp_path / "t")), "a")
+    assert [r.username for r in got.collect()] == ["y"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(user_id,a)" in plan
+
+
+def test_block_copy_needs_its_marker_column(spark):
+    schema = ("event_id string, user_id string, event_type string, event_timestamp timestamp, "
+              "product_id string, product_name string, price double, category string, "
+              "username string, user_segment string, registration_date string")
+    row = ("e", "u", "t", at(0), None, "n", 1.0, "c", None, "vip", "2024-01-01")
+    out = jn.enriched_records(spark.createDataFrame([row], schema)).collect()[0]
+    assert out.product_name is None and out.price is None and out.user_segment is None
+    assert out.registration_date is None and out.processing_time is not None
+
+
+def test_window_counts_sum_to_rows(spark):
+    ev = event_rows(spark, [(f"e{i}", "u", "ab"[i % 2], None, at(17 * i)) for i in range(100)])
+    counts = agg.count_by_window(ev)
+    assert counts.agg(F.sum("event_count")).collect()[0][0] == 100
+    files = sqlfile.run_single_input(spark, "event_counts.sql", ev)
+    assert tuples(files.select(counts.columns)) == tuples(counts)
+
+
+def test_missing_query_file():
+    with pytest.raises(FileNotFoundError):
+        sqlfile.read_query("absent.sql")
+
+
+def test_lookup_counters_ride_along(spark):
+    ev = event_rows(spark, [(f"e{u}", u, "t", None, at(0)) for u in "aab"])
+    one = profile_rows(spark, [("a", "A1", "s", "d", at(0))])
+    seen = Observation("lookups")
+    agg.observe_lookups(lk.enrich_static(ev, one), "username", seen).collect()
+    assert seen.get == {"lookups": 3, "hits": 2}
+
+
+def test_peek(spark):
+    df = messages(spark, [event(i) for i in range(5)]).unionByName(
+        messages(spark, ["not json"], topic="other", start=9))
+    got = look.peek(df, 2, ["user-events"]).collect()
+    assert [r.offset for r in got] == [0, 1] and "\n" in got[0].value
+    last = look.peek(df, 1, from_beginning=False).collect()
+    assert last[0].value == "not json"
+
+
+def test_synth_is_the_same_under_any_partitioning(spark):
+    for topic, key in synth.KEY_OF_TOPIC.items():
+        one = synth.synth_topic(spark, topic, 200)
+        assert tuples(one) == tuples(spark.createDataFrame(one.repartition(7).collect(), one.schema))
+        sent = synth.synth_messages(spark, topic, 200)
+        assert sent.where(F.col("key") != F.get_json_object("value", f"$.{key}")).count() == 0
+    prices = synth.synth_topic(spark, "product-updates", 500).agg(F.min("price"), F.max("price"))
+    low, high = prices.collect()[0]
+    assert 10.0 <= low < high <= 500.0
+    with pytest.raises(ValueError):
+        synth.synth_topic(spark, "x", 1)
+
+
+def test_rerun_tasks_put_rows_in_the_same_part(spark):
+    """Parts come from row content, so two runs of the same plan agree."""
+    ev, pr = _events(spark), _products(spark)
+    runs = [tuples(jn.left_join_in_window(ev.repartition(n), pr, hot_rows=1)) for n in (1, 5)]
+    assert runs[0] == runs[1]
