@@ -7,13 +7,13 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 
 # Python workers get this module's code with the task; they need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _indented(values: pd.Series) -> pd.Series:
     """For display only, applied to the few chosen messages. Text that is no JSON stays as it is."""
 

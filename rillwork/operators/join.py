@@ -38,9 +38,9 @@ def left_join_in_window(events: DataFrame, products: DataFrame, width: str = "1
     """All event columns, plus the product columns of each match under a ``_p_`` prefix.
 
     Equi-join on product id inside one tumbling window, many-to-many, NULL ids never match.
-    Batch: (id, window) groups above ``hot_rows`` on either side are split; ``None`` skips the
-    count and leaves skew to adaptive execution. Streams: each group is spread over ``spread``
-    parts and the product side is repeated that often.
+    Batch: (id, window) groups above ``hot_rows`` products are split; those of events are split by
+    adaptive execution, or if that is off, in the same way. ``None`` skips the counts. Streams:
+    each group is spread over ``spread`` parts and the product side is repeated that often.
     """
     ev, prods = _windowed(events, products, width, delay)
     keys = ["product_id", _WINDOW]
@@ -53,7 +53,8 @@ def left_join_in_window(events: DataFrame, products: DataFrame, width: str = "1
         lhs, rhs = skew.spread_left(ev, prods, 1, "product_id", events.columns)
         on = [*keys, skew.LEFT_PART]
     else:
-        hot = skew.hot_groups(ev, prods, keys, hot_rows)
+        counted = None if skew.adaptive_split(ev.sparkSession) else ev
+        hot = skew.hot_groups(counted, prods, keys, hot_rows)
         lhs, rhs = skew.split_sides(ev, prods, keys, hot, events.columns, prods.columns)
         on = [*keys, skew.LEFT_PART, skew.RIGHT_PART]
     rhs = rhs.select(*[F.col(c).alias("_k" + c) for c in on],

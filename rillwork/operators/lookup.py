@@ -90,8 +90,7 @@ def point_lookup(dim: DataFrame, user_id) -> DataFrame:
 
 
 def cache_fetches(events: DataFrame, versions: DataFrame, ttl: str, tick: str,
-                  slice_width: str = "1 day",
-                  hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
+                  slice_width: str = "1 day") -> DataFrame:
     """When a per-user cache with expiry goes to the table, and what it finds there.
 
     The clock moves in ticks (a stream's clock moves in micro-batches), so the walk through
@@ -99,8 +98,9 @@ def cache_fetches(events: DataFrame, versions: DataFrame, ttl: str, tick: str,
     A found profile is good while now < fetch time + ttl; a miss is not cached.
     """
     seen = events.select("user_id", window_of(F.col("event_time"), tick)["start"].alias("tick"))
+    # No slice can be hot here: it has at most slice_width / tick rows.
     ticks = asof_join(seen.distinct(), versions, "user_id", F.col("tick"), "timestamp",
-                      PROFILE_COLS, slice_width, hot_rows)
+                      PROFILE_COLS, slice_width, None)
     tick_row = F.struct(F.col("tick"), F.col("username").isNotNull().alias("found"),
                         F.struct(*PROFILE_COLS).alias("profile"))
     history = ticks.groupBy("user_id").agg(F.array_sort(F.collect_list(tick_row)).alias("_h"))
@@ -124,7 +124,7 @@ def enrich_cached(events: DataFrame, versions: DataFrame, ttl: str = "1 hour",
                   tick: str = "1 minute", slice_width: str = "1 day",
                   hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
     """Lookup through a per-user cache whose entries expire after ``ttl``."""
-    fetches = cache_fetches(events, versions, ttl, tick, slice_width, hot_rows)
+    fetches = cache_fetches(events, versions, ttl, tick, slice_width)
     return asof_join(events, fetches, "user_id", window_of(F.col("event_time"), tick)["start"],
                      "fetched_at", ["fetched_at", *PROFILE_COLS], slice_width, hot_rows)
 

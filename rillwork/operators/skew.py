@@ -9,11 +9,15 @@ are spread: a group that is not on it (any such group beyond the cut holds less
 Splitting a pair of sides works as a grid: rows of the left group are spread over ``n_left`` parts
 and repeated for each of ``n_right`` parts, rows of the right group the other way round. Every
 (left, right) pair then meets exactly once.
+
+With adaptive execution on, a left join needs no count of its left side: Spark splits a skewed left
+partition at run time, also one that is full of copies of a single row. It cannot split the right
+side of a left join, so that one is always counted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 HOT_ROWS = 1_000_000
 MAX_HOT_GROUPS = 100_000
@@ -23,10 +27,21 @@ NULL_PARTS = 1024
 LEFT_PART, RIGHT_PART = "_left_part", "_right_part"
 
 
-def hot_groups(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """``keys`` and the number of parts per side, for every group above ``hot_rows`` on a side."""
-    sides = (left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
-             .unionByName(right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r"))))
+def adaptive_split(spark: SparkSession) -> bool:
+    """Whether Spark itself splits a skewed left side of a left join while the query runs."""
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(str(spark.conf.get(k)).lower() == "true" for k in keys)
+
+
+def hot_groups(left: DataFrame | None, right: DataFrame, keys: list[str], hot_rows: int
+               ) -> DataFrame:
+    """``keys`` and the number of parts per side, for every group above ``hot_rows`` on a side.
+
+    Without ``left`` only the right side is counted and the left one is never spread.
+    """
+    sides = right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    if left is not None:
+        sides = sides.unionByName(left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r")))
     for k in keys:
         sides = sides.where(F.col(k).isNotNull())
     counts = sides.groupBy(*keys).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))

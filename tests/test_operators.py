@@ -43,8 +43,16 @@ def _products(spark):
         ("p1", "C", 3.0, "c", at(60)), ("p3", "D", 4.0, "c", at(60))])
 
 
+@pytest.fixture(params=["true", "false"])
+def adaptive(spark, request):
+    """Without adaptive execution the event side is counted and split as well."""
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
 @pytest.mark.parametrize("hot_rows", [None, 1, 1_000_000])
-def test_join_in_window(spark, hot_rows):
+def test_join_in_window(spark, adaptive, hot_rows):
     got = tuples(jn.join_in_window(_events(spark), _products(spark), hot_rows=hot_rows).select(
         "event_id", "product_id", "product_name"))
     assert got == sorted([
@@ -63,7 +71,7 @@ def test_three_way_keeps_own_product_id(spark):
 
 @SLOW
 @given(seed=st.integers(0, 10_000), hot_rows=st.integers(1, 6))
-def test_split_join_equals_brute_force(spark, seed, hot_rows):
+def test_split_join_equals_brute_force(spark, adaptive, seed, hot_rows):
     rnd = random.Random(seed)
     ids = ["hot"] * 6 + ["a", "b", None]
     ev = [(f"e{i}", "u", "t", rnd.choice(ids), at(rnd.randrange(180))) for i in range(60)]
@@ -203,6 +211,34 @@ def test_synth_is_the_same_under_any_partitioning(spark):
         synth.synth_topic(spark, "x", 1)
 
 
+def test_adaptive_execution_splits_a_hot_product(spark, tmp_path):
+    """Half of all events name one product; its reducer's rows are shared among several tasks."""
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+             "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        n = 40_000
+        ids = F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 97))
+        ev = spark.range(0, n, 1, 8).select(
+            F.col("id").cast("string").alias("event_id"), F.lit("u").alias("user_id"),
+            F.lit("t").alias("event_type"), ids.alias("product_id"),
+            F.lit(at(5)).alias("event_time"))
+        pr = product_rows(spark, [("hot", "n", 1.0, "c", at(1)), ("p1", "n", 1.0, "c", at(2))])
+        joined = jn.join_in_window(ev, pr)
+        joined.write.parquet(str(tmp_path / "out"))
+        rows = joined.collect()
+        assert len(rows) == n and sum(r.product_id == "hot" for r in rows) == n // 2
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_rerun_tasks_put_rows_in_the_same_part(spark):
     """Parts come from row content, so two runs of the same plan agree."""
     ev, pr = _events(spark), _products(spark)
