@@ -268,3 +268,11 @@ ORACLE: dict[str, str] = {
     "sql_file_join": _with("ev", "pu") + _join("1 hour"),
     "sql_file_three_way": _three_way(_latest("st"), "st"),
 }
+
+# The streams give the results of their batch counterparts.
+ORACLE |= {
+    "stream_events_per_minute": ORACLE["events_per_minute"],
+    "stream_enriched_events": ORACLE["enriched_events"],
+    "stream_hybrid": ORACLE["hybrid_asof"],
+    "stream_external_lookup": ORACLE["lookup_external"],
+}
