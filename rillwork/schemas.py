@@ -72,8 +72,8 @@ def _cast(col: Column, source: T.DataType, target: T.DataType) -> Column:
 def conform(df: DataFrame, schema: T.StructType, on_null: str = "fail") -> DataFrame:
     """Select, cast and order columns as declared.
 
-    Spark does not enforce nullability on write, so a NULL in a REQUIRED column raises here
-    (``on_null='fail'``), drops out through :func:`violations` (``'keep'`` leaves it in place).
+    Spark does not enforce nullability on write, so a NULL in a REQUIRED column raises here;
+    ``on_null='keep'`` leaves it in place, for :func:`violations` to name it.
     """
     source = {f.name: f.dataType for f in df.schema.fields}
     cols = []
