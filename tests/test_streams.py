@@ -208,8 +208,8 @@ def test_rejects_reach_the_quarantine(spark, tmp_path):
 def test_append_to_catalog_tables(spark, sf_dir):
     rows = ps.generic_events(src.event_messages(spark, sf_dir))
     for _ in range(2):
-        sinks.append(rows, "raw_events_flex", S.GENERIC, partition_by="event_time")
-    got = tables.table_scan(spark, "raw_events_flex")
+        sinks.append(rows, "raw_payloads", S.GENERIC, partition_by="event_time")
+    got = tables.table_scan(spark, "raw_payloads")
     assert got.count() == 2 * rows.count()
     day = got.where("event_time_day = '2024-01-02'")
     assert "event_time_day" in day._jdf.queryExecution().executedPlan().toString().split(
