@@ -4,8 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from rillwork.plans.catalog import BATCH
+from rillwork.plans.oracle import ORACLE
+from rillwork.plans.replays import REPLAYS
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = {**BATCH, **REPLAYS}
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +26,10 @@ def test_no_stray_oracle():
     assert set(ORACLE) == set(QUERIES)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
 def test_entry_is_lazy_and_has_rows(spark):
     df = entry.entry(spark)
     assert "username" in df.columns
