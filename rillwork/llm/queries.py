@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillwork.llm import language, lines, mixing, sentencepieces, simhash
-from rillwork.llm.common import read
+from rillwork.llm import (chunks, credentials, extract, language, lines, mixing, multiindex, quality,
+                          sentencepieces, simhash)
+from rillwork.llm.common import WORD, read
 from rillwork.session import apply_defaults
 
 
@@ -14,6 +15,19 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(apply_defaults(spark), sf_dir, "documents").select("doc_id", "text")
+    names = ("n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_lines "
+             "n_failed_lines line_chars kept_chars").split()
+    return quality.assess(docs).select("doc_id", *[f"quality.{n}" for n in names])
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(apply_defaults(spark), sf_dir, "documents")
+    return chunks.repeated_spans(docs).select("doc_id", "start", "end", "n_chunks", "n_dropped",
+                                              "first_doc")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(apply_defaults(spark), sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.identify(docs, to="found")
@@ -23,6 +37,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.rejected").alias("rejected"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(apply_defaults(spark), sf_dir, "documents").select("doc_id", "text")
+    found = credentials.scan(docs).select("doc_id", "spans")
+    base = F.filter("spans", lambda s: s["kind"] != credentials.FORMAT)
+    counts = [F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+              for kind in credentials.KINDS]
+    return found.select("doc_id", *counts, F.sha2(credentials.span_text(base), 256).alias("base_sha256"),
+                        credentials.span_text(F.col("spans")).alias("spans"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(apply_defaults(spark), sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped",
@@ -54,10 +78,65 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     (F.col("size") * F.col("times")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op3_language_id, op5_line_dedup, op6_simhash, op7_sentencepiece,
-                                   op8_mixing)}
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(apply_defaults(spark), sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract(pages).select("page_id", "url", "text",
+                                         F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.neighbours(read(apply_defaults(spark), sf_dir, "embeddings"), every=100)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_language_id, op4_secret_scan, op5_line_dedup, op6_simhash, op7_sentencepiece,
+                                   op8_mixing, op9_html_extraction, op10_ann)}
 
 ORACLE: dict[str, str] = {
+    "op1_quality_rules": f"""
+WITH words AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
+twice AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM windows)
+  WHERE n >= 2),
+repeated AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+  FROM twice, (VALUES (0), (1), (2)) AS v(k) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, line, regexp_extract_all(line, '{WORD}') AS w
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words)
+  WHERE regexp_matches(line, '{WORD}')),
+judged AS (
+  SELECT doc_id, line,
+         NOT regexp_matches(line, '{quality.SENTENCE_END.replace("'", "''")}')
+         OR (seps >= 3 AND seps * 5 >= len(w))
+         OR len([x FOR x IN w IF regexp_matches(x, '[{quality.SYMBOLS}]')]) * 10 >= len(w) * 3
+         OR length(regexp_replace(line, '\\P{{Lu}}+', '', 'g')) * 5 > length(line) * 2
+         OR regexp_matches(line, '{quality.BOILERPLATE}') AS fails
+  FROM (SELECT *, len([x FOR x IN w IF length(x) = 1 AND contains('{quality.SEPARATORS}', x)]) AS seps
+        FROM lines)),
+per_doc AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
+         count(*) FILTER (WHERE fails) AS n_failed_lines, sum(length(line))::BIGINT AS line_chars,
+         coalesce(sum(length(line)) FILTER (WHERE NOT fails), 0)::BIGINT AS kept_chars
+  FROM judged GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^{quality.SYMBOLS}]+', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM words LEFT JOIN repeated USING (doc_id)),
+joined AS (
+  SELECT b.*, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(n_failed_lines, 0)::BIGINT AS n_failed_lines,
+         coalesce(line_chars, 0)::BIGINT AS line_chars, coalesce(kept_chars, 0)::BIGINT AS kept_chars,
+         n_words < {quality.LEAST_WORDS} OR n_repeat_words * 100 > n_words * {quality.MOST_REPEATED}
+           AS base_failed
+  FROM base b LEFT JOIN per_doc USING (doc_id))
+SELECT *, NOT base_failed AND kept_chars * 100 >= line_chars * {quality.LEAST_KEPT} AS kept
+FROM joined""",
     "op5_line_dedup": """
 WITH split AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
