@@ -15,19 +15,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from rillwork.llm import language, lines, mixing, sentencepieces, simhash  # noqa: E402
-from rillwork.llm.common import quoted, read, written  # noqa: E402
+from rillwork.llm.common import prepared, quoted, read, written  # noqa: E402
 from rillwork.llm.queries import model_path, token_digests  # noqa: E402
-from rillwork.session import apply_defaults  # noqa: E402
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no learned language explains go."""
+    prepared(spark)
     found = language.identify(docs, to="__language")
     return found.where("not __language.rejected").select(*map(quoted, docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Frequent lines go from all documents but the one with the largest id."""
+    prepared(spark)
     cleaned = lines.dedup_lines(docs).withColumn("text", F.col("kept"))
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast("bigint"))
@@ -36,16 +37,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest id."""
+    prepared(spark)
     return simhash.representatives(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: none, one or two rows each."""
+    prepared(spark)
     return mixing.mix(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document of the mix, and digests of ids and decoded text."""
+    prepared(spark)
     ids = sentencepieces.encode_documents(docs, model_path()).select("doc_id", "lang", "source", "ids")
     both = sentencepieces.decode_documents(ids, model_path())
     return both.select("doc_id", "lang", "source", "ids", *token_digests(both))
@@ -59,7 +63,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(apply_defaults(spark), sf_dir, "documents")
+    docs = read(prepared(spark), sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:

@@ -8,13 +8,20 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rillwork.session import shared_dir
+from rillwork.session import apply_defaults, shared_dir
 
 #: ASCII white space that separates words, and what is left: a word.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
-#: Rows of a batch that an operator works on at once, so that its lists stay small.
-SLICE = 256
+#: Rows that an operator works on at once, so that its lists stay small, and rows of an Arrow batch.
+SLICE, BATCH = 64, 512
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings that the operators rely on. Texts are long: small Arrow batches keep
+    executors and Python workers within little memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+    return apply_defaults(spark)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

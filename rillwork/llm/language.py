@@ -29,7 +29,7 @@ PIECES, PIECE_CHARS, HELD = 320, 4096, 4
 #: Equal shares of a character that no model has seen.
 ALPHABET = 4096
 #: A task's word table starts anew beyond so many words; longer words are not kept.
-TABLE_ROWS, KEPT_CHARS = 300_000, 40
+TABLE_ROWS, KEPT_CHARS = 100_000, 40
 #: Rejection: so many standard errors, plus so many nats, above what calibration texts of the language have.
 DEVIATIONS, SLACK = 6.0, 1.5
 UNKNOWN = "und"
@@ -177,6 +177,9 @@ class Scorer:
         chars = np.array([sum(map(len, w)) + len(w) for w in split], np.int64)
         total = np.array([self.costs[list(map(self.rows.__getitem__, w))].sum(0) if w
                           else np.zeros(self.costs.shape[1]) for w in split])
+        for w in new:
+            if len(w) > KEPT_CHARS:
+                del self.rows[w]
         return chars, total.reshape(len(split), -1) / np.maximum(chars, 1)[:, None]
 
 

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillwork.llm import (chunks, credentials, extract, language, lines, mixing, multiindex, quality,
                           sentencepieces, simhash)
-from rillwork.llm.common import WORD, read
-from rillwork.session import apply_defaults
+from rillwork.llm.common import WORD, prepared, read
 
 
 def model_path() -> str:
@@ -16,20 +15,20 @@ def model_path() -> str:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(apply_defaults(spark), sf_dir, "documents").select("doc_id", "text")
+    docs = read(prepared(spark), sf_dir, "documents").select("doc_id", "text")
     names = ("n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_lines "
              "n_failed_lines line_chars kept_chars").split()
     return quality.assess(docs).select("doc_id", *[f"quality.{n}" for n in names])
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(apply_defaults(spark), sf_dir, "documents")
+    docs = read(prepared(spark), sf_dir, "documents")
     return chunks.repeated_spans(docs).select("doc_id", "start", "end", "n_chunks", "n_dropped",
                                               "first_doc")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(apply_defaults(spark), sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = read(prepared(spark), sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.identify(docs, to="found")
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"),
                         F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"),
@@ -38,7 +37,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(apply_defaults(spark), sf_dir, "documents").select("doc_id", "text")
+    docs = read(prepared(spark), sf_dir, "documents").select("doc_id", "text")
     found = credentials.scan(docs).select("doc_id", "spans")
     base = F.filter("spans", lambda s: s["kind"] != credentials.FORMAT)
     counts = [F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
@@ -48,13 +47,13 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(apply_defaults(spark), sf_dir, "documents").select("doc_id", "text")
+    docs = read(prepared(spark), sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped",
                                           F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(apply_defaults(spark), sf_dir, "documents")
+    docs = read(prepared(spark), sf_dir, "documents")
     return simhash.near_duplicates(docs).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -66,26 +65,26 @@ def token_digests(df: DataFrame) -> list:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(apply_defaults(spark), sf_dir, "documents").select("doc_id", "text")
+    docs = read(prepared(spark), sf_dir, "documents").select("doc_id", "text")
     ids = sentencepieces.encode_documents(docs, model_path()).select("doc_id", "ids")
     both = sentencepieces.decode_documents(ids, model_path())
     return both.select("doc_id", *token_digests(both))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(apply_defaults(spark), sf_dir, "documents").select("doc_id", "text", "source")
+    docs = read(prepared(spark), sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.plan(docs).select("doc_id", "source", "size", "source_size", "target",
                                     (F.col("size") * F.col("times")).alias("taken"))
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(apply_defaults(spark), sf_dir, "pages").select("page_id", "url", "html")
+    pages = read(prepared(spark), sf_dir, "pages").select("page_id", "url", "html")
     return extract.extract(pages).select("page_id", "url", "text",
                                          F.length("text").cast("bigint").alias("n_chars"))
 
 
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return multiindex.neighbours(read(apply_defaults(spark), sf_dir, "embeddings"), every=100)
+    return multiindex.neighbours(read(prepared(spark), sf_dir, "embeddings"), every=100)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_language_id, op4_secret_scan, op5_line_dedup, op6_simhash, op7_sentencepiece,

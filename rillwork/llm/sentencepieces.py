@@ -21,7 +21,7 @@ MARK = "▁"
 #: A marked word; the text is given a leading space, as the model's dummy prefix does.
 CHUNK = re.compile(f"[ {MARK}]+[^ {MARK}]*")
 #: Entries of a task's chunk table; it starts anew beyond that. Longer words are not kept.
-TABLE_ROWS, KEPT_CHARS = 200_000, 64
+TABLE_ROWS, KEPT_CHARS = 100_000, 64
 
 
 class ChunkTable:
