@@ -7,10 +7,15 @@ from __future__ import annotations
 
 import argparse
 import importlib
+from datetime import timedelta
+
+from pyspark.sql import SparkSession
 
 from rillwork.plans.jobs import BranchedJob, MultiTopicJob, TemplateJob, wait
 from rillwork.session import build_session
+from rillwork.sources.tables import table_scan, to_profile_rows
 from rillwork.sources.topics import REPLAY_FORMATS, replay_stream
+from rillwork.streaming.lookups import CachedLookup, ExternalLookup
 
 COMMON = ["bootstrap_servers", "consumer_group_id", "kafka_read_offset", "quarantine"]
 JOBS = {
@@ -38,8 +43,14 @@ def parser() -> argparse.ArgumentParser:
         trigger.add_argument("--available-now", action="store_true",
                              help="stop after what is there now")
         p.add_argument("--no-wait", action="store_true", help="return after the start")
-    sub.choices["branched"].add_argument("--one-scan", action="store_true")
-    sub.choices["multi"].add_argument("--refresh-seconds", type=float)
+    sub.choices["branched"].add_argument("--separate-scans", action="store_true",
+                                         help="a query of its own for each table")
+    multi = sub.choices["multi"]
+    multi.add_argument("--refresh-seconds", type=float)
+    multi.add_argument("--spread", type=int, help="parts per product and per user")
+    multi.add_argument("--lookup", choices=["external", "cached"],
+                       help="look profiles up per micro-batch instead of once")
+    multi.add_argument("--ttl-seconds", type=float, default=3600.0, help="expiry of --lookup cached")
     sub.choices["template"].add_argument("--transform", metavar="MODULE:FUNCTION",
                                          help="function from a Column to a Column")
     return top
@@ -55,15 +66,28 @@ def job_from(args: argparse.Namespace):
     if args.replay:
         folder, fmt = args.replay.rstrip("/"), args.replay_format
         given["open_topic"] = lambda spark, topic: replay_stream(spark, f"{folder}/{topic}", fmt)
-    for extra in ("one_scan", "refresh_seconds"):
-        if getattr(args, extra, None):
+    for extra in ("refresh_seconds", "spread"):
+        if getattr(args, extra, None) is not None:
             given[extra] = getattr(args, extra)
+    if getattr(args, "separate_scans", False):
+        given["one_scan"] = False
+    if getattr(args, "lookup", None):
+        given["lookup"] = lookup_from(args)
     if getattr(args, "transform", None):
         module, _, name = args.transform.partition(":")
         given["transform"] = getattr(importlib.import_module(module), name)
     return cls(checkpoint=args.checkpoint, **given)
 
 
+def lookup_from(args: argparse.Namespace):
+    def load():
+        return to_profile_rows(table_scan(SparkSession.active(), args.user_profiles_table)).rows
+
+    if args.lookup == "external":
+        return ExternalLookup(load)
+    return CachedLookup(load, timedelta(seconds=args.ttl_seconds), f"{args.checkpoint}/cache")
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     running = job_from(args).start(build_session(f"rillwork-{args.job}"))

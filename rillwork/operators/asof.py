@@ -1,13 +1,14 @@
 """As-of lookup: each event gets the latest version of its key known at the event's time.
 
 Time is cut into slices, and the work is one window function per (key, slice) instead of one per
-key, so a key with a third of all rows is spread over all its slices:
+key, so a key with a third of all rows is spread over all its slices. Slices that hold more than
+``hot_rows`` events and versions are cut into finer ones by time, so versions are never repeated:
 
-1. per (key, slice), the last version inside the slice (partially aggregated);
-2. per key, the last version before each slice, carried over the aggregated rows. Such a group has
+1. versions of one key and time are reduced to the last of them;
+2. per (key, slice), the last version inside the slice (partially aggregated);
+3. per key, the last version before each slice, carried over the aggregated rows. Such a group has
    one row per slice, however many events there are;
-3. events, versions and carried versions meet in (key, slice, part). Hot slices are split further:
-   their events are spread over parts and the versions repeated for each part.
+4. events, versions and carried versions meet in (key, slice).
 """
 
 from __future__ import annotations
@@ -30,49 +31,51 @@ def asof_join(events: DataFrame, versions: DataFrame, key: str, event_time: Colu
     """
     row = F.struct(*[F.col(c) for c in events.columns])
     ev = events.select(F.col(key).alias("_key"), event_time.alias("_t"), row.alias("_row"))
-    best = F.struct(F.col(version_time).alias("t"), *cols)
-    ve = versions.select(F.col(key).alias("_key"), F.col(version_time).alias("_t"),
-                         best.alias("_v"))
-    with_slice = lambda df: df.withColumn("_slice", window_of(F.col("_t"), slice_width)["start"])
-    ev, ve = with_slice(ev), with_slice(ve)
+    ve = (versions.groupBy(F.col(key).alias("_key"), F.col(version_time).alias("_t"))
+          .agg(F.max(F.struct(*cols)).alias("_v"))
+          .select("_key", "_t", F.struct(F.col("_t").alias("t"), "_v.*").alias("_v")))
     no_version = F.lit(None).cast(ve.schema["_v"].dataType)
     no_row = F.lit(None).cast(ev.schema["_row"].dataType)
+    ev, ve = _sliced(ev, ve, slice_width, hot_rows)
 
     # One row per (key, slice) from each side. An event slice sorts before the versions of the same
     # slice, so the rows before it hold the versions of earlier slices only.
-    counts = ev.groupBy("_key", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    marks = (counts.select("_key", "_slice", no_version.alias("_v"), "_n")
-             .unionByName(ve.groupBy("_key", "_slice").agg(F.max("_v").alias("_v"))
-                          .withColumn("_n", F.lit(0).cast("bigint"))))
-    before = (Window.partitionBy("_key").orderBy("_slice", F.col("_n").desc())
+    unit = ["_key", "_slice", "_fine"]
+    marks = (ev.select(*unit).distinct().select(*unit, no_version.alias("_v"), F.lit(1).alias("_own"))
+             .unionByName(ve.groupBy(*unit).agg(F.max("_v").alias("_v")).withColumn("_own", F.lit(0))))
+    before = (Window.partitionBy("_key").orderBy("_slice", "_fine", F.col("_own").desc())
               .rowsBetween(Window.unboundedPreceding, -1))
     carried = marks.withColumn("_v", F.last("_v", ignorenulls=True).over(before))
-    # Keeping the count in this branch makes it the same aggregate as the one below: Spark runs it once.
-    carried = carried.where((F.col("_n") > 0) & F.col("_v").isNotNull()).select(
-        "_key", F.col("_slice").alias("_t"), no_row.alias("_row"), "_v", "_slice",
-        F.lit(CARRIED).alias("_kind"))
-    facts = carried.unionByName(
-        ve.select("_key", "_t", no_row.alias("_row"), "_v", "_slice",
-                  F.lit(VERSION).alias("_kind")))
-    ev = ev.select("_key", "_t", "_row", no_version.alias("_v"), "_slice",
-                   F.lit(EVENT).alias("_kind"))
+    carried = carried.where((F.col("_own") == 1) & F.col("_v").isNotNull()).select(
+        *unit, F.col("_slice").alias("_t"), no_row.alias("_row"), "_v", F.lit(CARRIED).alias("_kind"))
+    facts = carried.unionByName(ve.select(*unit, "_t", no_row.alias("_row"), "_v",
+                                          F.lit(VERSION).alias("_kind")))
+    ev = ev.select(*unit, "_t", "_row", no_version.alias("_v"), F.lit(EVENT).alias("_kind"))
 
-    if hot_rows is None:
-        ev, facts = ev.withColumn("_part", F.lit(0)), facts.withColumn("_part", F.lit(0))
-    else:
-        hot = counts.where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(
-            skew.MAX_HOT_GROUPS)
-        hot = F.broadcast(hot.select("_key", "_slice",
-                                     F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts")))
-        parts = F.coalesce("_parts", F.lit(1))
-        ev = ev.join(hot, ["_key", "_slice"], "left").withColumn(
-            "_part", F.pmod(F.xxhash64("_row"), parts).cast("int")).drop("_parts")
-        facts = facts.join(hot, ["_key", "_slice"], "left").withColumn(
-            "_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
-
-    so_far = (Window.partitionBy("_key", "_slice", "_part").orderBy("_t", "_kind", "_v")
+    so_far = (Window.partitionBy(*unit).orderBy("_kind_first", "_t", "_kind", "_v")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    known = ev.unionByName(facts).withColumn("_v", F.last("_v", ignorenulls=True).over(so_far))
+    # A carried version comes before all that happens in its slice.
+    known = (ev.unionByName(facts).withColumn("_kind_first", F.col("_kind") != CARRIED)
+             .withColumn("_v", F.last("_v", ignorenulls=True).over(so_far)))
     return known.where(F.col("_kind") == EVENT).select(
         *[F.col(f"_row.{c}").alias(c) for c in events.columns],
         *[F.col(f"_v.{c}").alias(c) for c in cols])
+
+
+def _sliced(ev: DataFrame, ve: DataFrame, width: str, hot_rows: int | None
+            ) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their slice and, in hot slices, the finer cut within it."""
+    span = window_of(F.col("_t"), width)
+    start, end = F.unix_micros(span["start"]), F.unix_micros(span["end"])
+    ev, ve = (df.withColumns({"_slice": span["start"], "_width": end - start,
+                              "_past": F.unix_micros("_t") - start}) for df in (ev, ve))
+    if hot_rows is None:
+        return tuple(df.withColumn("_fine", F.lit(0)) for df in (ev, ve))
+    both = ev.select("_key", "_slice").unionByName(ve.select("_key", "_slice"))
+    hot = (both.groupBy("_key", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > hot_rows)
+           .select("_key", "_slice", F.ceil(F.col("_n") / hot_rows).alias("_parts")))
+    hot = F.broadcast(hot)  # an entry per ``hot_rows`` rows, see ``skew``
+    fine = F.coalesce(F.floor(F.col("_past") * F.col("_parts") / F.col("_width")), F.lit(0)).cast("int")
+    return tuple(df.join(hot, ["_key", "_slice"], "left").withColumn("_fine", fine)
+                 for df in (ev, ve))

@@ -37,26 +37,29 @@ def left_join_in_window(events: DataFrame, products: DataFrame, width: str = "1
                         spread: int = 4) -> DataFrame:
     """All event columns, plus the product columns of each match under a ``_p_`` prefix.
 
-    Equi-join on product id inside one tumbling window, many-to-many, NULL ids never match.
-    Batch: (id, window) groups above ``hot_rows`` products are split; those of events are split by
-    adaptive execution, or if that is off, in the same way. ``None`` skips the counts. Streams:
-    each group is spread over ``spread`` parts and the product side is repeated that often.
+    Equi-join on product id inside one tumbling window, many-to-many. Events without a product id match
+    nothing: they go around the join, without shuffle and without state. Batch: (id, window)
+    groups above ``hot_rows`` products are split; those of events are split by adaptive execution.
+    ``None`` skips the count. Streams: each group is spread over ``spread`` parts and the product
+    side is repeated that often.
     """
-    ev, prods = _windowed(events, products, width, delay)
+    no_id = F.col("product_id").isNull()
+    blank = {f"{_P}{c}": F.lit(None).cast(products.schema[c].dataType).alias(f"{_P}{c}")
+             for c in PRODUCT_COLS}
+    around = events.where(no_id).select(*events.columns, *blank.values())
+    ev, prods = _windowed(events.where(~no_id), products, width, delay)
     keys = ["product_id", _WINDOW]
     prods = prods.withColumnRenamed(_P + "product_id", "product_id").where(
         F.col("product_id").isNotNull())
     if ev.isStreaming or prods.isStreaming:
-        lhs, rhs = skew.spread_left(ev, prods, spread, "product_id", events.columns)
+        lhs, rhs = skew.spread_left(ev, prods, spread, events.columns)
         on = [*keys, skew.LEFT_PART]
     elif hot_rows is None:
-        lhs, rhs = skew.spread_left(ev, prods, 1, "product_id", events.columns)
-        on = [*keys, skew.LEFT_PART]
+        lhs, rhs, on = ev, prods, keys
     else:
-        counted = None if skew.adaptive_split(ev.sparkSession) else ev
-        hot = skew.hot_groups(counted, prods, keys, hot_rows)
-        lhs, rhs = skew.split_sides(ev, prods, keys, hot, events.columns, prods.columns)
-        on = [*keys, skew.LEFT_PART, skew.RIGHT_PART]
+        hot = skew.hot_groups(prods, keys, hot_rows)
+        lhs, rhs = skew.split_right(ev, prods, keys, hot, prods.columns)
+        on = [*keys, skew.RIGHT_PART]
     rhs = rhs.select(*[F.col(c).alias("_k" + c) for c in on],
                      F.col("product_id").alias(_P + "product_id"),
                      *[c for c in rhs.columns if c.startswith(_P)])
@@ -64,9 +67,9 @@ def left_join_in_window(events: DataFrame, products: DataFrame, width: str = "1
     for c in on:
         cond = cond & (F.col(c) == F.col("_k" + c))
     joined = lhs.join(rhs, cond, "left")
-    if "_n_right" in lhs.columns:
-        joined = joined.where((F.col("_n_right") == 1) | F.col("_kproduct_id").isNotNull())
-    return joined.select(*events.columns, *[_P + c for c in PRODUCT_COLS])
+    if "_parts" in lhs.columns:
+        joined = joined.where((F.col("_parts") == 1) | F.col("_kproduct_id").isNotNull())
+    return joined.select(*events.columns, *blank).unionByName(around)
 
 
 def join_in_window(events: DataFrame, products: DataFrame, width: str = "1 minute",
@@ -82,21 +85,32 @@ def join_in_window(events: DataFrame, products: DataFrame, width: str = "1 minut
                          *[F.col(_P + c).alias(c) for c in PRODUCT_COLS])
 
 
-def join_profiles(events: DataFrame, profiles: DataFrame) -> DataFrame:
+def join_profiles(events: DataFrame, profiles: DataFrame, spread: int = 1) -> DataFrame:
     """Left join with a dimension that has one row per user.
 
     No hint: Spark broadcasts the dimension when it is below ``autoBroadcastJoinThreshold`` and
-    otherwise shuffles both sides, where adaptive execution splits a hot user's rows.
+    otherwise shuffles both sides. In a batch adaptive execution then splits a hot user's rows. A
+    stream has none: there ``spread`` parts per user keep a hot one off a single task, and the
+    dimension is repeated that often.
     """
     dim = profiles.select(F.col("user_id").alias("_u"), *PROFILE_COLS)
-    return events.join(dim, F.col("user_id") == F.col("_u"), "left").drop("_u")
+    same = F.col("user_id") == F.col("_u")
+    if spread > 1:
+        dim = dim.select("*", skew.every_part(F.lit(spread)).alias("_up"))
+        events_cols, same = events.columns, same & (F.col("_ep") == F.col("_up"))
+        events = events.withColumn("_ep", skew.part_of(events_cols, F.lit(spread)))
+    return events.join(dim, same, "left").drop("_u", "_up", "_ep")
 
 
 def three_way(events: DataFrame, products: DataFrame, profiles: DataFrame,
-              width: str = "1 minute", hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
-    """Events as they are, plus product and profile columns; the event keeps its own product id."""
-    joined = left_join_in_window(events, products, width, hot_rows=hot_rows)
-    out = join_profiles(joined, profiles)
+              width: str = "1 minute", hot_rows: int | None = skew.HOT_ROWS,
+              delay: str | None = None, spread: int = 4) -> DataFrame:
+    """Events as they are, plus product and profile columns; the event keeps its own product id.
+
+    ``delay`` and ``spread`` are for streams, see :func:`left_join_in_window`.
+    """
+    joined = left_join_in_window(events, products, width, delay, hot_rows, spread)
+    out = join_profiles(joined, profiles, spread if joined.isStreaming else 1)
     return out.select(*events.columns, F.col(_P + "product_name").alias("product_name"),
                       F.col(_P + "category").alias("category"), "username", "user_segment")
 

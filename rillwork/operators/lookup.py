@@ -49,13 +49,17 @@ def enrich_hybrid(events: DataFrame, snapshot: DataFrame, updates: DataFrame,
                   slice_width: str = "1 day", hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
     """Latest update at or before the event, else the snapshot's profile.
 
-    The snapshot is known from the start: it is a version older than all updates.
+    The snapshot is known from the start: it counts as older than every update, whatever their times.
     """
-    floor = F.timestamp_seconds(F.lit(0))
-    base = latest_profiles(snapshot).select("user_id", floor.alias("_from"), *PROFILE_COLS)
     live = updates.select("user_id", F.col("timestamp").alias("_from"), *PROFILE_COLS)
-    return asof_join(events, base.unionByName(live), "user_id", F.col("event_time"), "_from",
-                     PROFILE_COLS, slice_width, hot_rows)
+    seen = asof_join(events, live, "user_id", F.col("event_time"), "_from", ["_from", *PROFILE_COLS],
+                     slice_width, hot_rows)
+    base = latest_profiles(snapshot).select(
+        F.col("user_id").alias("_u"), *[F.col(c).alias(f"_s_{c}") for c in PROFILE_COLS])
+    both = seen.join(base, F.col("user_id") == F.col("_u"), "left")
+    found = F.col("_from").isNotNull()
+    return both.select(*events.columns, *[
+        F.when(found, F.col(c)).otherwise(F.col(f"_s_{c}")).alias(c) for c in PROFILE_COLS])
 
 
 def enrich_refreshing(events: DataFrame, versions: DataFrame, every: str = "30 minutes",
@@ -84,51 +88,12 @@ def enrich_lookup(df: DataFrame, dim: DataFrame, default: dict[str, str] | None
 
 
 def point_lookup(dim: DataFrame, user_id) -> DataFrame:
-    """The profile of one user: an equality filter that reaches the scan, newest row first."""
+    """The profile of one user, newest row first. A literal ``user_id`` of the stored type is an
+    equality filter that reaches the scan; a cast or a subquery is compared after it."""
     order = [F.col(c).desc() for c in PROFILE_ORDER]
     return dim.where(F.col("user_id") == user_id).orderBy(*order).limit(1)
 
 
-def cache_fetches(events: DataFrame, versions: DataFrame, ttl: str, tick: str,
-                  slice_width: str = "1 day") -> DataFrame:
-    """When a per-user cache with expiry goes to the table, and what it finds there.
-
-    The clock moves in ticks (a stream's clock moves in micro-batches), so the walk through
-    a user's history sees one row per tick in which the user occurs, never the events themselves.
-    A found profile is good while now < fetch time + ttl; a miss is not cached.
-    """
-    seen = events.select("user_id", window_of(F.col("event_time"), tick)["start"].alias("tick"))
-    # No slice can be hot here: it has at most slice_width / tick rows.
-    ticks = asof_join(seen.distinct(), versions, "user_id", F.col("tick"), "timestamp",
-                      PROFILE_COLS, slice_width, None)
-    tick_row = F.struct(F.col("tick"), F.col("username").isNotNull().alias("found"),
-                        F.struct(*PROFILE_COLS).alias("profile"))
-    history = ticks.groupBy("user_id").agg(F.array_sort(F.collect_list(tick_row)).alias("_h"))
-    empty = F.struct(F.lit(None).cast("timestamp").alias("until"),
-                     F.filter("_h", lambda h: F.lit(False)).alias("out"))
-
-    def step(cache, now):
-        valid = cache["until"].isNotNull() & (now["tick"] < cache["until"])
-        until = F.when(now["found"], now["tick"] + F.expr(f"INTERVAL {ttl}")).otherwise(
-            cache["until"])
-        return F.when(valid, cache).otherwise(
-            F.struct(until.alias("until"), F.concat(cache["out"], F.array(now)).alias("out")))
-
-    fetched = history.select("user_id", F.explode(F.aggregate("_h", empty, step)["out"])
-                             .alias("_f"))
-    return fetched.select("user_id", F.col("_f.tick").alias("fetched_at"), "_f.found",
-                          *[F.col(f"_f.profile.{c}").alias(c) for c in PROFILE_COLS])
-
-
-def enrich_cached(events: DataFrame, versions: DataFrame, ttl: str = "1 hour",
-                  tick: str = "1 minute", slice_width: str = "1 day",
-                  hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
-    """Lookup through a per-user cache whose entries expire after ``ttl``."""
-    fetches = cache_fetches(events, versions, ttl, tick, slice_width)
-    return asof_join(events, fetches, "user_id", window_of(F.col("event_time"), tick)["start"],
-                     "fetched_at", ["fetched_at", *PROFILE_COLS], slice_width, hot_rows)
-
-
 def fallback(df: DataFrame, sources: list[tuple[str, DataFrame]],
              default: dict[str, str] | None = None) -> DataFrame:
     """First source that knows the user wins; ``profile_source`` names it.

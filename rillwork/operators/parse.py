@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rillwork import schemas as S
-from rillwork.functions import parse_date, parse_time, to_json_text
+from rillwork.functions import parse_date, parse_time
 
 ERROR = "error"
 PROFILE_FIELDS = ["user_id", "username", "user_segment", "registration_date"]
@@ -32,13 +32,15 @@ def _parse(df: DataFrame, fields: list[str], cols: dict[str, Column], schema: T.
     """
     text = df.select(*df.columns, F.json_tuple("value", *fields).alias(*[f"_{f}" for f in fields]))
     required = [f.name for f in schema.fields if not f.nullable and f.name in cols]
-    ok = F.lit(True)
+    value = F.col("value")
+    nested = _nested([f for f in fields if f != "payload"])  # a payload may be anything
+    ok = ~nested
     for n in required:
         ok = ok & cols[n].isNotNull()
-    value = F.col("value")
     missing = F.concat_ws(",", *[F.when(cols[n].isNull(), F.lit(n)) for n in required])
     reason = (F.when(value.isNull(), F.lit("null value"))
               .when(F.json_object_keys(value).isNull(), F.lit("not a JSON object"))
+              .when(nested, F.lit("object or array in a text field"))
               .otherwise(F.concat(F.lit("missing or invalid: "), missing)))
     rejects = text.where(~ok).select(*df.columns, reason.alias(ERROR))
     out = [c.alias(n) for n, c in cols.items()]
@@ -53,6 +55,18 @@ def _parse(df: DataFrame, fields: list[str], cols: dict[str, Column], schema: T.
     raise ValueError(f"mode must be 'quarantine' or 'fail', got {mode!r}")
 
 
+def _nested(fields: list[str]) -> Column:
+    """Whether a field holds an object or an array. Their text starts with a bracket, as a string may as
+    well; only then the message is looked at again. Numbers and booleans count as their text, and
+    what follows a complete object is ignored."""
+    found = F.lit(False)
+    for f in fields:
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("value"), f"$.{f}", "variant"))
+        bracket = F.coalesce(F.col(f"_{f}").rlike(r"^[\[{]"), F.lit(False))
+        found = found | bracket & F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
+    return found
+
+
 def _text(*names: str) -> dict[str, Column]:
     return {n: F.col(f"_{n}") for n in names}
 
@@ -123,26 +137,31 @@ def product_records(df: DataFrame, mode: str = "quarantine") -> DataFrame:
     return parse_products(df, mode).rows.withColumn("processing_time", F.current_timestamp())
 
 
-def default_payload_fn(value: Column) -> Column:
-    """Message text to a record text with event_time, processing_time and the payload."""
-    event_time = F.from_json(value, "timestamp string")["timestamp"]
-    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    return to_json_text(event_time.alias("event_time"), now.alias("processing_time"),
-                        value.alias("payload"))
-
-
-def apply_payload_fn(df: DataFrame, fn=None) -> DataFrame:
+def parse_payload(df: DataFrame, fn=None, mode: str = "quarantine") -> Parsed:
     """User hook: text in, record text out, then read the record as the generic table.
 
-    ``fn`` maps a Column to a Column; an Arrow-backed ``pandas_udf`` of str -> str fits as well.
+    ``fn`` maps a Column to a Column; an Arrow-backed ``pandas_udf`` of str -> str fits as well. The
+    record holds event_time, processing_time and payload. Without ``fn`` the message itself is the
+    payload (:func:`parse_generic`). A message whose record lacks the event time is a reject; a missing
+    processing time is now.
     """
-    record = (fn or default_payload_fn)(F.col("value"))
-    text = df.select(record.alias("_record"))
-    got = text.select(F.from_json("_record", "event_time string, processing_time string, "
-                                             "payload string").alias("_r"))
-    return got.select(parse_time(F.col("_r.event_time")).alias("event_time"),
-                      parse_time(F.col("_r.processing_time")).alias("processing_time"),
-                      F.col("_r.payload").alias("payload"))
+    if fn is None:
+        return parse_generic(df, mode)
+    names = ["event_time", "processing_time", "payload"]
+    done = df.withColumn("_message", F.col("value")).withColumn("value", fn(F.col("value")))
+    cols = {"event_time": parse_time(F.col("_event_time")),
+            "processing_time": F.coalesce(parse_time(F.col("_processing_time")),
+                                          F.current_timestamp()),
+            "payload": F.col("_payload")}
+    parsed = _parse(done, names, cols, S.GENERIC, mode)
+    back = parsed.rejects.select(*[F.col("_message").alias(c) if c == "value" else F.col(c)
+                                   for c in df.columns], ERROR)
+    return Parsed(parsed.rows, back)
+
+
+def apply_payload_fn(df: DataFrame, fn=None, mode: str = "quarantine") -> DataFrame:
+    """The rows of :func:`parse_payload`."""
+    return parse_payload(df, fn, mode).rows
 
 
 def to_messages(df: DataFrame, key_col: str) -> DataFrame:

@@ -1,94 +1,59 @@
 """Splitting of hot groups before a shuffle.
 
-A group is hot when one side holds more than ``hot_rows`` rows of it. Hot groups are found by an
-exact, partially aggregated count, so the list has at most (all rows / ``hot_rows``) entries; it is
-also cut at ``MAX_HOT_GROUPS`` biggest ones, which bounds the broadcast. The list only steers how rows
-are spread: a group that is not on it (any such group beyond the cut holds less than a
-1 / MAX_HOT_GROUPS share of all rows) is joined whole, with the same result.
-
-Splitting a pair of sides works as a grid: rows of the left group are spread over ``n_left`` parts
-and repeated for each of ``n_right`` parts, rows of the right group the other way round. Every
-(left, right) pair then meets exactly once.
-
-With adaptive execution on, a left join needs no count of its left side: Spark splits a skewed left
-partition at run time, also one that is full of copies of a single row. It cannot split the right
-side of a left join, so that one is always counted.
+A group is hot when the right side holds more than ``hot_rows`` rows of it. Hot groups are found by an
+exact, partially aggregated count, and none is left out. Each entry of the list stands for a million rows
+(``HOT_ROWS``), which bounds the list: 10^12 rows give at most 10^6 entries, some tens of MB. So it is
+broadcast. Shuffling the left side to the list instead would gather a hot group in one task first.
+
+The right group is spread over parts and the left rows of the group are repeated for each part, so
+every (left, right) pair meets exactly once. A hot left group needs no help: adaptive execution
+splits a skewed left partition of a left join at run time. It cannot split the right side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_ROWS = 1_000_000
-MAX_HOT_GROUPS = 100_000
-# Rows whose key is NULL match nothing; they are spread over this many parts of their own.
-NULL_PARTS = 1024
 
 LEFT_PART, RIGHT_PART = "_left_part", "_right_part"
 
 
-def adaptive_split(spark: SparkSession) -> bool:
-    """Whether Spark itself splits a skewed left side of a left join while the query runs."""
-    keys = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
-    return all(str(spark.conf.get(k)).lower() == "true" for k in keys)
+def hot_groups(right: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """``keys`` and the number of parts, for every group above ``hot_rows``."""
+    counts = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts")
+    return counts.where(F.col("_n") > hot_rows).select(*keys, parts)
 
 
-def hot_groups(left: DataFrame | None, right: DataFrame, keys: list[str], hot_rows: int
-               ) -> DataFrame:
-    """``keys`` and the number of parts per side, for every group above ``hot_rows`` on a side.
-
-    Without ``left`` only the right side is counted and the left one is never spread.
-    """
-    sides = right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
-    if left is not None:
-        sides = sides.unionByName(left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r")))
-    for k in keys:
-        sides = sides.where(F.col(k).isNotNull())
-    counts = sides.groupBy(*keys).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
-    hot = counts.where((F.col("_l") > hot_rows) | (F.col("_r") > hot_rows))
-    hot = hot.orderBy(F.greatest("_l", "_r").desc()).limit(MAX_HOT_GROUPS)
-    parts = {side: F.greatest(F.lit(1), F.ceil(F.col(side) / hot_rows)).cast("int")
-             for side in ("_l", "_r")}
-    return hot.select(*keys, parts["_l"].alias("_n_left"), parts["_r"].alias("_n_right"))
-
-
-def _part_of(row_cols: list[str], parts: Column) -> Column:
+def part_of(row_cols: list[str], parts: Column) -> Column:
     # A hash of the row itself: a re-run task puts each row in the same part again.
     return F.pmod(F.xxhash64(*row_cols), parts).cast("int")
 
 
-def _all_parts(parts: Column) -> Column:
+def every_part(parts: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), parts - 1))
 
 
-def split_sides(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame,
-                left_cols: list[str], right_cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Add both part columns to both sides; join on ``keys`` plus the two.
+def split_right(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame,
+                right_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Add a part column to both sides; join on ``keys`` plus that one.
 
-    ``_n_right`` stays on the left side: where it exceeds 1 the right group is not empty, so an
+    ``_parts`` stays on the left side: where it exceeds 1 the right group is not empty, so an
     unmatched copy of a left row is one of its repeats and must be dropped after an outer join.
     """
     hot = F.broadcast(hot)
-    no_key = F.lit(False)
-    for k in keys:
-        no_key = no_key | F.col(k).isNull()
-    lhs = left.join(hot, keys, "left")
-    n_left = F.when(no_key, F.lit(NULL_PARTS)).otherwise(F.coalesce("_n_left", F.lit(1)))
-    lhs = lhs.select(*left.columns, _part_of(left_cols, n_left).alias(LEFT_PART),
-                     F.coalesce("_n_right", F.lit(1)).alias("_n_right"))
-    lhs = lhs.select("*", _all_parts(F.col("_n_right")).alias(RIGHT_PART))
+    lhs = left.join(hot, keys, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    lhs = lhs.select(*left.columns, "_parts", every_part(F.col("_parts")).alias(RIGHT_PART))
     rhs = right.join(hot, keys, "left")
-    rhs = rhs.select(*right.columns, F.coalesce("_n_left", F.lit(1)).alias("_n_left"),
-                     _part_of(right_cols, F.coalesce("_n_right", F.lit(1))).alias(RIGHT_PART))
-    rhs = rhs.select(*right.columns, RIGHT_PART, _all_parts(F.col("_n_left")).alias(LEFT_PART))
-    return lhs, rhs
+    return lhs, rhs.select(*right.columns,
+                           part_of(right_cols, F.coalesce("_parts", F.lit(1))).alias(RIGHT_PART))
 
 
-def spread_left(left: DataFrame, right: DataFrame, parts: int, key: str, left_cols: list[str]
+def spread_left(left: DataFrame, right: DataFrame, parts: int, left_cols: list[str]
                 ) -> tuple[DataFrame, DataFrame]:
     """The stream form: streams cannot be counted first, so every group gets ``parts`` parts."""
-    n_left = F.when(F.col(key).isNull(), F.lit(max(parts, NULL_PARTS))).otherwise(F.lit(parts))
-    lhs = left.withColumn(LEFT_PART, _part_of(left_cols, n_left))
+    lhs = left.withColumn(LEFT_PART, part_of(left_cols, F.lit(parts)))
     if parts == 1:
         return lhs, right.withColumn(LEFT_PART, F.lit(0))
-    return lhs, right.select("*", _all_parts(F.lit(parts)).alias(LEFT_PART))
+    return lhs, right.select("*", every_part(F.lit(parts)).alias(LEFT_PART))

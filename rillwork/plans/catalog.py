@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rillwork import schemas as S
 from rillwork.functions import day_of, window_of
 from rillwork.operators import (aggregate as agg, inspect as look, join as jn, lookup as lk,
                                 parse as ps, sqlfile)
@@ -50,7 +51,7 @@ def update_rows_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_rows_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.to_profile_rows(src.profile_table(spark, sf_dir))
+    return tables.to_profile_rows(src.profile_table(spark, sf_dir)).rows
 
 
 # Messages and sources ---------------------------------------------------------------------------
@@ -93,7 +94,8 @@ def envelope_times(spark, sf):
 
 @query
 def flatten_events(spark, sf):
-    return ps.flatten_events(src.event_messages(spark, sf)).drop("processing_time")
+    rows = ps.flatten_events(src.event_messages(spark, sf))
+    return S.conform(rows, S.USER_EVENTS).drop("processing_time")
 
 
 @query
@@ -118,7 +120,8 @@ def product_rows(spark, sf):
 
 @query
 def product_records(spark, sf):
-    return ps.product_records(src.product_messages(spark, sf)).drop("processing_time")
+    rows = ps.product_records(src.product_messages(spark, sf))
+    return S.conform(rows, S.PRODUCT_UPDATES).drop("processing_time")
 
 
 @query
@@ -307,26 +310,14 @@ def point_lookup(spark, sf):
     return lk.point_lookup(stored_rows_of(spark, sf), busiest.scalar())
 
 
-@query
-def ttl_cache(spark, sf):
-    return lk.enrich_cached(event_rows_of(spark, sf), update_rows_of(spark, sf), "1 day",
-                            "10 minutes")
-
-
-@query
-def ttl_cache_fetches(spark, sf):
-    return lk.cache_fetches(event_rows_of(spark, sf), update_rows_of(spark, sf), "1 day",
-                            "10 minutes")
-
-
 @query
 def fallback_chain(spark, sf):
-    """Premium sign-ups first, then stored profiles of open orders' priorities, then a default."""
-    updates = update_rows_of(spark, sf)
-    live = updates.where(F.col("user_segment") == "premium")
-    urgent = stored_rows_of(spark, sf).where(F.col("user_segment") == "1-URGENT")
-    return lk.fallback(event_rows_of(spark, sf), [("updates", live), ("snapshot", urgent)],
-                       {"username": "unknown"})
+    """Sign-ups first, then stored profiles, then a default. User ids are taken times 20, so that users
+    with a sign-up, with a stored profile only, and with neither all occur."""
+    shifted = event_rows_of(spark, sf).withColumn(
+        "user_id", (F.col("user_id").cast("bigint") * 20).cast("string"))
+    return lk.fallback(shifted, [("updates", update_rows_of(spark, sf)),
+                                 ("snapshot", stored_rows_of(spark, sf))], {"username": "unknown"})
 
 
 @query

@@ -8,7 +8,7 @@ orders  -> the stored profile table: one profile version per order, with times a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rillwork.functions import to_json_text
 
@@ -17,28 +17,13 @@ STORED = "yyyy-MM-dd HH:mm:ss.SSSSSS 'UTC'"
 PARTITIONS = 4
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A given table. Its schema is taken from the files once, not for each query."""
-    path = f"{sf_dir}/{table}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
-
-
-def read_wide(spark: SparkSession, sf_dir: str, table: str, key: str) -> DataFrame:
-    """Like :func:`read`, but a table with fewer splits than there are cores is spread over all
-    cores. Making and parsing JSON costs more than moving such a small table; one with enough
-    splits is left where it is."""
-    df = read(spark, sf_dir, table)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_wide(spark, sf_dir, "events", "event_id")
+    ev = read(spark, sf_dir, "events")
     return ev.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -85,7 +70,7 @@ def product_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_envelopes(ev: DataFrame, part: DataFrame) -> DataFrame:
     bought = ev.where(F.col("event_type") == "purchase").withColumn("k", _product_id())
     part = part.select("p_partkey", "p_name", "p_type")
-    named = bought.join(part, F.col("k").cast("bigint") == F.col("p_partkey"))
+    named = bought.join(part, F.col("k").cast("bigint") == F.col("p_partkey"), "left")
     value = to_json_text(F.col("k").alias("product_id"), F.col("p_name").alias("product_name"),
                          F.col("value").alias("price"), F.col("p_type").alias("category"),
                          F.date_format("ts", ISO).alias("timestamp"))
@@ -111,7 +96,7 @@ def profile_envelopes(ev: DataFrame) -> DataFrame:
 
 def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored profile versions, times as text."""
-    orders = read_wide(spark, sf_dir, "orders", "o_orderkey")
+    orders = read(spark, sf_dir, "orders")
     return orders.select(
         _text("o_custkey").alias("user_id"), _username("o_custkey").alias("username"),
         F.col("o_orderpriority").alias("user_segment"),

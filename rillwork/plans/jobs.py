@@ -20,6 +20,7 @@ from rillwork.streaming import sinks
 from rillwork.streaming.lookups import RefreshingLookup
 
 OpenTopic = Callable[[SparkSession, str], DataFrame]
+Lookup = Callable[[DataFrame, int], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -28,7 +29,7 @@ class _TopicJob:
     consumer_group_id: str | None = None
     kafka_read_offset: str | None = None
     checkpoint: str = ""
-    quarantine: str | None = None
+    quarantine: str | None = None  # without one a bad message ends its query
     trigger: dict | None = None
     source_options: dict[str, str] = field(default_factory=dict)
     open_topic: OpenTopic | None = None
@@ -39,16 +40,23 @@ class _TopicJob:
         return topics.topic_stream(spark, self.bootstrap_servers, topic, self.kafka_read_offset,
                                    self.consumer_group_id, **self.source_options)
 
+    @property
+    def mode(self) -> str:
+        return "fail" if self.quarantine is None else "quarantine"
+
     def _append(self, df: DataFrame, target: str, schema, table: str) -> StreamingQuery:
         return sinks.append(df, target, schema, f"{self.checkpoint}/{table}",
                             S.PARTITION_BY.get(table), self.trigger, name=table)
 
+    def _rejects_target(self, topic: str) -> str:
+        return f"{self.quarantine}/{topic}" if sinks.is_path(self.quarantine) else self.quarantine
+
     def _rejects(self, rejects: DataFrame, topic: str) -> list[StreamingQuery]:
         if self.quarantine is None:
             return []
-        return [sinks.append(rejects, f"{self.quarantine}/{topic}" if sinks.is_path(self.quarantine)
-                             else self.quarantine, None, f"{self.checkpoint}/rejects-{topic}",
-                             None, self.trigger, name=f"rejects-{topic}")]
+        return [sinks.append(rejects, self._rejects_target(topic), None,
+                             f"{self.checkpoint}/rejects-{topic}", None, self.trigger,
+                             name=f"rejects-{topic}")]
 
 
 @dataclass(frozen=True)
@@ -61,32 +69,34 @@ class BranchedJob(_TopicJob):
     aggregation_table: str | None = None
     width: str = "1 minute"
     delay: str = "1 minute"
-    one_scan: bool = False
+    one_scan: bool = True
 
     def start(self, spark: SparkSession) -> list[StreamingQuery]:
-        """One independent query per table; with ``one_scan`` the first two tables and the rejects
-        share a single read of the topic (the targets must then be paths)."""
+        """The first two tables and the rejects share a single read of the topic; without ``one_scan``
+        each has a query of its own. Counts are always a query of their own."""
         messages = self._topic(apply_defaults(spark), self.topic)
-        running = []
+        mode, running = self.mode, []
         if self.one_scan:
-            branches = [sinks.Branch(ps.flatten_events, self.output_table, S.USER_EVENTS)]
+            branches = [sinks.Branch(lambda df: ps.flatten_events(df, mode), self.output_table,
+                                     S.USER_EVENTS)]
             if self.generic_output_table:
-                branches.append(sinks.Branch(ps.generic_events, self.generic_output_table,
-                                             S.GENERIC, S.PARTITION_BY["generic"]))
+                branches.append(sinks.Branch(lambda df: ps.generic_events(df, mode),
+                                             self.generic_output_table, S.GENERIC,
+                                             S.PARTITION_BY["generic"]))
             if self.quarantine:
                 branches.append(sinks.Branch(lambda df: ps.parse_events(df).rejects,
-                                             f"{self.quarantine}/{self.topic}"))
+                                             self._rejects_target(self.topic)))
             running.append(sinks.write_all(messages, branches, f"{self.checkpoint}/tables",
                                            self.trigger, "tables"))
         else:
-            running.append(self._append(ps.flatten_events(messages), self.output_table,
+            running.append(self._append(ps.flatten_events(messages, mode), self.output_table,
                                         S.USER_EVENTS, "user_events"))
             if self.generic_output_table:
-                running.append(self._append(ps.generic_events(messages),
+                running.append(self._append(ps.generic_events(messages, mode),
                                             self.generic_output_table, S.GENERIC, "generic"))
             running += self._rejects(ps.parse_events(messages).rejects, self.topic)
         if self.aggregation_table:
-            rows = ps.parse_events(messages).rows
+            rows = ps.parse_events(messages, mode).rows
             counts = agg.count_by_window(rows, width=self.width, delay=self.delay)
             running.append(self._append(agg.aggregation_records(counts), self.aggregation_table,
                                         S.EVENT_COUNTS, "user_event_aggregations"))
@@ -106,31 +116,34 @@ class MultiTopicJob(_TopicJob):
     delay: str = "1 minute"
     spread: int = 4
     refresh_seconds: float | None = None
+    lookup: Lookup | None = None
 
     def start(self, spark: SparkSession) -> list[StreamingQuery]:
         """Profiles are read once, when enrichment starts. ``refresh_seconds`` renews them while
-        the job runs; the enriched table must then be a path."""
+        the job runs. ``lookup`` (any object of ``streaming.lookups``) takes their place: it is called
+        with each micro-batch."""
         spark = apply_defaults(spark)
-        running = []
+        mode, running = self.mode, []
         if self.user_profiles_table and self.user_profiles_topic:
-            parsed = ps.parse_profile_records(self._topic(spark, self.user_profiles_topic))
+            parsed = ps.parse_profile_records(self._topic(spark, self.user_profiles_topic), mode)
             running.append(self._append(parsed.rows, self.user_profiles_table, S.USER_PROFILES,
                                         "user_profiles"))
             running += self._rejects(parsed.rejects, self.user_profiles_topic)
         if (self.enriched_events_table and self.user_events_topic and self.product_updates_topic
                 and self.user_profiles_topic):
-            events = ps.parse_events(self._topic(spark, self.user_events_topic))
-            products = ps.parse_products(self._topic(spark, self.product_updates_topic))
+            events = ps.parse_events(self._topic(spark, self.user_events_topic), mode)
+            products = ps.parse_products(self._topic(spark, self.product_updates_topic), mode)
             joined = jn.join_in_window(events.rows, products.rows, self.width, self.delay,
                                        spread=self.spread)
             load = lambda: tables.to_profile_rows(
-                tables.table_scan(spark, self.user_profiles_table))
-            lookup = RefreshingLookup(load, self.refresh_seconds)
-            if self.refresh_seconds is None:
-                rows = jn.enriched_records(jn.join_profiles(joined, lookup.dimension()))
+                tables.table_scan(spark, self.user_profiles_table)).rows
+            if self.lookup is None and self.refresh_seconds is None:
+                dim = RefreshingLookup(load, None).dimension()
+                rows = jn.enriched_records(jn.join_profiles(joined, dim, self.spread))
                 running.append(self._append(rows, self.enriched_events_table, S.ENRICHED_EVENTS,
                                             "enriched_events"))
             else:
+                lookup = self.lookup or RefreshingLookup(load, self.refresh_seconds)
                 running.append(sinks.write_each(
                     joined, lambda df, i: jn.enriched_records(lookup(df, i)),
                     self.enriched_events_table, f"{self.checkpoint}/enriched_events",
@@ -152,11 +165,9 @@ class TemplateJob(_TopicJob):
 
     def start(self, spark: SparkSession) -> list[StreamingQuery]:
         messages = self._topic(apply_defaults(spark), self.topic)
-        good = ps.parse_generic(messages)
-        rows = ps.apply_payload_fn(good.rows.withColumnRenamed("payload", "value"),
-                                   self.transform)
-        return [self._append(rows, self.output_table, S.GENERIC, "generic"),
-                *self._rejects(good.rejects, self.topic)]
+        done = ps.parse_payload(messages, self.transform, self.mode)
+        return [self._append(done.rows, self.output_table, S.GENERIC, "generic"),
+                *self._rejects(done.rejects, self.topic)]
 
 
 def wait(running: list[StreamingQuery]) -> None:

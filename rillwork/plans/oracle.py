@@ -125,38 +125,6 @@ def _refreshing(every: str) -> str:
         ON p.user_id = l.user_id AND p.renewed >= l."timestamp\"""")
 
 
-def _cache(select: str) -> str:
-    tick = _bucket("10 minutes", "event_time")
-    return ("WITH RECURSIVE " + _with("ev", "up")[len("WITH "):].rstrip() + f""",
-      live AS ({_one_per_time('up')}),
-      seen AS (SELECT DISTINCT user_id, {tick} AS tick FROM ev),
-      found AS (
-        SELECT s.user_id, s.tick, l.username, l.user_segment, l.registration_date
-        FROM seen s ASOF LEFT JOIN live l ON s.user_id = l.user_id AND s.tick >= l."timestamp"),
-      step AS (
-        SELECT user_id, tick, username, user_segment, registration_date,
-               CASE WHEN username IS NULL THEN tick + INTERVAL '1 microsecond'
-                    ELSE tick + INTERVAL '1 day' END AS free_at
-        FROM found),
-      chain AS (
-        SELECT * FROM step QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY tick) = 1
-        UNION ALL
-        SELECT s.user_id, s.tick, s.username, s.user_segment, s.registration_date, s.free_at
-        FROM chain c JOIN step s ON s.user_id = c.user_id AND s.tick >= c.free_at
-        QUALIFY row_number() OVER (PARTITION BY c.user_id ORDER BY s.tick) = 1)
-      {select}""")
-
-
-_CACHE_FETCHES = _cache("""
-      SELECT user_id, tick AS fetched_at, username IS NOT NULL AS found, username, user_segment,
-             registration_date FROM chain""")
-
-_CACHE = _cache(f"""
-      , placed AS (SELECT *, {_bucket('10 minutes', 'event_time')} AS tick FROM ev)
-      SELECT p.event_id, p.user_id, p.event_type, p.product_id, p.event_time,
-             c.tick AS fetched_at, c.username, c.user_segment, c.registration_date
-      FROM placed p ASOF LEFT JOIN chain c ON p.user_id = c.user_id AND p.tick >= c.tick""")
-
 _DAMAGED = _with("msg", damaged="""
       SELECT "offset", event_type,
              CASE event_type WHEN 'signup' THEN substr(value, 1, length(value) - 1)
@@ -244,10 +212,8 @@ ORACLE: dict[str, str] = {
       SELECT {_VERSION} FROM ({_latest('st')})
       WHERE user_id = (SELECT CAST(user_id AS VARCHAR) FROM events GROUP BY events.user_id
                        ORDER BY count(*) DESC, events.user_id LIMIT 1)""",
-    "ttl_cache": _CACHE,
-    "ttl_cache_fetches": _CACHE_FETCHES,
-    "fallback_chain": _with("ev", "up", "st", live=_latest("up", "user_segment = 'premium'"),
-                            base=_latest("st", "user_segment = '1-URGENT'")) + """
+    "fallback_chain": _with("ev", "up", "st", live=_latest("up"), base=_latest("st"), shifted="""
+      SELECT * REPLACE (CAST(CAST(user_id AS BIGINT) * 20 AS VARCHAR) AS user_id) FROM ev""") + """
       SELECT e.*, CASE WHEN l.user_id IS NOT NULL THEN 'updates'
                        WHEN b.user_id IS NOT NULL THEN 'snapshot' ELSE 'default' END
                AS profile_source,
@@ -256,7 +222,7 @@ ORACLE: dict[str, str] = {
                AS user_segment,
              CASE WHEN l.user_id IS NOT NULL THEN l.registration_date ELSE b.registration_date END
                AS registration_date
-      FROM ev e LEFT JOIN live l ON e.user_id = l.user_id
+      FROM shifted e LEFT JOIN live l ON e.user_id = l.user_id
       LEFT JOIN base b ON e.user_id = b.user_id""",
     "lookup_hit_rate": f"""
       SELECT count(*) AS lookups, count(username) AS hits, count(*) - count(username) AS misses
@@ -269,10 +235,31 @@ ORACLE: dict[str, str] = {
     "sql_file_three_way": _three_way(_latest("st"), "st"),
 }
 
+_STORED = _with("ev", "st", u=_latest("st")) + """
+      SELECT ev.*, u.username, u.user_segment, u.registration_date
+      FROM ev LEFT JOIN u ON ev.user_id = u.user_id"""
+
 # The streams give the results of their batch counterparts.
 ORACLE |= {
     "stream_events_per_minute": ORACLE["events_per_minute"],
     "stream_enriched_events": ORACLE["enriched_events"],
     "stream_hybrid": ORACLE["hybrid_asof"],
     "stream_external_lookup": ORACLE["lookup_external"],
+    "stream_refreshing_lookup": _STORED,
+    "stream_cached_lookup": _STORED,
+    "stream_three_way": ORACLE["enriched_three_way_latest"],
+    "stream_flat_events": ORACLE["flatten_events"],
+    "stream_generic_by_day": _with("msg") + """
+      SELECT "timestamp" AS event_time, value AS payload FROM msg
+      WHERE CAST("timestamp" AS DATE) > (SELECT CAST(min(ts) AS DATE) FROM events)""",
+    "stream_profiles": ORACLE["profile_records"],
+    "stored_profiles_scan": ORACLE["table_profile_rows"],
+    "stream_fan_out": _DAMAGED + """
+      SELECT 'flat' AS kind, event_type, count(*) AS messages FROM events
+      WHERE event_type = 'purchase' GROUP BY event_type
+      UNION ALL
+      SELECT 'generic', event_type, count(*) FROM events
+      WHERE event_type IN ('purchase', 'click') GROUP BY event_type
+      UNION ALL
+      SELECT 'reject', error, count(*) FROM rejects GROUP BY error""",
 }

@@ -1,36 +1,44 @@
-"""Registered streaming queries: the given tables replayed as streams, end to end.
+"""Registered streaming queries: the given tables replayed as topics, end to end.
 
-Each one runs its stream until all stored rows are read, and returns what the sink holds. A second
-run of the same query then reads one message from the far future, which closes every window.
+The messages are stored in time order, a slice of ``SLICE`` days after the other, and read with bounded
+micro-batches. A slice's files may come in any order, so a row is at most ``SLICE`` days late; the
+watermark delay covers that, state is given up behind it, and the replay has the results of a batch. A last
+message, later than all data by more than the delay, closes every window. Its rows are told apart by
+their time: the latest time of the data is known, and no data row is later.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillwork import schemas as S
-from rillwork.operators import aggregate as agg, join as jn, parse as ps
+from rillwork.operators import aggregate as agg, join as jn, lookup as lk, parse as ps
 from rillwork.plans import inputs as src
 from rillwork.plans.catalog import plain_times, stored_rows_of
+from rillwork.plans.jobs import BranchedJob, MultiTopicJob, TemplateJob, wait
 from rillwork.session import apply_defaults, shared_dir
-from rillwork.sources import topics
+from rillwork.sources import tables, topics
 from rillwork.streaming import sinks
-from rillwork.streaming.lookups import ExternalLookup, RefreshingLookup
+from rillwork.streaming.lookups import CachedLookup, ExternalLookup, RefreshingLookup
 from rillwork.streaming.state import enrich_hybrid_stream
 
 REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# Stored files need not be in time order: no row of a replay counts as late.
-DELAY = "36500 days"
-END = "2300-01-01T00:00:00"
+SLICE = 10
+DELAY = f"{SLICE + 1} days"
+FILES_PER_TRIGGER = 64
 CLOSING = {
-    "event": {"event_id": "end", "user_id": "end", "event_type": "end", "timestamp": END},
-    "product": {"product_id": "end", "product_name": "end", "price": 0, "category": "end",
-                "timestamp": END},
+    "user-events": {"event_id": "end", "user_id": "end", "event_type": "end", "product_id": "end"},
+    "product-updates": {"product_id": "end", "product_name": "end", "price": 0, "category": "end"},
+    "user-profiles": {"user_id": "end", "username": "end", "user_segment": "end",
+                      "registration_date": "2000-01-01"},
 }
+MESSAGES = {"user-events": src.event_messages, "product-updates": src.product_messages,
+            "user-profiles": src.profile_messages}
 
 
 def replay(fn):
@@ -41,101 +49,125 @@ def replay(fn):
     return run
 
 
-def table_stream(spark: SparkSession, sf_dir: str, table: str, files_per_trigger: int = 1000
-                 ) -> DataFrame:
-    """A stored table as a stream, be it one file or a folder of files."""
-    path = f"{sf_dir}/{table}.parquet"
-    stored = spark.read.parquet(path)
-    reader = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", files_per_trigger)
-    if stored.inputFiles()[0].endswith(f"/{table}.parquet"):
-        return reader.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
-    return reader.parquet(path)
-
-
 class _Replay:
-    """Message streams of the given tables plus a folder for the closing messages."""
+    """Topics made of the given tables, and a folder for what a job writes."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, name: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.dir = shared_dir(spark, name)
-        self.kinds: list[str] = []
-
-    def _stored_events(self) -> DataFrame:
-        ev = table_stream(self.spark, self.sf_dir, "events")
-        return ev.withColumn("ts", F.col("ts").cast("timestamp"))
-
-    def _with_closing(self, messages: DataFrame, kind: str) -> DataFrame:
-        path = f"{self.dir}/closing-{kind}"
-        self.spark.createDataFrame([], S.ENVELOPE).write.parquet(path)
-        self.kinds.append(kind)
-        return messages.unionByName(topics.replay_stream(self.spark, path))
-
-    def events(self, closing: bool = True) -> DataFrame:
-        messages = src.event_envelopes(self._stored_events())
-        messages = self._with_closing(messages, "event") if closing else messages
-        return ps.parse_events(messages).rows
-
-    def products(self) -> DataFrame:
-        part = src.read(self.spark, self.sf_dir, "part")
-        messages = src.product_envelopes(self._stored_events(), part)
-        return ps.parse_products(self._with_closing(messages, "product")).rows
-
-    def updates(self) -> DataFrame:
-        return ps.parse_profiles(src.profile_envelopes(self._stored_events())).rows
-
-    def finish(self, start: Callable[[str, str], object]) -> DataFrame:
-        """Run to the end of the data, then once more with the closing messages."""
-        key = "spark.sql.shuffle.partitions"
-        before = self.spark.conf.get(key)
-        # State partitions are fixed for good at the first start; more than cores only cost time here.
-        cores = self.spark.sparkContext.defaultParallelism
-        self.spark.conf.set(key, str(min(int(before), cores)))
-        try:
-            return self._run(start)
-        finally:
-            self.spark.conf.set(key, before)
-
-    def _run(self, start: Callable[[str, str], object]) -> DataFrame:
-        out, checkpoint = f"{self.dir}/out", f"{self.dir}/checkpoint"
-        start(out, checkpoint).awaitTermination()
-        if self.kinds:
-            for kind in self.kinds:
-                value = F.lit(json.dumps(CLOSING[kind])).alias("value")
-                topics.envelope(self.spark.range(1).select(
-                    F.lit("end").alias("key"), value, F.lit(kind).alias("topic"),
-                    F.lit(0).alias("partition"), F.lit(0).alias("offset"),
-                    F.current_timestamp().alias("timestamp"))).write.mode("append").parquet(
-                        f"{self.dir}/closing-{kind}")
-            start(out, checkpoint).awaitTermination()
-        return self.spark.read.parquet(out)
-
-
-def _append(df: DataFrame):
-    return lambda out, checkpoint: sinks.append(df, out, checkpoint=checkpoint,
-                                                trigger=sinks.AVAILABLE_NOW)
+        first, last = src.event_messages(spark, sf_dir).agg(
+            F.min("timestamp"), F.max("timestamp")).first()
+        self.first, self.last = first or datetime(2000, 1, 1), last or datetime(2000, 1, 1)
+        self.end = self.last + timedelta(days=2 * (SLICE + 1))
+        self.stored: set[str] = set()
+
+    def path(self, name: str) -> str:
+        return f"{self.dir}/{name}"
+
+    def topic(self, spark: SparkSession, name: str) -> DataFrame:
+        """A topic as a stream; stored on first use."""
+        if name not in self.stored:
+            self._store(name)
+            self.stored.add(name)
+        return topics.replay_stream(spark, self.path(name), maxFilesPerTrigger=str(FILES_PER_TRIGGER))
+
+    def _store(self, name: str) -> None:
+        messages = MESSAGES[name](self.spark, self.sf_dir)
+        start = self.first
+        while start <= self.last:  # by days of the data, not by rows
+            end = start + timedelta(days=SLICE)
+            part = messages.where((F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(end)))
+            part.write.mode("append").parquet(self.path(name))
+            start = end
+        value = json.dumps({**CLOSING[name], "timestamp": self.end.isoformat()})
+        closing = self.spark.range(1).select(
+            F.lit("end").alias("key"), F.lit(value).alias("value"), F.lit(name).alias("topic"),
+            F.lit(0).alias("partition"), F.lit(0).alias("offset"), F.lit(self.end).alias("timestamp"))
+        topics.envelope(closing).write.mode("append").parquet(self.path(name))
+
+    def job(self, kind, **options):
+        """Run a job over the topics to their end."""
+        wait(kind(checkpoint=self.path("checkpoints"), trigger=sinks.AVAILABLE_NOW,
+                  open_topic=self.topic, **options).start(self.spark))
+
+    def rows(self, kind: str) -> DataFrame:
+        parse, name = {"events": (ps.parse_events, "user-events"),
+                       "products": (ps.parse_products, "product-updates"),
+                       "updates": (ps.parse_profiles, "user-profiles")}[kind]
+        return parse(self.topic(self.spark, name), "fail").rows
+
+    def run(self, df: DataFrame, time_col: str) -> DataFrame:
+        sinks.append(df, self.path("out"), checkpoint=self.path("checkpoint"),
+                     trigger=sinks.AVAILABLE_NOW).awaitTermination()
+        return self.read("out", time_col)
+
+    def read(self, name: str, time_col: str) -> DataFrame:
+        """What was written, without the closing message's rows."""
+        return self.spark.read.parquet(self.path(name)).where(F.col(time_col) <= F.lit(self.last))
+
+
+def _profiles(spark, sf, r):
+    """The stored profile table, written in the sink's schema as a job would."""
+    rows = stored_rows_of(spark, sf).withColumn("processing_time", F.current_timestamp())
+    sinks.append(rows, r.path("profiles"), S.USER_PROFILES)
+    return r.path("profiles")
 
 
 @replay
 def stream_events_per_minute(spark, sf):
     r = _Replay(spark, sf, "counts")
-    counts = agg.count_by_window(r.events(), delay=DELAY)
-    return r.finish(_append(counts)).where("event_type <> 'end'")
+    return r.run(agg.count_by_window(r.rows("events"), delay=DELAY), "window_start")
 
 
 @replay
 def stream_enriched_events(spark, sf):
     r = _Replay(spark, sf, "enriched")
-    joined = jn.join_in_window(r.events(), r.products(), "1 hour", DELAY)
-    lookup = RefreshingLookup(lambda: stored_rows_of(spark, sf), None)
-    rows = jn.enriched_records(jn.join_profiles(joined, lookup.dimension()))
-    return r.finish(_append(rows)).where("event_id <> 'end'").drop("processing_time")
+    r.job(MultiTopicJob, user_events_topic="user-events", product_updates_topic="product-updates",
+          user_profiles_topic="user-profiles", user_profiles_table=_profiles(spark, sf, r),
+          enriched_events_table=r.path("out"), width="1 hour", delay=DELAY,
+          lookup=RefreshingLookup(lambda: stored_rows_of(spark, sf), None))
+    return r.read("out", "event_timestamp").drop("processing_time", "processing_time_day").withColumn(
+        "registration_date", F.col("registration_date").cast("date"))
+
+
+@replay
+def stream_refreshing_lookup(spark, sf):
+    """The profiles are read anew for each micro-batch (they do not change, so results do not either)."""
+    r = _Replay(spark, sf, "refreshing")
+    stream = r.rows("events")
+    lookup = RefreshingLookup(lambda: stored_rows_of(spark, sf), 0.0)
+    sinks.write_each(stream, lookup, r.path("out"), r.path("checkpoint"),
+                     trigger=sinks.AVAILABLE_NOW).awaitTermination()
+    return r.read("out", "event_time")
+
+
+@replay
+def stream_cached_lookup(spark, sf):
+    """A fixed clock: what is found once stays good, so each event has its user's latest profile."""
+    r = _Replay(spark, sf, "cached")
+    lookup = CachedLookup(lambda: stored_rows_of(spark, sf), timedelta(hours=1), r.path("cache"),
+                          lambda: datetime(2030, 1, 1))
+    sinks.write_each(r.rows("events"), lookup, r.path("out"), r.path("checkpoint"),
+                     trigger=sinks.AVAILABLE_NOW).awaitTermination()
+    return r.read("out", "event_time")
 
 
 @replay
 def stream_hybrid(spark, sf):
     r = _Replay(spark, sf, "hybrid")
-    rows = enrich_hybrid_stream(r.events(closing=False), r.updates(), stored_rows_of(spark, sf))
-    return r.finish(_append(rows))
+    rows = enrich_hybrid_stream(r.rows("events"), r.rows("updates"), stored_rows_of(spark, sf),
+                                delay=DELAY)
+    return r.run(rows, "event_time")
+
+
+@replay
+def stream_three_way(spark, sf):
+    r = _Replay(spark, sf, "three-way")
+    profiles = RefreshingLookup(lambda: lk.all_profiles(
+        stored_rows_of(spark, sf), ps.parse_profiles(src.profile_messages(spark, sf)).rows), None)
+    rows = jn.three_way(r.rows("events"), r.rows("products"), profiles.dimension(), "1 hour",
+                        delay=DELAY)
+    return r.run(rows, "event_time")
 
 
 @replay
@@ -143,6 +175,59 @@ def stream_external_lookup(spark, sf):
     r = _Replay(spark, sf, "external")
     default = {"username": "unknown", "user_segment": "unknown"}
     lookup = ExternalLookup(lambda: stored_rows_of(spark, sf), default)
-    events = r.events(closing=False)
-    return r.finish(lambda out, checkpoint: sinks.write_each(
-        events, lookup, out, checkpoint, trigger=sinks.AVAILABLE_NOW)).drop("batch_id")
+    sinks.write_each(r.rows("events"), lookup, r.path("out"), r.path("checkpoint"),
+                     trigger=sinks.AVAILABLE_NOW).awaitTermination()
+    return r.read("out", "event_time")
+
+
+# Sinks -----------------------------------------------------------------------------------------
+
+@replay
+def stream_flat_events(spark, sf):
+    r = _Replay(spark, sf, "flat")
+    r.job(BranchedJob, topic="user-events", output_table=r.path("flat"), one_scan=False)
+    return r.read("flat", "timestamp").drop("processing_time")
+
+
+@replay
+def stream_generic_by_day(spark, sf):
+    """The generic table, read back from the second day of the data on: the day prunes partitions."""
+    r = _Replay(spark, sf, "generic")
+    r.job(TemplateJob, topic="user-events", output_table=r.path("generic"))
+    day = (r.first + timedelta(days=1)).date()
+    return r.read("generic", "event_time").where(F.col("event_time_day") >= F.lit(day)).select(
+        "event_time", "payload")
+
+
+@replay
+def stream_profiles(spark, sf):
+    r = _Replay(spark, sf, "profiles")
+    r.job(MultiTopicJob, user_profiles_topic="user-profiles", user_profiles_table=r.path("table"))
+    return r.read("table", "timestamp").drop("processing_time")
+
+
+@replay
+def stream_fan_out(spark, sf):
+    """One scan to flat events, payloads and rejects; rows of each per event type and day. A third of the
+    messages is damaged in ways that depend on the event type."""
+    r = _Replay(spark, sf, "fan-out")
+    src.damaged_messages(spark, sf).write.parquet(r.path("damaged"))
+    wait(BranchedJob(
+        topic="damaged", output_table=r.path("flat"), generic_output_table=r.path("generic"),
+        quarantine=r.path("rejects"), checkpoint=r.path("checkpoints"), trigger=sinks.AVAILABLE_NOW,
+        open_topic=lambda s, t: topics.replay_stream(
+            s, r.path("damaged"), maxFilesPerTrigger=str(FILES_PER_TRIGGER))).start(spark))
+    flat = spark.read.parquet(r.path("flat")).select(F.lit("flat").alias("kind"), "event_type")
+    generic = spark.read.parquet(r.path("generic")).select(
+        F.lit("generic").alias("kind"), F.get_json_object("payload", "$.event_type").alias("event_type"))
+    bad = spark.read.parquet(r.path("rejects/damaged")).select(
+        F.lit("reject").alias("kind"), F.col("error").alias("event_type"))
+    every = flat.unionByName(generic).unionByName(bad)
+    return every.groupBy("kind", "event_type").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@replay
+def stored_profiles_scan(spark, sf):
+    """The profile table, written and read back through the table scan."""
+    r = _Replay(spark, sf, "scan")
+    return tables.to_profile_rows(tables.table_scan(spark, _profiles(spark, sf, r))).rows

@@ -29,11 +29,6 @@ PRODUCT_ROW = _schema(product_id="string!", product_name="string!", price="doubl
                       category="string!", timestamp="timestamp!")
 PROFILE_ROW = _schema(user_id="string!", username="string!", user_segment="string!",
                       registration_date="string!", timestamp="timestamp!")
-ENRICHED_ROW = _schema(event_id="string!", user_id="string!", event_type="string!",
-                       event_timestamp="timestamp!", product_id="string", product_name="string",
-                       price="double", category="string", username="string",
-                       user_segment="string", registration_date="string",
-                       processing_time="timestamp!")
 
 # Sink tables.
 USER_EVENTS = _schema(event_id="string!", user_id="string!", event_type="string!",

@@ -40,10 +40,20 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (tests, a laptop) falls back to a local folder.
+    Only a session on one machine (tests, a laptop) may do without that setting and falls back to a
+    local folder; elsewhere executors would each write to a disk of their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="rillwork-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`shared_dir` gave."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -13,10 +13,6 @@ from rillwork.operators.parse import to_messages
 EVENT_TYPES = ["page_view", "add_to_cart", "purchase", "remove_from_cart"]
 CATEGORIES = ["Electronics", "Books", "Clothing", "Home", "Sports"]
 SEGMENTS = ["premium", "regular", "new"]
-PRODUCT_NAMES = ["Wireless Headphones", "Laptop Computer", "Coffee Maker", "Running Shoes",
-                 "Smartphone", "Tablet", "Desk Chair", "Monitor", "Keyboard", "Mouse",
-                 "Book - Fiction", "Book - Non-fiction", "T-Shirt", "Jeans", "Jacket",
-                 "Blender", "Toaster", "Vacuum Cleaner", "Basketball", "Tennis Racket"]
 USERS, PRODUCTS = 100, 50
 MIN_PRICE, MAX_PRICE = 10.0, 500.0
 KEY_OF_TOPIC = {"user-events": "user_id", "product-updates": "product_id",
@@ -51,7 +47,7 @@ def synth_topic(spark: SparkSession, topic: str, n: int, seed: int = 42,
                 product, iso]
     elif topic == "product-updates":
         cents = F.lit(int(MIN_PRICE * 100)) + draw("price", int((MAX_PRICE - MIN_PRICE) * 100) + 1)
-        cols = [product, pick("name", PRODUCT_NAMES).alias("product_name"),
+        cols = [product, numbered("Product ", "name", PRODUCTS).alias("product_name"),
                 (cents / 100).alias("price"), pick("category", CATEGORIES).alias("category"), iso]
     else:
         day = F.date_sub(F.to_date(at), (draw("age", 365) + 1).cast("int")).cast("string")

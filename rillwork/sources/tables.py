@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillwork.functions import parse_time
-from rillwork.operators.parse import PROFILE_FIELDS
+from rillwork.operators.parse import ERROR, PROFILE_FIELDS, Parsed
 
 
 def table_scan(spark: SparkSession, name_or_path: str, fmt: str | None = None, **options: str
@@ -16,18 +16,19 @@ def table_scan(spark: SparkSession, name_or_path: str, fmt: str | None = None, *
     return spark.read.format(fmt or "parquet").options(**options).load(name_or_path)
 
 
-def to_profile_rows(table: DataFrame, on_bad_ts: str = "reject") -> DataFrame:
-    """Table rows to in-flight profile rows.
+def to_profile_rows(table: DataFrame, on_bad_ts: str = "reject") -> Parsed:
+    """Table rows to in-flight profile rows, and the rows whose timestamp is none.
 
-    Accepts typed timestamps and text (``... UTC`` or ISO-8601). Text that is no timestamp drops
-    its row, or counts as the current time with ``on_bad_ts='now'``.
+    Accepts typed timestamps and text (``... UTC`` or ISO-8601). Text that is no timestamp sends its
+    row to the rejects, or counts as the current time with ``on_bad_ts='now'``.
     """
     typed = dict(table.dtypes)["timestamp"].startswith("timestamp")
     time = F.col("timestamp").cast("timestamp") if typed else parse_time(F.col("timestamp"))
-    if on_bad_ts == "now":
-        time = F.coalesce(time, F.current_timestamp())
-    elif on_bad_ts != "reject":
+    if on_bad_ts not in ("reject", "now"):
         raise ValueError(f"on_bad_ts must be 'reject' or 'now', got {on_bad_ts!r}")
-    rows = table.select(*[F.col(c).cast("string").alias(c) for c in PROFILE_FIELDS],
-                        time.alias("timestamp"))
-    return rows.where(F.col("timestamp").isNotNull()) if on_bad_ts == "reject" else rows
+    bad = time.isNull() if on_bad_ts == "reject" else F.lit(False)
+    read = F.coalesce(time, F.current_timestamp()) if on_bad_ts == "now" else time
+    rows = table.where(~bad).select(*[F.col(c).cast("string").alias(c) for c in PROFILE_FIELDS],
+                                    read.alias("timestamp"))
+    error = F.lit("missing or invalid: timestamp").alias(ERROR)
+    return Parsed(rows, table.where(bad).select(*table.columns, error))

@@ -27,7 +27,9 @@ def _options(servers: str, topics: str | list[str], starting: str | None, group_
     opts = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(names),
             "startingOffsets": starting_offsets(starting)}
     if group_id:
-        opts["kafka.group.id"] = group_id
+        # A prefix: each query makes its own id from it. Queries that shared one id would share the
+        # topic's partitions, and each read only part of the messages.
+        opts["groupIdPrefix"] = group_id
     return {**opts, **(extra or {})}
 
 

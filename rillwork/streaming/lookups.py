@@ -7,21 +7,26 @@ so losing executors costs nothing and each micro-batch reads it ready deduplicat
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rillwork.operators.aggregate import colwise_max, latest_profiles
 from rillwork.operators.join import PROFILE_COLS, join_profiles
 from rillwork.operators.lookup import VERSION_COLS, all_profiles, enrich_lookup
-from rillwork.session import shared_dir
+from rillwork.session import remove, shared_dir
 
 Load = Callable[[], DataFrame]
 
 
 class RefreshingLookup:
-    """Snapshot renewed when it is older than ``every`` seconds (``None``: never again)."""
+    """Snapshot renewed when it is older than ``every`` seconds (``None``: never again).
+
+    Each renewal writes a new copy. The copy before is kept, because a micro-batch that started with
+    it may still run; older ones are removed.
+    """
 
     def __init__(self, load: Load, every: float | None = 1800.0,
                  clock: Callable[[], float] = time.monotonic):
@@ -29,6 +34,7 @@ class RefreshingLookup:
         self.loads = 0
         self._dim: DataFrame | None = None
         self._loaded_at = 0.0
+        self._copies: list[str] = []
 
     def dimension(self) -> DataFrame:
         now = self.clock()
@@ -36,10 +42,14 @@ class RefreshingLookup:
                                            and now - self._loaded_at >= self.every)
         if self._dim is None or stale:
             rows = latest_profiles(self.load())
-            path = shared_dir(rows.sparkSession, "profiles")
+            spark = rows.sparkSession
+            path = shared_dir(spark, "profiles")
             rows.write.parquet(path)
-            self._dim = rows.sparkSession.read.parquet(path)
+            self._dim = spark.read.schema(rows.schema).parquet(path)
             self._loaded_at, self.loads = now, self.loads + 1
+            self._copies.append(path)
+            while len(self._copies) > 2:
+                remove(spark, self._copies.pop(0))
         return self._dim
 
     def __call__(self, batch: DataFrame, batch_id: int) -> DataFrame:
@@ -74,34 +84,61 @@ class CachedLookup:
 
     All rows of a micro-batch share one clock reading. A profile is good while
     now < fetch time + ttl; users without a good profile are looked up in the table; a miss is not
-    kept. The cache is a table of its own, written once per micro-batch into the slot of even or
-    odd batch ids: a repeated batch reads the other slot, which it has not touched. It grows with
-    the users seen within the ttl, not with the events.
+    kept. Users are dealt into buckets by hash; a micro-batch reads the buckets of its users and
+    writes those in which something changed, each as a new version that drops expired entries. A
+    repeated batch reads the versions of the batches before it. A bucket's version before last is
+    removed. After a restart the cache is empty and fills anew.
     """
 
     SCHEMA = ("user_id string, fetched_at timestamp, username string, user_segment string, "
               "registration_date string")
 
     def __init__(self, load: Load, ttl: timedelta, path: str,
-                 clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)):
-        self.load, self.ttl, self.clock = load, ttl, clock
-        self.path = path.rstrip("/")
-
-    def _slot(self, batch_id: int) -> str:
-        return f"{self.path}/slot={batch_id % 2}"
+                 clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+                 buckets: int = 256):
+        self.load, self.ttl, self.clock, self.buckets = load, ttl, clock, buckets
+        self.path = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+        self._versions: dict[int, list[int]] = {}
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int")
+
+    def _folder(self, bucket: int, batch_id: int) -> str:
+        return f"{self.path}/batch={batch_id}/bucket={bucket}"
+
+    def _stored(self, spark: SparkSession, buckets: list[int], before: int) -> DataFrame:
+        found = []
+        for b in buckets:
+            older = [v for v in self._versions.get(b, []) if v < before]
+            found += [self._folder(b, older[-1])] if older else []
+        if not found:
+            return spark.createDataFrame([], self.SCHEMA)
+        return spark.read.schema(self.SCHEMA).parquet(*found)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> DataFrame:
         spark = batch.sparkSession
         now = F.lit(self.clock())
-        if batch_id == 0:
-            cache = spark.createDataFrame([], self.SCHEMA)
-        else:
-            cache = spark.read.schema(self.SCHEMA).parquet(self._slot(batch_id - 1))
-        good = cache.where(F.col("fetched_at") > now - F.lit(self.ttl))
-        users = batch.select("user_id").distinct()
+        users = batch.select("user_id").where("user_id is not null").distinct().withColumn(
+            "bucket", self._bucket())
+        touched = sorted(r["bucket"] for r in users.select("bucket").distinct().collect())
+        good = self._stored(spark, touched, batch_id).where(F.col("fetched_at") > now - F.lit(self.ttl))
         missing = users.join(good.select("user_id"), "user_id", "left_anti")
         wanted = self.load().select(*VERSION_COLS).join(missing, "user_id", "left_semi")
         found = latest_profiles(wanted).select("user_id", now.alias("fetched_at"), *PROFILE_COLS)
-        good.unionByName(found).write.mode("overwrite").parquet(self._slot(batch_id))
-        fresh = spark.read.schema(self.SCHEMA).parquet(self._slot(batch_id))
-        return join_profiles(batch, fresh)
+        new = f"{self.path}/new={batch_id}"
+        found.withColumn("bucket", self._bucket()).write.mode("overwrite").parquet(new)
+        fetched = spark.read.schema(f"{self.SCHEMA}, bucket int").parquet(new)
+        changed = sorted(r["bucket"] for r in fetched.select("bucket").distinct().collect())
+        if changed:
+            after = self._stored(spark, changed, batch_id).where(
+                F.col("fetched_at") > now - F.lit(self.ttl)).withColumn("bucket", self._bucket())
+            after.unionByName(fetched).write.mode("overwrite").partitionBy("bucket").parquet(
+                f"{self.path}/batch={batch_id}")
+        remove(spark, new)
+        for b in changed:
+            kept = [v for v in self._versions.get(b, []) if v < batch_id]
+            for v in kept[:-1]:
+                remove(spark, self._folder(b, v))
+            self._versions[b] = [*kept[-1:], batch_id]
+        return join_profiles(batch, self._stored(spark, touched, batch_id + 1).where(
+            F.col("fetched_at") > now - F.lit(self.ttl)))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rillwork.functions import day_of
@@ -81,36 +81,58 @@ class Branch(NamedTuple):
     partition_by: str | None = None
 
 
-def write_batch(df: DataFrame, batch_id: int, target: str, schema: T.StructType | None = None,
-                partition_by: str | None = None, fmt: str = "parquet") -> None:
-    """Write one micro-batch under its ``batch_id``; writing it again replaces it.
+def last_written(spark: SparkSession, marker: str) -> int:
+    """The id of the last micro-batch that a marker tells of, -1 before the first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(marker)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return -1
+    last = spark.read.schema("batch_id bigint").parquet(marker).agg(F.max("batch_id")).first()[0]
+    return -1 if last is None else last
 
-    Dynamic overwrite touches only this batch's partitions. Give the target a single writer.
+
+def write_batch(df: DataFrame, batch_id: int, target: str, marker: str,
+                schema: T.StructType | None = None, partition_by: str | None = None) -> None:
+    """Append one micro-batch to a path or table, in the layout that :func:`append` gives.
+
+    The marker, a folder of its own per target, keeps the ids of written batches; a batch that it tells
+    of is not written again. Only a driver that is lost between the two commits repeats one.
     """
-    rows, parts = _by_day(conform(df, schema) if schema is not None else df, partition_by)
-    (rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").format(fmt)
-     .partitionBy("batch_id", *parts).save(target))
+    spark = df.sparkSession
+    if batch_id <= last_written(spark, marker):
+        return
+    append(df, target, schema, partition_by=partition_by)
+    spark.range(batch_id, batch_id + 1, 1, 1).toDF("batch_id").write.mode("append").parquet(marker)
+
+
+def _start(stream: DataFrame, run, checkpoint: str, trigger: dict | None, name: str | None
+           ) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def write_each(stream: DataFrame, transform: Callable[[DataFrame, int], DataFrame], target: str,
                checkpoint: str, schema: T.StructType | None = None,
                partition_by: str | None = None, trigger: dict | None = None,
                name: str | None = None) -> StreamingQuery:
-    """Transform each micro-batch as a batch DataFrame, then write it under its batch id."""
+    """Transform each micro-batch as a batch DataFrame, then append it. The micro-batch is kept while
+    that goes on, so a transform that reads it several times does not run the stream's plan again."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_batch(transform(batch, batch_id), batch_id, target, schema, partition_by)
+        batch.persist()
+        try:
+            write_batch(transform(batch, batch_id), batch_id, target, f"{checkpoint}/written",
+                        schema, partition_by)
+        finally:
+            batch.unpersist()
 
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    if name:
-        writer = writer.queryName(name)
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    return _start(stream, run, checkpoint, trigger, name)
 
 
 def write_all(stream: DataFrame, branches: list[Branch], checkpoint: str,
               trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    """Fan out one scan: each micro-batch is read once, kept, and written to every branch.
+    """Fan out one scan: each micro-batch is read once, kept, and appended to every branch.
 
     For stateless branches; a windowed count needs a query of its own.
     """
@@ -118,12 +140,10 @@ def write_all(stream: DataFrame, branches: list[Branch], checkpoint: str,
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            for b in branches:
-                write_batch(b.rows(batch), batch_id, b.target, b.schema, b.partition_by)
+            for i, b in enumerate(branches):
+                write_batch(b.rows(batch), batch_id, b.target, f"{checkpoint}/written-{i}", b.schema,
+                            b.partition_by)
         finally:
             batch.unpersist()
 
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    if name:
-        writer = writer.queryName(name)
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    return _start(stream, run, checkpoint, trigger, name)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from rillwork import schemas as S
 
 T0 = datetime(2024, 1, 1)
@@ -42,3 +44,9 @@ def profile_rows(spark, rows):
 
 def tuples(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def record_of(value):
+    """A payload function: the record of an event message."""
+    time = F.get_json_object(value, "$.timestamp")
+    return F.to_json(F.struct(time.alias("event_time"), value.alias("payload")))

@@ -1,5 +1,6 @@
 import itertools
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -43,16 +44,8 @@ def _products(spark):
         ("p1", "C", 3.0, "c", at(60)), ("p3", "D", 4.0, "c", at(60))])
 
 
-@pytest.fixture(params=["true", "false"])
-def adaptive(spark, request):
-    """Without adaptive execution the event side is counted and split as well."""
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", request.param)
-    yield request.param
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-
-
 @pytest.mark.parametrize("hot_rows", [None, 1, 1_000_000])
-def test_join_in_window(spark, adaptive, hot_rows):
+def test_join_in_window(spark, hot_rows):
     got = tuples(jn.join_in_window(_events(spark), _products(spark), hot_rows=hot_rows).select(
         "event_id", "product_id", "product_name"))
     assert got == sorted([
@@ -71,7 +64,7 @@ def test_three_way_keeps_own_product_id(spark):
 
 @SLOW
 @given(seed=st.integers(0, 10_000), hot_rows=st.integers(1, 6))
-def test_split_join_equals_brute_force(spark, adaptive, seed, hot_rows):
+def test_split_join_equals_brute_force(spark, seed, hot_rows):
     rnd = random.Random(seed)
     ids = ["hot"] * 6 + ["a", "b", None]
     ev = [(f"e{i}", "u", "t", rnd.choice(ids), at(rnd.randrange(180))) for i in range(60)]
@@ -101,24 +94,22 @@ def test_asof_equals_brute_force(spark, seed, hot_rows):
     assert tuples(got.select("event_id", "username")) == sorted(want, key=repr)
 
 
-@SLOW
-@given(seed=st.integers(0, 10_000))
-def test_cache_equals_brute_force(spark, seed):
-    rnd = random.Random(seed)
-    ev = [(f"e{i}", rnd.choice("ab"), "t", None, at(10 * rnd.randrange(120))) for i in range(60)]
-    ve = [(rnd.choice("ab"), f"n{i:02d}", "s", "d", at(rnd.randrange(900))) for i in range(8)]
-    ttl, tick = 120, 10
+@pytest.mark.parametrize("hot_rows", [None, 3])
+def test_asof_with_many_versions_and_times_before_1970(spark, hot_rows):
+    """One user has most versions; the finer slices of a hot one carry versions over."""
+    rnd = random.Random(5)
+    base = datetime(1965, 3, 1)
+    when = lambda: base + timedelta(seconds=rnd.randrange(40_000))
+    ev = [(f"e{i}", rnd.choice("uuuv"), "t", None, when()) for i in range(40)]
+    ve = [("u", f"n{i % 97:02d}", "s", "d", when()) for i in range(120)]
+    snap = [("u", "stored", "s", "d", at(0)), ("v", "only", "s", "d", at(0))]
     want = []
-    for user in "ab":
-        cached = None
-        for e in sorted((e for e in ev if e[1] == user), key=lambda e: (e[4], e[0])):
-            if cached is None or (e[4] - cached[0]).total_seconds() >= ttl:
-                seen = [v for v in ve if v[0] == user and v[4] <= e[4]]
-                name = max(seen, key=lambda v: (v[4], v[1]))[1] if seen else None
-                cached = (e[4], name) if name else None
-            want.append((e[0], cached[1] if cached else None))
-    got = lk.enrich_cached(event_rows(spark, ev), profile_rows(spark, ve), f"{ttl} seconds",
-                           f"{tick} seconds", "1 minute")
+    for e in ev:
+        seen = [v for v in ve if v[0] == e[1] and v[4] <= e[4]]
+        stored = {"u": "stored", "v": "only"}[e[1]]
+        want.append((e[0], max(seen, key=lambda v: (v[4], v[1]))[1] if seen else stored))
+    got = lk.enrich_hybrid(event_rows(spark, ev), profile_rows(spark, snap), profile_rows(spark, ve),
+                           "1 hour", hot_rows)
     assert tuples(got.select("event_id", "username")) == sorted(want, key=repr)
 
 

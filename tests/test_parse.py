@@ -75,8 +75,11 @@ def test_stored_profiles_bad_time(spark):
         [("u", "n", "s", "2024-01-01", "2025-08-29 01:22:02 UTC"), ("v", "n", "s", "d", "bad")],
         "user_id string, username string, user_segment string, registration_date string, "
         "timestamp string")
-    assert [r.user_id for r in tables.to_profile_rows(table).collect()] == ["u"]
-    now = tables.to_profile_rows(table, on_bad_ts="now").where("user_id = 'v'").collect()
+    parsed = tables.to_profile_rows(table)
+    assert [r.user_id for r in parsed.rows.collect()] == ["u"]
+    assert [(r.user_id, r.error) for r in parsed.rejects.collect()] == [
+        ("v", "missing or invalid: timestamp")]
+    now = tables.to_profile_rows(table, on_bad_ts="now").rows.where("user_id = 'v'").collect()
     assert now[0].timestamp.year > 2024
     with pytest.raises(ValueError):
         tables.to_profile_rows(table, on_bad_ts="x")
@@ -99,6 +102,19 @@ def test_payload_hook_takes_an_arrow_udf(spark):
     text = '{"created":"2024-01-01T00:00:00","payload":"x"}'
     row = ps.apply_payload_fn(messages(spark, [text]), rename).collect()[0]
     assert row.payload == "x" and row.event_time is not None
+    parsed = ps.parse_payload(messages(spark, [text, "no json", '{"payload":"x"}']), rename)
+    assert parsed.rows.count() == 1
+    assert sorted((r.value, r.error) for r in parsed.rejects.collect()) == [
+        ("no json", "not a JSON object"), ('{"payload":"x"}', "missing or invalid: event_time")]
+
+
+def test_text_fields_take_scalars_only(spark):
+    good = [event(1) | {"event_id": 7}, event(2) | {"event_type": True}, event(3) | {"user_id": "[x]"}]
+    bad = [event(4) | {"event_id": {"a": 1}}, event(5) | {"user_id": ["x"]}]
+    parsed = ps.parse_events(messages(spark, good + bad))
+    assert sorted(tuples(parsed.rows.select("event_id", "user_id", "event_type"))) == [
+        ("7", "u1", "view"), ("e2", "u1", "true"), ("e3", "[x]", "view")]
+    assert [r.error for r in parsed.rejects.collect()] == ["object or array in a text field"] * 2
 
 
 def test_profile_record_types(spark):

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import at, event, event_rows, messages, product_rows, profile_rows, tuples
+from helpers import at, event, event_rows, messages, profile_rows, tuples
 from rillwork import schemas as S
 from rillwork.operators import aggregate as agg, join as jn, lookup as lk, parse as ps
 from rillwork.plans import inputs as src
@@ -22,7 +22,8 @@ NOW = sinks.AVAILABLE_NOW
 
 def store(df, path, files=3):
     """Messages in ``files`` files of rising time, so that a replay has several micro-batches."""
-    bounds = df.approxQuantile("offset", [i / files for i in range(1, files)], 0.0)
+    cuts = [i / files for i in range(1, files)]
+    bounds = df.approxQuantile("offset", cuts, 0.0) if cuts else []
     low = None
     for high in [*bounds, None]:
         part = df
@@ -56,7 +57,7 @@ def topic_dir(spark, sf_dir, tmp_path_factory):
     made = {}
     for name, df, closing in [
             ("user-events", src.event_messages(spark, sf_dir),
-             {"event_id": "end", "user_id": "end", "event_type": "end"}),
+             {"event_id": "end", "user_id": "end", "event_type": "end", "product_id": "end"}),
             ("product-updates", src.product_messages(spark, sf_dir),
              {"product_id": "end", "product_name": "end", "price": 0, "category": "end"}),
             ("user-profiles", src.profile_messages(spark, sf_dir), None)]:
@@ -147,15 +148,47 @@ def test_branched_job_builds_only_what_is_set(spark, topic_dir, tmp_path):
                       **_job_options(tmp_path, topic_dir))
     running = job.start(spark)
     wait(running)
-    assert [q.name for q in running] == ["user_events"]
+    assert [q.name for q in running] == ["tables"]
 
 
-def test_one_scan_replay_replaces_the_batch(spark, tmp_path):
-    df = messages(spark, [event(i) for i in range(5)])
-    for _ in range(2):
-        sinks.write_batch(ps.flatten_events(df), 7, str(tmp_path / "t"), S.USER_EVENTS)
-    sinks.write_batch(ps.flatten_events(df), 8, str(tmp_path / "t"), S.USER_EVENTS)
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 10
+def test_a_repeated_batch_is_written_once(spark, tmp_path):
+    df, target, marker = messages(spark, [event(i) for i in range(5)]), *(str(tmp_path / n) for n in "tm")
+    for batch_id in (7, 7, 8):
+        sinks.write_batch(ps.flatten_events(df), batch_id, target, marker, S.USER_EVENTS)
+    got = spark.read.parquet(target)
+    assert got.count() == 10 and got.columns == S.USER_EVENTS.names
+
+
+def test_per_batch_writers_take_catalog_tables(spark, topic_dir, tmp_path):
+    job = BranchedJob(topic="user-events", output_table="job_flat", generic_output_table="job_generic",
+                      **_job_options(tmp_path, topic_dir))
+    wait(job.start(spark))
+    flat, generic = spark.table("job_flat"), spark.table("job_generic")
+    assert flat.count() == generic.count() > 0 and flat.columns == S.USER_EVENTS.names
+    assert "event_time_day" in generic.columns
+    ev = ps.parse_events(replay(spark, topic_dir["user-events"])).rows
+    sinks.write_each(ev, lambda df, i: df, "job_rows", str(tmp_path / "cp2"), trigger=NOW
+                     ).awaitTermination()
+    assert spark.table("job_rows").count() == flat.count()
+
+
+def test_a_bad_message_ends_a_job_without_quarantine(spark, tmp_path):
+    path = str(tmp_path / "in")
+    messages(spark, [event(0), "no json"]).coalesce(1).write.parquet(path)
+    job = BranchedJob(topic="t", output_table=str(tmp_path / "flat"), checkpoint=str(tmp_path / "cp"),
+                      trigger=NOW, open_topic=lambda s, t: replay(s, path))
+    with pytest.raises(Exception, match="bad message"):
+        wait(job.start(spark))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+    from rillwork.session import shared_dir
+    conf = SimpleNamespace(get=lambda key, default: default)
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        fake = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(fake, "x")
 
 
 @pytest.mark.parametrize("refresh", [None, 0.0])
@@ -262,7 +295,7 @@ def test_cached_lookup(spark, tmp_path):
 
 
 def test_write_each_applies_a_lookup(spark, sf_dir, topic_dir, tmp_path):
-    stored = tables.to_profile_rows(src.profile_table(spark, sf_dir))
+    stored = tables.to_profile_rows(src.profile_table(spark, sf_dir)).rows
     rows = ps.parse_events(replay(spark, topic_dir["user-events"])).rows
     out = str(tmp_path / "out")
     sinks.write_each(rows, ExternalLookup(lambda: stored), out, str(tmp_path / "cp"), trigger=NOW
@@ -272,41 +305,48 @@ def test_write_each_applies_a_lookup(spark, sf_dir, topic_dir, tmp_path):
     assert tuples(got.select(want.columns)) == tuples(want)
 
 
-@pytest.mark.parametrize("parts", [1, 3])
-def test_hybrid_state_equals_batch(spark, sf_dir, tmp_path, parts):
-    """One file per side: all rows are in one micro-batch, so time decides, not arrival."""
+def hybrid(spark, tmp_path, events, updates, stored, files, parts=3, name="h"):
+    """The stream over messages in ``files`` files a side, one file per micro-batch."""
     dirs = {}
-    for name, df in [("e", src.event_messages(spark, sf_dir)),
-                     ("p", src.profile_messages(spark, sf_dir))]:
-        dirs[name] = str(tmp_path / name)
-        df.coalesce(1).write.parquet(dirs[name])
-    stored = tables.to_profile_rows(src.profile_table(spark, sf_dir))
-    events = ps.parse_events(topics.replay_stream(spark, dirs["e"])).rows
-    updates = ps.parse_profiles(topics.replay_stream(spark, dirs["p"])).rows
-    got = run(enrich_hybrid_stream(events, updates, stored, parts), tmp_path, "hybrid")
-    want = lk.enrich_hybrid(ps.parse_events(src.event_messages(spark, sf_dir)).rows, stored,
-                            ps.parse_profiles(src.profile_messages(spark, sf_dir)).rows)
+    for side, df in (("e", events), ("p", updates)):
+        dirs[side] = str(tmp_path / f"{name}-{side}")
+        store(df, dirs[side], files)
+    close(spark, dirs["e"], event_id="end", user_id="end", event_type="end")
+    close(spark, dirs["p"], user_id="end", username="end", user_segment="end", registration_date="d")
+    rows = enrich_hybrid_stream(ps.parse_events(replay(spark, dirs["e"])).rows,
+                                ps.parse_profiles(replay(spark, dirs["p"])).rows, stored, parts,
+                                delay="60 days")
+    return run(rows, tmp_path, name).where("event_id <> 'end'")
+
+
+@pytest.mark.parametrize("parts,files", [(1, 1), (3, 5)])
+def test_hybrid_state_equals_batch(spark, sf_dir, tmp_path, parts, files):
+    stored = tables.to_profile_rows(src.profile_table(spark, sf_dir)).rows
+    events, updates = src.event_messages(spark, sf_dir), src.profile_messages(spark, sf_dir)
+    got = hybrid(spark, tmp_path, events, updates, stored, files, parts)
+    want = lk.enrich_hybrid(ps.parse_events(events).rows, stored, ps.parse_profiles(updates).rows)
     assert tuples(got.select(want.columns)) == tuples(want)
 
 
-def test_hybrid_state_lasts_over_batches(spark, tmp_path):
-    ev, up = str(tmp_path / "e"), str(tmp_path / "u")
-    profile = {"user_id": "u1", "username": "n1", "user_segment": "s", "registration_date": "d",
-               "timestamp": at(0).isoformat()}
-
-    def once():
-        out = enrich_hybrid_stream(ps.parse_events(topics.replay_stream(spark, ev)).rows,
-                                   ps.parse_profiles(topics.replay_stream(spark, up)).rows)
-        return run(out, tmp_path, "h")
-
-    messages(spark, [event(1)]).write.parquet(ev)
-    messages(spark, [profile]).write.parquet(up)
-    once()
-    messages(spark, [event(2), event(3, user="u2")], start=5).write.mode("append").parquet(ev)
-    older = profile | {"username": "n0", "timestamp": at(-60).isoformat()}
-    messages(spark, [older], start=5).write.mode("append").parquet(up)
-    got = once()
-    assert tuples(got.select("event_id", "username")) == [("e1", "n1"), ("e2", "n1"), ("e3", None)]
+@pytest.mark.parametrize("count,files", [(15_000, 1), (40_000, 5)])
+def test_hybrid_state_of_a_hot_user(spark, tmp_path, count, files):
+    """More rows than an Arrow chunk holds; updates lie between events and come in reverse order."""
+    iso = lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    time = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id"))
+    shape = lambda df, value: topics.envelope(df.select(
+        F.lit("u").alias("key"), F.to_json(F.struct(*value)).alias("value"), F.lit("t").alias("topic"),
+        F.lit(0).alias("partition"), (F.lit(count) - F.col("id")).alias("offset"), time.alias("timestamp")))
+    events = shape(spark.range(count), [
+        F.concat(F.lit("e"), "id").alias("event_id"), F.lit("u").alias("user_id"),
+        F.lit("view").alias("event_type"), iso(time).alias("timestamp")])
+    updates = shape(spark.range(0, count, count // 40).withColumn("id", F.col("id") + 7), [
+        F.lit("u").alias("user_id"), F.concat(F.lit("n"), "id").alias("username"),
+        F.lit("s").alias("user_segment"), F.lit("d").alias("registration_date"),
+        iso(time).alias("timestamp")])
+    got = hybrid(spark, tmp_path, events, updates, None, files)
+    want = lk.enrich_hybrid(ps.parse_events(events).rows, profile_rows(spark, []),
+                            ps.parse_profiles(updates).rows).select(got.columns)
+    assert got.count() == count and got.exceptAll(want).isEmpty()
 
 
 def test_cached_state_with_event_clock(spark, tmp_path):
@@ -376,5 +416,5 @@ def test_broker_options():
         "earliest", "earliest", "latest", "latest", "latest"]
     opts = topics._options("h:9092", ["a", "b"], "earliest", "g", {"maxOffsetsPerTrigger": "10"})
     assert opts == {"kafka.bootstrap.servers": "h:9092", "subscribe": "a,b",
-                    "startingOffsets": "earliest", "kafka.group.id": "g",
+                    "startingOffsets": "earliest", "groupIdPrefix": "g",
                     "maxOffsetsPerTrigger": "10"}
