@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -63,7 +62,3 @@ def free_name(df: DataFrame, name: str) -> str:
 def quoted(name: str) -> Column:
     """A column by its exact name, dots and back ticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
-
-
-def word_pattern() -> re.Pattern:
-    return re.compile(WORD)

@@ -41,7 +41,7 @@ ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden|itemprop)(?:\s*
 
 #: What the names of an element say it is; checked part by part.
 AWAY = re.compile(r"(?:nav|navbar|navigation|menu|breadcrumbs?|footer|masthead|topbar|toolbar|sidebar|side|"
-                  r"aside|widget|ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notices|"
+                  r"aside|widget|ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|"
                   r"banner|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|"
                   r"share|sharing|social|related|recommend\w*|trending|comments?|disqus|replies|respond|"
                   r"pagination|pager|form|skip|contentinfo|complementary|dialog|hidden)")

@@ -87,8 +87,9 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.neighbours(read(prepared(spark), sf_dir, "embeddings"), every=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_language_id, op4_secret_scan, op5_line_dedup, op6_simhash, op7_sentencepiece,
-                                   op8_mixing, op9_html_extraction, op10_ann)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_substring_dedup, op3_language_id, op4_secret_scan, op5_line_dedup,
+    op6_simhash, op7_sentencepiece, op8_mixing, op9_html_extraction, op10_ann)}
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": f"""
