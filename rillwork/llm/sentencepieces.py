@@ -31,6 +31,8 @@ class ChunkTable:
         from sentencepiece import SentencePieceProcessor
         self.sp = SentencePieceProcessor(model_proto=model)
         self.ids: dict[str, bytes] = {}
+        # A lone marker, as at the end of a text: the library gives the empty text no dummy prefix.
+        self.marker = self.sp.encode("a ")[len(self.sp.encode("a")):]
 
     def lookup(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as 32-bit integers: those of its marked words, in order."""
@@ -41,9 +43,9 @@ class ChunkTable:
             self.ids.clear()
             new = list(used)
         # The leading marker is left to the dummy prefix.
-        self.ids.update((c, array("i", i).tobytes()) for c, i in
-                        zip(new, self.sp.encode([c[1:] for c in new], num_threads=1)
-                            if new else []))
+        found = self.sp.encode([c[1:] for c in new], num_threads=1) if new else []
+        self.ids.update((c, array("i", ids if len(c) > 1 else self.marker).tobytes())
+                        for c, ids in zip(new, found))
         out = [b"".join(map(self.ids.__getitem__, words)) for words in split]
         for c in new:
             if len(c) > KEPT_CHARS:
