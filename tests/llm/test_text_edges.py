@@ -68,7 +68,9 @@ def test_quality_rules_one_by_one(spark):
 
 
 def test_documents_that_lose_too_much_are_rejected(spark):
-    good = "\n".join(f"Here line number {i} ends as a sentence should, with words {i * 7}." for i in range(9))
+    rng = np.random.default_rng(1)
+    good = "\n".join(" ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(9)) + "."
+                     for _ in range(9))
     bad = "\n".join(f"Menu {i} | Link {i} | Item {i * 3} | More {i * 5} | Last {i * 7}" for i in range(12))
     df = spark.createDataFrame([(1, good), (2, good + "\n" + bad), (3, good + "\nMenu | a | b | c | d")],
                                "doc_id int, text string")
