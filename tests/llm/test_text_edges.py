@@ -206,6 +206,21 @@ def test_formats_are_inferred(spark):
     assert hidden[1000].startswith("here [secret] stands, ") and "zk_" not in hidden[3]
 
 
+@pytest.mark.parametrize("n", [20, 150])
+def test_formats_are_inferred_among_noisy_labels(spark, n):
+    """A few words among the labelled values, and many hidden credentials."""
+    rng = np.random.default_rng(6)
+    pick = lambda chars, k: "".join(rng.choice(list(chars), k))
+    plain = lambda: pick("etaoinshrdlu", 18)
+    key = lambda: "zk_" + pick("0123456789", 8) + "-" + pick("abcdefghijkLMNOPQRSTUVWXYZ0123456789", 24)
+    rows = [(i, f"text token = '{key()}' and {plain()} {plain()}") for i in range(150)]
+    rows += [(500 + i, f"password: {plain()}") for i in range(30)]
+    rows += [(1000 + i, f"here {key()} stands, {plain()} too") for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: [s.kind for s in r.spans] for r in credentials.scan(df).collect()}
+    assert all(got[i] == (["format"] if i >= 1000 else ["assign"]) for i, _ in rows)
+
+
 def test_vectors_that_take_no_part(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [1.0, None]),
