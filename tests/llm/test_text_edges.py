@@ -221,6 +221,50 @@ def test_formats_are_inferred_among_noisy_labels(spark, n):
     assert all(got[i] == (["format"] if i >= 1000 else ["assign"]) for i, _ in rows)
 
 
+def test_formats_are_inferred_in_parts_and_short_ones(spark):
+    """Keys of ten characters, behind names, in paths and before a rule's find."""
+    rng = np.random.default_rng(8)
+    pick = lambda chars, k: "".join(rng.choice(list(chars), k))
+    plain = lambda: pick("etaoinshrdlu", int(rng.integers(6, 19)))
+    key = lambda: "Q" + pick("XZJ", 2) + pick("0123456789", 7)
+    around = {1000: "here {} stands", 2000: "set SOMENAME={} now", 3000: "//some.host/longer/path/{}/edit.html",
+              4000: "it is {}.", 5000: "a/{}/" + "0123456789abcdef" * 2}
+    rows = [(i, f"text token = '{key()}' and {plain()} {plain()} {plain()}") for i in range(150)]
+    rows += [(n + i, f"{plain()} {form.format(key())} {plain()}") for n, form in around.items() for i in range(15)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in credentials.scan(df).collect()}
+    for i, t in rows:
+        found = [t[s.start:s.end] for s in got[i] if s.kind == "format"]
+        assert len(found) == (i >= 1000) and all(len(f) == 10 and f[0] == "Q" for f in found)
+
+
+def test_parts_are_the_best_ones():
+    """The parts beat their limits by as much as the best choice by trying all; the bound is one."""
+    from rillwork.llm.automata import Automaton, Background
+    rng = np.random.default_rng(9)
+    pick = lambda chars, k: "".join(rng.choice(list(chars), k))
+    models = [Automaton.learned([pick("0123456789", 6) + "/" + pick("XYZ", 3) for _ in range(60)]),
+              Automaton.learned([pick("abcdef", int(rng.integers(6, 9))) for _ in range(60)])]
+    plain = Background.learned([pick("etaoinshrdlu", 9) + "/" + pick("XYZ01", 2) for _ in range(99)])
+    formats = credentials.Formats(models, [10, 6], plain, [7.0, 8.0])
+    gains = formats.gains()
+    for _ in range(200):
+        token = pick([pick("0123456789", 6), pick("XYZ", 3), pick("abcdef", 7), "/", "/", ".", "noon"], 9)
+        cuts = [0, *(i + 1 for i, c in enumerate(token) if c in "=/.")]
+        ends = [*(i for i, c in enumerate(token) if c in "=/."), len(token)]
+        best = [0.0] * (len(token) + 1)
+        for e in range(1, len(token) + 1):
+            best[e] = max([best[e - 1]] + [
+                best[s] + r - limit for s in cuts if e in ends and s < e
+                for r, limit, least in zip(formats.ratios(token[s:e]), formats.limits, formats.least) if e - s >= least])
+        got = formats.parts(token, formats.limits)
+        over = sum(x * (e - s) - min((limit for r, limit in zip(formats.ratios(token[s:e]), formats.limits)
+                                      if abs(r - x * (e - s)) < 1e-6)) for s, e, x in got)
+        assert abs(over - best[-1]) < 1e-6
+        codes = credentials.codes_of(token)
+        assert not got or formats.hopeful(codes, [(0, len(token))], gains)
+
+
 def test_vectors_that_take_no_part(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [1.0, None]),
