@@ -67,6 +67,9 @@ class Element:
     depth: int
     silent: bool
     state: str  # "here", "away" or ""
+    doubt: Element | None = None  # the nearest one, or itself, that only a name or a form puts away
+    inside: str = ""  # its state without those
+    seen: bool = False
 
 
 @dataclass
@@ -100,18 +103,61 @@ def named(attributes: str) -> tuple[str, bool]:
 
 
 def child(parent: Element, tag: str, attributes: str) -> Element:
-    """An element's state is what it says, what its tag says, or its parent's. Once away, always away, but
-    for an article or main part inside something that only its name put away."""
+    """An element's state is what it says, what its tag says, or its parent's. Once away, always away, but for
+    what only a name or a form put away: ``doubt`` names these, ``settle`` decides."""
     said, gone = named(attributes) if "=" in attributes or "hidden" in attributes.lower() else ("", False)
     if tag in ("html", "body"):
         said = ""
-    state = parent.state
-    if state != "away":
-        if said == "away" or tag in AWAY_TAGS or tag == "header" and state != "here":
-            state = "away"
-        elif said == "here" or tag in ("article", "main"):
-            state = "here"
-    return Element(tag, parent, parent.depth + 1, parent.silent or gone or tag in SILENT, state)
+    inside = parent.inside
+    weak = False
+    if inside != "away":
+        if tag in AWAY_TAGS - {"form"} or tag == "header" and inside != "here":
+            inside = "away"
+        else:
+            weak = said == "away" or tag == "form"
+            if said == "here" or tag in ("article", "main"):
+                inside = "here"
+    element = Element(tag, parent, parent.depth + 1, parent.silent or gone or tag in SILENT, inside,
+                      parent.doubt, inside)
+    if weak:
+        element.doubt = element
+    return element
+
+
+def settle(blocks: list[Block]) -> None:
+    """A name or a form puts its element away, unless it holds most of the page's text that no tag puts away, and
+    of the article or main part if there is one: such a wrapper says nothing. Then what is inside speaks for
+    itself."""
+    held: dict[int, list[int]] = {}
+    doubts: list[Element] = []
+    total, main = 0, 0
+    for block in blocks:
+        size = len(block.text) - block.linked if block.element.inside != "away" else 0
+        here = size * (block.element.inside == "here")
+        total, main = total + size, main + here
+        d = block.element.doubt
+        if d is not None:
+            most = held.setdefault(id(d), [0, 0])
+            most[0] += size
+            most[1] += here
+        while d is not None and not d.seen:
+            d.seen = True
+            doubts.append(d)
+            d = d.parent.doubt
+    doubts.sort(key=lambda d: -d.depth)
+    for d in doubts:
+        if (outer := d.parent.doubt) is not None:
+            most, part = held.setdefault(id(outer), [0, 0]), held[id(d)]
+            most[0] += part[0]
+            most[1] += part[1]
+    gone: set[int] = set()
+    for d in reversed(doubts):
+        size, here = held[id(d)]
+        if 2 * size <= total or 0 < main >= 2 * here or id(d.parent.doubt) in gone:
+            gone.add(id(d))
+    for block in blocks:
+        e = block.element
+        e.state = "away" if id(e.doubt) in gone else e.inside
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -184,6 +230,7 @@ def blocks_of(page: str) -> list[Block]:
         stack.append(element)
         links += tag == "a"
     flush()
+    settle(found)
     return found
 
 

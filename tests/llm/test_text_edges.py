@@ -295,6 +295,23 @@ def test_main_text(holder):
     assert extract.main_text(PAGE.replace("CLASS", holder)) == MAIN
 
 
+@pytest.mark.parametrize("holder", [
+    '<div id="search"><main>{}</main></div>', '<div class="modal"><article>{}</article></div>',
+    '<article class="post related">{}</article>', '<form action="/"><div>{}</div></form>'])
+def test_main_text_in_misleading_wrappers(holder):
+    inner = ("<p>" + "A sentence of the article, with words. " * 8 + "<div class='ad'>Buy this now!</div>"
+             "<p>Another one, that is to stay.")
+    page = f"<body><nav><a href=x>Menu</a></nav>{holder.format(inner)}<footer>Imprint.</footer></body>"
+    assert extract.main_text(page) == (" ".join(["A sentence of the article, with words."] * 8)
+                                       + "\nAnother one, that is to stay.")
+
+
+def test_comments_longer_than_the_article_stay_away():
+    page = ("<body><article><p>A sentence of the article.</article><div id='comments'>"
+            + "<p>A long comment, with words. " * 9 + "</div></body>")
+    assert extract.main_text(page) == "A sentence of the article."
+
+
 def test_main_text_of_odd_pages():
     for page in (None, "", "   ", "<", "<!-- ", "<script>x", "<p", "<nav><p>Only a menu. Yes.</nav>"):
         assert extract.main_text(page) == ""
