@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillwork.llm import (chunks, credentials, extract, language, lines, mixing, multiindex, quality,
-                          sentencepieces, simhash)
+from rillwork.llm import (chunks, credentials, extract, language, lines, mixing, multiindex, quality, ranked,
+                          resampling, sentencepieces, simhash, winnowing)
 from rillwork.llm.common import WORD, prepared, read
 
 
+#: A term of ranked search, and the letters that it lower-cases.
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def model_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("piece_bpe_32k.model")
@@ -87,9 +92,25 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.neighbours(read(prepared(spark), sf_dir, "embeddings"), every=100)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    return ranked.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compare_edited(read(prepared(spark), sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    found = resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_substring_dedup, op3_language_id, op4_secret_scan, op5_line_dedup,
-    op6_simhash, op7_sentencepiece, op8_mixing, op9_html_extraction, op10_ann)}
+    op6_simhash, op7_sentencepiece, op8_mixing, op9_html_extraction, op10_ann, op11_ranked_search,
+    op12_fingerprints, op13_importance_resampling)}
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": f"""
@@ -157,4 +178,29 @@ judged AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op11_ranked_search": f"""
+WITH terms AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '{TERM}')) AS term
+  FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)),
+sizes AS (SELECT row, count(*) AS n FROM terms GROUP BY row),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM sizes),
+postings AS (
+  SELECT row, doc_id, term, count(*) AS tf, n
+  FROM terms JOIN sizes USING (row) GROUP BY row, doc_id, term, n),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM postings, total GROUP BY term),
+asked AS (
+  SELECT item_id,
+         unnest(regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '{TERM}')) AS term
+  FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length))))::BIGINT AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term), total
+  GROUP BY item_id, row, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+       doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10""",
 }
