@@ -5,11 +5,11 @@ term, the impact grows with its occurrences and falls with the document's length
 throughout, so scores are exact). Each task indexes the documents of its partition slice by slice:
 
 * the posting list of a term is clustered by the similarity of its documents (projections of their impact
-  vectors; each document joins the most similar of some leaders taken from the list), and a cluster is a block;
+  vectors, spherical k-means with first centres taken from the list), and a cluster is a block;
 * a block keeps the coordinatewise maximum of its documents' impact vectors as its summary;
 * a query visits the blocks of its terms' lists. The product of query and summary bounds the score of every
-  document in the block, so the block is skipped only if that bound lies below the score that the query's k-th
-  best document has so far. Documents of the other blocks are scored exactly.
+  document in the block, so the block is skipped if, and only if, that bound lies below the score that the query's
+  k-th best document has so far. Documents that are in no skipped block are scored exactly.
 
 Documents stay where they are: only the best k of each task and query are shuffled. First thresholds are the exact
 scores of a hash sample of the documents; they change how much is skipped, never the result.
@@ -32,7 +32,9 @@ QUERIES = 256
 #: Documents of a slice, and about how many a block of a posting list holds.
 DOCS, BLOCK = 2048, 64
 #: Blocks whose summaries are compared at once, dimensions of the projections.
-CHUNK, DIMENSIONS = 256, 16
+CHUNK, DIMENSIONS = 256, 32
+#: Times that the centres of a list's clusters are moved.
+ROUNDS = 2
 #: One document in so many gives the first thresholds.
 SEEDS = 64
 #: Saturation of an occurrence count, in thousandths of the length norm, and the share of the norm (per cent) that
@@ -83,6 +85,7 @@ class Queries:
             for t, w in terms.items():
                 self.table[t, q] = w
         self.holds = self.table > 0
+        self.rarity = self.table.max(axis=1)
         # Projection of the coordinates: the same in every task.
         self.signs = np.random.default_rng(17).standard_normal((n_terms, DIMENSIONS)).astype(np.float32)
 
@@ -103,23 +106,27 @@ class Slice:
 
     def projections(self, doc: np.ndarray) -> np.ndarray:
         out = np.zeros((len(self.ids), DIMENSIONS), np.float32)
-        weight = self.impact.astype(np.float32)
+        weight = (self.impact * self.queries.rarity[self.terms]).astype(np.float32)
         for d in range(DIMENSIONS):
             out[:, d] = np.bincount(doc, self.queries.signs[self.terms, d] * weight, len(self.ids))
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-30)
 
     def candidates(self, least: np.ndarray) -> np.ndarray:
-        """(document, query): a block with the document has a bound of ``least`` of the query or more."""
-        out = np.zeros((len(self.ids), len(least)), bool)
+        """(document, query): some list of the query has the document, and no block with it is bound to score
+        less than ``least`` of the query."""
+        seen, out = (np.zeros((len(self.ids), len(least)), bool) for _ in range(2))
         for i in range(0, len(self.lists), CHUNK):
             part = self.lists[i:i + CHUNK]
             asked = self.queries.holds[[t for t, _ in part]]
             mine = np.flatnonzero(asked.any(axis=0))
             bound = self.summaries([docs for _, docs in part]) @ self.queries.table[:, mine]
-            passes = asked[:, mine] & (bound >= least[mine]) & (bound > 0)
-            for b in np.flatnonzero(passes.any(axis=1)):
-                out[np.ix_(part[b][1], mine[passes[b]])] = True
-        return out
+            asked = asked[:, mine]
+            fails = asked & (bound < least[mine])
+            for (_, docs), visits, skips in zip(part, asked, fails):
+                seen[np.ix_(docs, mine[visits])] = True
+                if skips.any():
+                    out[np.ix_(docs, mine[skips])] = True
+        return seen & ~out
 
     def summaries(self, blocks: list[np.ndarray]) -> np.ndarray:
         """Per block the coordinatewise maximum of its documents' impacts."""
@@ -146,8 +153,14 @@ def clusters(posted: np.ndarray, near: np.ndarray) -> list[np.ndarray]:
     """The documents of a posting list in groups of similar ones."""
     if len(posted) <= BLOCK:
         return [posted]
-    leaders = posted[::BLOCK]
-    nearest = np.argmax(near[posted] @ near[leaders].T, axis=1)
+    points = near[posted]
+    centres = points[::BLOCK]
+    for _ in range(ROUNDS):
+        nearest = np.argmax(points @ centres.T, axis=1)
+        centres = np.zeros_like(centres)
+        np.add.at(centres, nearest, points)
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-30)
+    nearest = np.argmax(points @ centres.T, axis=1)
     order = np.argsort(nearest, kind="stable")
     return np.split(posted[order], np.flatnonzero(np.diff(nearest[order])) + 1)
 
@@ -195,6 +208,8 @@ def best_of(found: DataFrame, k: int, by: str) -> DataFrame:
 def search_block(docs: DataFrame, queries: list[list[bytes]], k: int) -> DataFrame:
     """(query, doc_id, score) with the best k of each query, from (doc_id, text)."""
     number = {t: i for i, t in enumerate(sorted({t for q in queries for t in q}))}
+    if not number:
+        return docs.sparkSession.createDataFrame([], FOUND)
     forward = written(docs.mapInArrow(forward_rows(number), FORWARD).where("n > 0"), "forward")
     total = forward.agg(F.count("*").alias("docs"), F.sum("n").alias("length")).first()
     n_docs, length = total["docs"], total["length"] or 0

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers_text import DOCS, awkward, brute_components, brute_fingerprint, sha
 from rillwork.llm import (chunks, credentials, extract, language, lines, mixing, multiindex, quality,
-                          sentencepieces, simhash)
+                          resampling, sentencepieces, simhash, winnowing)
 from rillwork.llm.common import prepared
 from rillwork.llm.queries import model_path
 
@@ -22,17 +22,19 @@ def per_row(df):
         "secrets": credentials.scan(df, to="found"), "redacted": credentials.redact(df),
         "lines": lines.dedup_lines(df), "chunks": chunks.drop_repeats(df),
         "ids": sentencepieces.encode_documents(df, model_path()), "text": extract.extract(df, "text", "main"),
-        "prints": simhash.near_duplicates(df), "plan": mixing.plan(df)}
+        "prints": simhash.near_duplicates(df), "plan": mixing.plan(df),
+        "winnowed": winnowing.compare_edited(df), "drawn": resampling.resample(df, df)}
 
 
-NAMES = ["quality", "language", "secrets", "redacted", "lines", "chunks", "ids", "text", "prints", "plan"]
+NAMES = ["quality", "language", "secrets", "redacted", "lines", "chunks", "ids", "text", "prints", "plan",
+         "winnowed", "drawn"]
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_awkward_rows_all_come_back(odd, name):
     got = per_row(odd)[name]
     assert got.count() == odd.count()
-    if name not in ("prints", "plan"):
+    if name not in ("prints", "plan", "winnowed", "drawn"):
         assert set(odd.columns) <= set(got.columns)
 
 
