@@ -10,19 +10,28 @@ from rillwork.operators import skew
 PRODUCT_COLS = ["product_id", "product_name", "price", "category"]
 PROFILE_COLS = ["username", "user_segment", "registration_date"]
 
+#: Groups that events without product id are dealt into where they pass through a stream's join.
+ALONE = 65_536
+
 _WINDOW = "_window"
 _P = "_p_"
 
 
-def _windowed(events: DataFrame, products: DataFrame, width: str, delay: str | None):
-    """Both sides with a window column; product columns renamed so that they stay distinct."""
+def _windowed(events: DataFrame, products: DataFrame, width: str, delay: str | None, marked: bool):
+    """Both sides with a window column; product columns renamed so that they stay distinct.
+    ``marked``: the events' time already carries a watermark, that of a stateful operator before."""
     prods = products.select(*[F.col(c).alias(_P + c) for c in products.columns])
     if events.isStreaming or prods.isStreaming:
         # Watermark a copy of the time and window the copy: two event-time columns in one row
         # would be refused.
         delay = delay or "1 minute"
-        ev = (events.withColumn("_t", F.col("event_time")).withWatermark("_t", delay)
-              .withColumn(_WINDOW, window_of(F.col("_t"), width)).drop("_t"))
+        if marked:
+            # The window carries the mark on; one column of a row may have it.
+            ev = events.withColumn(_WINDOW, window_of(F.col("event_time"), width)).withColumn(
+                "event_time", F.col("event_time").alias("event_time", metadata={}))
+        else:
+            ev = (events.withColumn("_t", F.col("event_time")).withWatermark("_t", delay)
+                  .withColumn(_WINDOW, window_of(F.col("_t"), width)).drop("_t"))
         prods = (prods.withColumn("_t", F.col(_P + "timestamp")).withWatermark("_t", delay)
                  .withColumn(_WINDOW, window_of(F.col("_t"), width)).drop("_t"))
         return ev, prods
@@ -34,25 +43,29 @@ def _windowed(events: DataFrame, products: DataFrame, width: str, delay: str | N
 
 def left_join_in_window(events: DataFrame, products: DataFrame, width: str = "1 minute",
                         delay: str | None = None, hot_rows: int | None = skew.HOT_ROWS,
-                        spread: int = 4) -> DataFrame:
+                        spread: int = 4, marked: bool = False) -> DataFrame:
     """All event columns, plus the product columns of each match under a ``_p_`` prefix.
 
     Equi-join on product id inside one tumbling window, many-to-many. Events without a product id match
     nothing: they go around the join, without shuffle and without state. Batch: (id, window)
     groups above ``hot_rows`` products are split; those of events are split by adaptive execution.
     ``None`` skips the count. Streams: each group is spread over ``spread`` parts and the product
-    side is repeated that often.
+    side is repeated that often. ``marked``: the events come from a stateful operator; going around the join would
+    run that operator twice, so events without product id pass through it, dealt out by hash.
     """
     no_id = F.col("product_id").isNull()
     blank = {f"{_P}{c}": F.lit(None).cast(products.schema[c].dataType).alias(f"{_P}{c}")
              for c in PRODUCT_COLS}
     around = events.where(no_id).select(*events.columns, *blank.values())
-    ev, prods = _windowed(events.where(~no_id), products, width, delay)
+    ev, prods = _windowed(events if marked else events.where(~no_id), products, width, delay, marked)
     keys = ["product_id", _WINDOW]
     prods = prods.withColumnRenamed(_P + "product_id", "product_id").where(
         F.col("product_id").isNotNull())
     if ev.isStreaming or prods.isStreaming:
         lhs, rhs = skew.spread_left(ev, prods, spread, events.columns)
+        if marked:
+            apart = skew.part_of(events.columns, F.lit(ALONE)) + spread
+            lhs = lhs.withColumn(skew.LEFT_PART, F.when(no_id, apart).otherwise(F.col(skew.LEFT_PART)))
         on = [*keys, skew.LEFT_PART]
     elif hot_rows is None:
         lhs, rhs, on = ev, prods, keys
@@ -69,7 +82,8 @@ def left_join_in_window(events: DataFrame, products: DataFrame, width: str = "1
     joined = lhs.join(rhs, cond, "left")
     if "_parts" in lhs.columns:
         joined = joined.where((F.col("_parts") == 1) | F.col("_kproduct_id").isNotNull())
-    return joined.select(*events.columns, *blank).unionByName(around)
+    joined = joined.select(*events.columns, *blank)
+    return joined if marked else joined.unionByName(around)
 
 
 def join_in_window(events: DataFrame, products: DataFrame, width: str = "1 minute",

@@ -125,6 +125,38 @@ def _refreshing(every: str) -> str:
         ON p.user_id = l.user_id AND p.renewed >= l."timestamp\"""")
 
 
+# Column maxima over the stored profiles and the updates up to each event.
+_LIVE = _with("ev", "pu", "st", "up", seen="""
+      SELECT e.event_id, max(v.username) AS username, max(v.user_segment) AS user_segment
+      FROM ev e JOIN (SELECT user_id, username, user_segment, TIMESTAMP '0001-01-01' AS since FROM st
+                      UNION ALL SELECT user_id, username, user_segment, "timestamp" FROM up) v
+        ON e.user_id = v.user_id AND v.since <= e.event_time
+      GROUP BY e.event_id""") + f"""
+      SELECT e.*, p.product_name, p.category, s.username, s.user_segment
+      FROM ev e
+      LEFT JOIN pu p ON e.product_id = p.product_id
+       AND {_bucket('1 hour', 'e.event_time')} = {_bucket('1 hour', 'p."timestamp"')}
+      LEFT JOIN seen s ON e.event_id = s.event_id"""
+
+# A cache walked event by event: (fetched, a_*) is the entry after event n of a user.
+_GOOD = "coalesce(a.event_time < w.fetched + INTERVAL '5 days', FALSE)"
+_CACHE = _with("ev", "up", live=_one_per_time("up"), asked="""
+      SELECT e.*, l.username AS u, l.user_segment AS s, l.registration_date AS d,
+             l.user_id IS NOT NULL AS found,
+             row_number() OVER (PARTITION BY e.user_id ORDER BY e.event_time, e.event_id) AS n
+      FROM ev e ASOF LEFT JOIN live l ON e.user_id = l.user_id AND e.event_time >= l."timestamp\"""",
+               walk=f"""
+      SELECT *, CASE WHEN found THEN event_time END AS fetched, u AS a_u, s AS a_s, d AS a_d,
+             CASE WHEN found THEN 'fetch' ELSE 'miss' END AS cache
+      FROM asked WHERE n = 1
+      UNION ALL
+      SELECT a.*, CASE WHEN {_GOOD} THEN w.fetched WHEN a.found THEN a.event_time END,
+             CASE WHEN {_GOOD} THEN w.a_u ELSE a.u END, CASE WHEN {_GOOD} THEN w.a_s ELSE a.s END,
+             CASE WHEN {_GOOD} THEN w.a_d ELSE a.d END,
+             CASE WHEN {_GOOD} THEN 'hit' WHEN a.found THEN 'fetch' ELSE 'miss' END
+      FROM asked a JOIN walk w ON a.user_id = w.user_id AND a.n = w.n + 1""").replace(
+          "WITH ", "WITH RECURSIVE ", 1)
+
 _DAMAGED = _with("msg", damaged="""
       SELECT "offset", event_type,
              CASE event_type WHEN 'signup' THEN substr(value, 1, length(value) - 1)
@@ -248,6 +280,17 @@ ORACLE |= {
     "stream_refreshing_lookup": _STORED,
     "stream_cached_lookup": _STORED,
     "stream_three_way": ORACLE["enriched_three_way_latest"],
+    "stream_sql_live": _LIVE,
+    "stream_cached_profiles": _CACHE + """
+      SELECT event_id, user_id, event_type, product_id, event_time, a_u AS username, a_s AS user_segment,
+             a_d AS registration_date, cache FROM walk""",
+    "stream_cache_counts": _CACHE + """
+      SELECT strftime(t, '%Y-%m-%d') AS day, cache, count(*) AS n
+      FROM (SELECT event_time AS t, cache FROM walk
+            UNION ALL
+            SELECT fetched + INTERVAL '5 days', 'expired' FROM walk
+            WHERE cache = 'fetch' AND fetched + INTERVAL '5 days' <= (SELECT max(ts) FROM events))
+      GROUP BY ALL""",
     "stream_flat_events": ORACLE["flatten_events"],
     "stream_generic_by_day": _with("msg") + """
       SELECT "timestamp" AS event_time, value AS payload FROM msg

@@ -23,8 +23,8 @@ from rillwork.plans.jobs import BranchedJob, MultiTopicJob, TemplateJob, wait
 from rillwork.session import apply_defaults, shared_dir
 from rillwork.sources import tables, topics
 from rillwork.streaming import sinks
+from rillwork.streaming.cells import enrich_expiring_stream, enrich_hybrid_stream, enrich_sql_stream
 from rillwork.streaming.lookups import CachedLookup, ExternalLookup, RefreshingLookup
-from rillwork.streaming.state import enrich_hybrid_stream
 
 REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -170,6 +170,41 @@ def stream_three_way(spark, sf):
     return r.run(rows, "event_time")
 
 
+@replay
+def stream_sql_live(spark, sf):
+    """Each event with its user's column maxima over the stored profiles and the live updates up to
+    its time, and with the products of its hour: two stateful operators, one after the other."""
+    r = _Replay(spark, sf, "sql-live")
+    seen = enrich_sql_stream(r.rows("events"), r.rows("updates"), stored_rows_of(spark, sf), delay=DELAY)
+    rows = jn.left_join_in_window(seen, r.rows("products"), "1 hour", DELAY, marked=True)
+    return r.run(rows.select("event_id", "user_id", "event_type", "product_id", "event_time",
+                             F.col("_p_product_name").alias("product_name"),
+                             F.col("_p_category").alias("category"), "username", "user_segment"), "event_time")
+
+
+#: Long against the gaps between a user's events, short against the time that updates span.
+TTL = timedelta(days=5)
+
+
+def _expiring(spark, sf, name):
+    """Updates are the table behind the cache, so it changes all the time."""
+    r = _Replay(spark, sf, name)
+    rows = enrich_expiring_stream(r.rows("events"), r.rows("updates"), int(TTL.total_seconds() * 1000), delay=DELAY)
+    return r.run(rows, "event_time")
+
+
+@replay
+def stream_cached_profiles(spark, sf):
+    return _expiring(spark, sf, "expiring").where("cache <> 'expired'")
+
+
+@replay
+def stream_cache_counts(spark, sf):
+    """Hits, fetches, misses and expired entries per day."""
+    return _expiring(spark, sf, "expiry").groupBy(F.to_date("event_time").alias("day"), "cache").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 @replay
 def stream_external_lookup(spark, sf):
     r = _Replay(spark, sf, "external")

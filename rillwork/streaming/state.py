@@ -1,8 +1,4 @@
-"""Profile lookups in keyed state (RocksDB state store), one state cell per user and part.
-
-``parts`` splits a hot user: its events are spread over that many cells and its updates are sent to
-each of them, so every event still sees every update.
-"""
+"""A profile cache in keyed state (RocksDB state store), one entry per user and part."""
 
 from __future__ import annotations
 
@@ -22,84 +18,14 @@ from rillwork.operators.join import PROFILE_COLS, join_profiles
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # No leading underscores: the state worker would rename such columns.
-KIND, TIME, PART = "row_kind", "row_time", "state_part"
-UPDATE, EVENT = 0, 1
+TIME, PART = "row_time", "state_part"
 _CELL = "micros bigint, username string, user_segment string, registration_date string"
 
 
-def _plain(values: pd.Series) -> list:
-    """Values as the state store takes them: missing ones as None."""
-    return [None if v is None or v != v else v for v in values.astype(object)]
-
-
 def _micros(times: pd.Series) -> np.ndarray:
     return times.to_numpy().astype("datetime64[us]").astype("int64")
 
 
-class HybridProfiles(StatefulProcessor):
-    """Latest update at or before the event, else the snapshot's profile (the initial state), else NULL.
-
-    Events wait in state until the watermark has passed them; no earlier update can arrive then. So the
-    result depends on times alone, not on chunks, files, micro-batches or the order of arrival.
-    Updates that a newer one at or before the watermark has replaced are dropped.
-    """
-
-    def __init__(self, event_cols: list[str], event_schema: T.StructType):
-        self.event_cols, self.event_schema = event_cols, event_schema
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.snapshot = handle.getValueState("snapshot", _CELL)
-        self.updates = handle.getListState("updates", _CELL)
-        self.waiting = handle.getListState("waiting", self.event_schema)
-
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        row = initialState.iloc[0]
-        self.snapshot.update((0, *[row[c] for c in PROFILE_COLS]))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        due = set()
-        for chunk in rows:
-            is_update = chunk[KIND].to_numpy() == UPDATE
-            news, events = chunk[is_update], chunk[~is_update]
-            if len(news):
-                self.updates.appendList(list(zip(_micros(news[TIME]).tolist(),
-                                                 *[news[c] for c in PROFILE_COLS])))
-            if len(events):
-                times = _micros(events[TIME])
-                self.waiting.appendList(list(zip(times.tolist(),
-                                                 *[_plain(events[c]) for c in self.event_cols])))
-                due.add(int(times.max()) // 1000 + 1)
-        for millis in due:
-            self.handle.registerTimer(millis)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(self.waiting.get(), key=lambda r: r[0]) if self.waiting.exists() else []
-        updates = sorted(map(tuple, self.updates.get())) if self.updates.exists() else []
-        stored = tuple(self.snapshot.get())[1:] if self.snapshot.exists() else (None,) * len(PROFILE_COLS)
-        times = np.array([u[0] for u in updates], np.int64)
-        done = [r for r in waiting if r[0] <= passed]
-        at = np.searchsorted(times, [r[0] for r in done], side="right") - 1
-        self._keep(self.waiting, waiting[len(done):], len(done))
-        stale = max(int(np.searchsorted(times, passed, side="right")) - 1, 0)
-        self._keep(self.updates, updates[stale:], stale)
-        for i in range(0, len(done), 10_000):
-            part = done[i:i + 10_000]
-            found = [updates[k][1:] if k >= 0 else stored for k in at[i:i + 10_000]]
-            out = {c: [r[n + 1] for r in part] for n, c in enumerate(self.event_cols)}
-            out |= {c: [f[n] for f in found] for n, c in enumerate(PROFILE_COLS)}
-            yield pd.DataFrame(out)
-
-    @staticmethod
-    def _keep(state, rows: list, gone: int) -> None:
-        if gone and rows:
-            state.put(rows)
-        elif gone:
-            state.clear()
-
-
 class CachedProfiles(StatefulProcessor):
     """A profile is kept for ``ttl_ms`` after it was taken from the row's candidate.
 
@@ -151,45 +77,6 @@ def _part_of(events: DataFrame, parts: int) -> Column:
     return F.pmod(F.xxhash64(*events.columns), F.lit(parts)).cast("int")
 
 
-def _each_part(parts: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-
-
-def enrich_hybrid_stream(events: DataFrame, updates: DataFrame, snapshot: DataFrame | None = None,
-                         parts: int = 4, delay: str = "1 minute") -> DataFrame:
-    """Events with the latest profile update as of their time, else the snapshot's profile.
-
-    An event is put out once the watermark (``delay`` behind the newest rows of the slower side) has
-    passed its micro-batch's events of the user. Rows behind the watermark are late and dropped.
-    """
-    nothing = {c: F.lit(None).cast("string").alias(c) for c in PROFILE_COLS}
-    # All event columns wait as text: pandas would turn a number column with gaps into floats.
-    kinds = {f.name: f.dataType for f in events.schema.fields}
-    times = [c for c, kind in kinds.items() if isinstance(kind, T.TimestampType)]
-    held = T.StructType([T.StructField(c, T.StringType()) for c in events.columns])
-    as_text = lambda c: (F.unix_micros(c) if c in times else F.col(c)).cast("string").alias(c)
-    back = lambda c: (F.timestamp_micros(F.col(c).cast("bigint")) if c in times
-                      else F.col(c).cast(kinds[c])).alias(c)
-    ev = events.withColumn(TIME, F.col("event_time")).withWatermark(TIME, delay).select(
-        *map(as_text, events.columns), *nothing.values(), F.lit(EVENT).alias(KIND), TIME,
-        _part_of(events, parts).alias(PART))
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in held.fields if f.name != "user_id"]
-    up = updates.withColumn(TIME, F.col("timestamp")).withWatermark(TIME, delay).select(
-        "user_id", *blank, *PROFILE_COLS, F.lit(UPDATE).alias(KIND), TIME, _each_part(parts).alias(PART))
-    keyed = ev.unionByName(up).groupBy("user_id", PART)
-    initial = None
-    if snapshot is not None:
-        base = latest_profiles(snapshot).select("user_id", *PROFILE_COLS,
-                                                _each_part(parts).alias(PART))
-        initial = base.groupBy("user_id", PART)
-    waiting = T.StructType([T.StructField("micros", T.LongType()), *held.fields])
-    text = [T.StructField(c, T.StringType()) for c in PROFILE_COLS]
-    found = keyed.transformWithStateInPandas(
-        HybridProfiles(events.columns, waiting), T.StructType([*held.fields, *text]), "append",
-        "EventTime", initial)
-    return found.select(*map(back, events.columns), *PROFILE_COLS)
-
-
 def enrich_cached_stream(events: DataFrame, profiles: DataFrame, ttl_ms: int,
                          clock: str = "processing", parts: int = 4, cleanup: bool = False
                          ) -> DataFrame:

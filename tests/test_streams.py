@@ -13,8 +13,9 @@ from rillwork.plans import inputs as src
 from rillwork.plans.jobs import BranchedJob, MultiTopicJob, TemplateJob, wait
 from rillwork.sources import tables, topics
 from rillwork.streaming import sinks
+from rillwork.streaming.cells import enrich_hybrid_stream
 from rillwork.streaming.lookups import CachedLookup, ExternalLookup, RefreshingLookup, SqlLookup
-from rillwork.streaming.state import enrich_cached_stream, enrich_hybrid_stream
+from rillwork.streaming.state import enrich_cached_stream
 
 FAR = datetime(2100, 1, 1)
 NOW = sinks.AVAILABLE_NOW
