@@ -15,8 +15,9 @@ from rillwork.functions import day_of, window_of
 from rillwork.operators import (aggregate as agg, inspect as look, join as jn, lookup as lk,
                                 parse as ps, sqlfile)
 from rillwork.plans import inputs as src
-from rillwork.session import apply_defaults
+from rillwork.session import apply_defaults, shared_dir
 from rillwork.sources import tables, topics
+from rillwork.sources.buckets import BucketedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -310,6 +311,16 @@ def point_lookup(spark, sf):
     return lk.point_lookup(stored_rows_of(spark, sf), busiest.scalar())
 
 
+@query
+def bucketed_point_lookup(spark, sf):
+    """The same profile from a bucketed table: one bucket is read, and the key reaches the scan."""
+    busiest = (src.read(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+               .orderBy(F.col("n").desc(), "user_id").select(F.col("user_id").cast("string")).first())
+    user = busiest[0] if busiest else ""
+    table = BucketedTable.create(shared_dir(spark, "bucketed"), agg.latest_profiles(stored_rows_of(spark, sf)))
+    return lk.point_lookup(table.of_key(user), user)
+
+
 @query
 def fallback_chain(spark, sf):
     """Sign-ups first, then stored profiles, then a default. User ids are taken times 20, so that users

@@ -16,7 +16,7 @@ from rillwork import schemas as S
 from rillwork.operators import aggregate as agg, join as jn, parse as ps
 from rillwork.session import apply_defaults
 from rillwork.sources import tables, topics
-from rillwork.streaming import sinks
+from rillwork.streaming import commits, sinks
 from rillwork.streaming.lookups import RefreshingLookup
 
 OpenTopic = Callable[[SparkSession, str], DataFrame]
@@ -70,10 +70,12 @@ class BranchedJob(_TopicJob):
     width: str = "1 minute"
     delay: str = "1 minute"
     one_scan: bool = True
+    commit_root: str | None = None
 
     def start(self, spark: SparkSession) -> list[StreamingQuery]:
         """The first two tables and the rejects share a single read of the topic; without ``one_scan``
-        each has a query of its own. Counts are always a query of their own."""
+        each has a query of its own. Counts are always a query of their own. With ``commit_root`` tables
+        and rejects are names below that folder and every micro-batch is one commit of all of them."""
         messages = self._topic(apply_defaults(spark), self.topic)
         mode, running = self.mode, []
         if self.one_scan:
@@ -84,10 +86,14 @@ class BranchedJob(_TopicJob):
                                              self.generic_output_table, S.GENERIC,
                                              S.PARTITION_BY["generic"]))
             if self.quarantine:
-                branches.append(sinks.Branch(lambda df: ps.parse_events(df).rejects,
-                                             self._rejects_target(self.topic)))
-            running.append(sinks.write_all(messages, branches, f"{self.checkpoint}/tables",
-                                           self.trigger, "tables"))
+                branches.append(sinks.Branch(
+                    lambda df: ps.parse_events(df).rejects,
+                    self.quarantine if self.commit_root else self._rejects_target(self.topic)))
+            checkpoint = f"{self.checkpoint}/tables"
+            running.append(
+                commits.write_together(messages, branches, self.commit_root, checkpoint, self.trigger, "tables")
+                if self.commit_root else
+                sinks.write_all(messages, branches, checkpoint, self.trigger, "tables"))
         else:
             running.append(self._append(ps.flatten_events(messages, mode), self.output_table,
                                         S.USER_EVENTS, "user_events"))

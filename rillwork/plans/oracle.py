@@ -296,6 +296,8 @@ ORACLE |= {
       SELECT "timestamp" AS event_time, value AS payload FROM msg
       WHERE CAST("timestamp" AS DATE) > (SELECT CAST(min(ts) AS DATE) FROM events)""",
     "stream_profiles": ORACLE["profile_records"],
+    "stream_profiles_latest": ORACLE["profiles_latest_with_updates"],
+    "bucketed_point_lookup": ORACLE["point_lookup"],
     "stored_profiles_scan": ORACLE["table_profile_rows"],
     "stream_fan_out": _DAMAGED + """
       SELECT 'flat' AS kind, event_type, count(*) AS messages FROM events
@@ -306,3 +308,4 @@ ORACLE |= {
       UNION ALL
       SELECT 'reject', error, count(*) FROM rejects GROUP BY error""",
 }
+ORACLE["stream_fan_out_committed"] = ORACLE["stream_fan_out"]

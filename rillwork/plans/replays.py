@@ -22,9 +22,10 @@ from rillwork.plans.catalog import plain_times, stored_rows_of
 from rillwork.plans.jobs import BranchedJob, MultiTopicJob, TemplateJob, wait
 from rillwork.session import apply_defaults, shared_dir
 from rillwork.sources import tables, topics
-from rillwork.streaming import sinks
+from rillwork.sources.buckets import BucketedTable
+from rillwork.streaming import commits, sinks
 from rillwork.streaming.cells import enrich_expiring_stream, enrich_hybrid_stream, enrich_sql_stream
-from rillwork.streaming.lookups import CachedLookup, ExternalLookup, RefreshingLookup
+from rillwork.streaming.lookups import BucketedLookup, CachedLookup, RefreshingLookup, keep_latest
 
 REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -209,7 +210,8 @@ def stream_cache_counts(spark, sf):
 def stream_external_lookup(spark, sf):
     r = _Replay(spark, sf, "external")
     default = {"username": "unknown", "user_segment": "unknown"}
-    lookup = ExternalLookup(lambda: stored_rows_of(spark, sf), default)
+    BucketedTable.create(r.path("table"), agg.latest_profiles(stored_rows_of(spark, sf)))
+    lookup = BucketedLookup(r.path("table"), default)
     sinks.write_each(r.rows("events"), lookup, r.path("out"), r.path("checkpoint"),
                      trigger=sinks.AVAILABLE_NOW).awaitTermination()
     return r.read("out", "event_time")
@@ -241,23 +243,47 @@ def stream_profiles(spark, sf):
     return r.read("table", "timestamp").drop("processing_time")
 
 
+@replay
+def stream_profiles_latest(spark, sf):
+    """A table of the latest profile per user: the stored ones, kept up to date by the live updates."""
+    r = _Replay(spark, sf, "latest")
+    table = BucketedTable.create(r.path("table"), agg.latest_profiles(stored_rows_of(spark, sf)))
+    keep_latest(r.rows("updates"), table, r.path("checkpoint"), sinks.AVAILABLE_NOW).awaitTermination()
+    return BucketedTable(spark, r.path("table")).rows().where(F.col("timestamp") <= F.lit(r.last))
+
+
+@replay
+def stream_fan_out_committed(spark, sf):
+    """As ``stream_fan_out``, but each micro-batch is one commit of all three tables."""
+    r = _Replay(spark, sf, "committed")
+    _fan_out(spark, sf, r, "flat", "generic", "rejects", r.path("tables"))
+    return _per_kind(*[commits.committed(spark, r.path("tables"), t) for t in ("flat", "generic", "rejects")])
+
+
 @replay
 def stream_fan_out(spark, sf):
     """One scan to flat events, payloads and rejects; rows of each per event type and day. A third of the
     messages is damaged in ways that depend on the event type."""
     r = _Replay(spark, sf, "fan-out")
+    _fan_out(spark, sf, r, *map(r.path, ("flat", "generic", "rejects")))
+    return _per_kind(*[spark.read.parquet(r.path(p)) for p in ("flat", "generic", "rejects/damaged")])
+
+
+def _fan_out(spark, sf, r, flat, generic, rejects, commit_root=None):
     src.damaged_messages(spark, sf).write.parquet(r.path("damaged"))
     wait(BranchedJob(
-        topic="damaged", output_table=r.path("flat"), generic_output_table=r.path("generic"),
-        quarantine=r.path("rejects"), checkpoint=r.path("checkpoints"), trigger=sinks.AVAILABLE_NOW,
+        topic="damaged", output_table=flat, generic_output_table=generic, quarantine=rejects,
+        checkpoint=r.path("checkpoints"), trigger=sinks.AVAILABLE_NOW, commit_root=commit_root,
         open_topic=lambda s, t: topics.replay_stream(
             s, r.path("damaged"), maxFilesPerTrigger=str(FILES_PER_TRIGGER))).start(spark))
-    flat = spark.read.parquet(r.path("flat")).select(F.lit("flat").alias("kind"), "event_type")
-    generic = spark.read.parquet(r.path("generic")).select(
-        F.lit("generic").alias("kind"), F.get_json_object("payload", "$.event_type").alias("event_type"))
-    bad = spark.read.parquet(r.path("rejects/damaged")).select(
-        F.lit("reject").alias("kind"), F.col("error").alias("event_type"))
-    every = flat.unionByName(generic).unionByName(bad)
+
+
+def _per_kind(flat, generic, rejects):
+    kinds = [flat.select(F.lit("flat").alias("kind"), "event_type"),
+             generic.select(F.lit("generic").alias("kind"),
+                            F.get_json_object("payload", "$.event_type").alias("event_type")),
+             rejects.select(F.lit("reject").alias("kind"), F.col("error").alias("event_type"))]
+    every = kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
     return every.groupBy("kind", "event_type").agg(F.count(F.lit(1)).alias("messages"))
 
 

@@ -12,11 +12,14 @@ from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from rillwork.operators.aggregate import colwise_max, latest_profiles
+from rillwork.operators.aggregate import PROFILE_ORDER, colwise_max, latest_profiles
 from rillwork.operators.join import PROFILE_COLS, join_profiles
 from rillwork.operators.lookup import VERSION_COLS, all_profiles, enrich_lookup
 from rillwork.session import remove, shared_dir
+from rillwork.sources.buckets import BucketedTable
+from rillwork.streaming.sinks import start
 
 Load = Callable[[], DataFrame]
 
@@ -79,6 +82,39 @@ class ExternalLookup:
         return enrich_lookup(batch, self.load(), self.default)
 
 
+class BucketedLookup:
+    """The newest version of a bucketed table, of which only the buckets and row groups with the
+    micro-batch's users are read."""
+
+    def __init__(self, path: str, default: dict[str, str] | None = None):
+        self.path, self.default = path, default
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        table = BucketedTable(batch.sparkSession, self.path)
+        out = join_profiles(batch, table.of_keys(batch.select("user_id")))
+        default = self.default or {}
+        return out.select(*[F.coalesce(c, F.lit(default[c])).alias(c) if c in default else F.col(c)
+                            for c in out.columns])
+
+
+def keep_latest(updates: DataFrame, table: BucketedTable, checkpoint: str, trigger: dict | None = None,
+                name: str | None = None) -> StreamingQuery:
+    """A bucketed table that follows a stream of profile versions: the latest per user stays.
+
+    One stream per table: micro-batch n makes version n + 1, so a repeated one changes nothing. State is the table
+    itself; the result does not depend on how the input falls into micro-batches.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            BucketedTable(batch.sparkSession, table.path).merge_latest(
+                latest_profiles(batch), PROFILE_ORDER, batch_id + 1)
+        finally:
+            batch.unpersist()
+
+    return start(updates, run, checkpoint, trigger, name)
+
+
 class CachedLookup:
     """A cache of found profiles with expiry, between the stream and the table.
 

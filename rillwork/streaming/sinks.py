@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillwork.functions import day_of
 from rillwork.schemas import conform
+from rillwork.sources import files
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -81,30 +82,41 @@ class Branch(NamedTuple):
     partition_by: str | None = None
 
 
+def stored_schema(df: DataFrame, schema: T.StructType | None, partition_by: str | None) -> T.StructType:
+    """The columns that :func:`append` writes, the day column last."""
+    rows, parts = _by_day(conform(df, schema) if schema is not None else df, partition_by)
+    return rows.select(*[c for c in rows.columns if c not in parts], *parts).schema
+
+
 def last_written(spark: SparkSession, marker: str) -> int:
     """The id of the last micro-batch that a marker tells of, -1 before the first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(marker)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return -1
-    last = spark.read.schema("batch_id bigint").parquet(marker).agg(F.max("batch_id")).first()[0]
-    return -1 if last is None else last
+    return max((int(n) for n in files.names(spark, marker)), default=-1)
+
+
+def mark_written(spark: SparkSession, marker: str, batch_id: int) -> None:
+    """Note a batch; the notes before go, so the folder stays at one file."""
+    files.publish(spark, f"{marker}/{batch_id}", "")
+    for n in files.names(spark, marker):
+        if int(n) < batch_id:
+            files.remove(spark, f"{marker}/{n}")
 
 
 def write_batch(df: DataFrame, batch_id: int, target: str, marker: str,
                 schema: T.StructType | None = None, partition_by: str | None = None) -> None:
     """Append one micro-batch to a path or table, in the layout that :func:`append` gives.
 
-    The marker, a folder of its own per target, keeps the ids of written batches; a batch that it tells
-    of is not written again. Only a driver that is lost between the two commits repeats one.
+    The marker, a folder of its own per target, keeps the id of the last written batch; a batch up to it
+    is not written again. Only a driver that is lost between the two commits repeats one
+    (``commits.write_together`` never does).
     """
     spark = df.sparkSession
     if batch_id <= last_written(spark, marker):
         return
     append(df, target, schema, partition_by=partition_by)
-    spark.range(batch_id, batch_id + 1, 1, 1).toDF("batch_id").write.mode("append").parquet(marker)
+    mark_written(spark, marker, batch_id)
 
 
-def _start(stream: DataFrame, run, checkpoint: str, trigger: dict | None, name: str | None
+def start(stream: DataFrame, run, checkpoint: str, trigger: dict | None, name: str | None
            ) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if name:
@@ -127,7 +139,7 @@ def write_each(stream: DataFrame, transform: Callable[[DataFrame, int], DataFram
         finally:
             batch.unpersist()
 
-    return _start(stream, run, checkpoint, trigger, name)
+    return start(stream, run, checkpoint, trigger, name)
 
 
 def write_all(stream: DataFrame, branches: list[Branch], checkpoint: str,
@@ -146,4 +158,4 @@ def write_all(stream: DataFrame, branches: list[Branch], checkpoint: str,
         finally:
             batch.unpersist()
 
-    return _start(stream, run, checkpoint, trigger, name)
+    return start(stream, run, checkpoint, trigger, name)
