@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rillwork import schemas as S
 from rillwork.functions import parse_date, parse_time
+from rillwork.functions.payload import Isolated
 
 ERROR = "error"
 PROFILE_FIELDS = ["user_id", "username", "user_segment", "registration_date"]
@@ -24,8 +25,9 @@ class Parsed(NamedTuple):
 
 
 def _parse(df: DataFrame, fields: list[str], cols: dict[str, Column], schema: T.StructType,
-           mode: str) -> Parsed:
-    """Read ``fields`` of the message as text, cast to ``cols``, split on the null contract.
+           mode: str, strict: bool = False) -> Parsed:
+    """Read ``fields`` of the message as text, cast to ``cols``, split on the null contract. ``strict``: a
+    text field must hold a JSON string; numbers and booleans are rejected.
 
     Both sides are filters over one lazy plan. A job that writes both within a micro-batch should
     persist the messages first (see ``streaming.sinks.write_all``).
@@ -35,12 +37,17 @@ def _parse(df: DataFrame, fields: list[str], cols: dict[str, Column], schema: T.
     value = F.col("value")
     nested = _nested([f for f in fields if f != "payload"])  # a payload may be anything
     ok = ~nested
+    odd = F.lit("")
+    if strict:
+        odd = _not_text([f for f in fields if f not in schema.names or isinstance(schema[f].dataType, T.StringType)])
+        ok = ok & (odd == "")
     for n in required:
         ok = ok & cols[n].isNotNull()
     missing = F.concat_ws(",", *[F.when(cols[n].isNull(), F.lit(n)) for n in required])
     reason = (F.when(value.isNull(), F.lit("null value"))
               .when(F.json_object_keys(value).isNull(), F.lit("not a JSON object"))
               .when(nested, F.lit("object or array in a text field"))
+              .when(odd != "", F.concat(F.lit("not a string: "), odd))
               .otherwise(F.concat(F.lit("missing or invalid: "), missing)))
     rejects = text.where(~ok).select(*df.columns, reason.alias(ERROR))
     out = [c.alias(n) for n, c in cols.items()]
@@ -59,41 +66,50 @@ def _nested(fields: list[str]) -> Column:
     """Whether a field holds an object or an array. Their text starts with a bracket, as a string may as
     well; only then the message is looked at again. Numbers and booleans count as their text, and
     what follows a complete object is ignored."""
-    found = F.lit(False)
+    some = found = F.lit(False)
     for f in fields:
         kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("value"), f"$.{f}", "variant"))
-        bracket = F.coalesce(F.col(f"_{f}").rlike(r"^[\[{]"), F.lit(False))
+        text = F.col(f"_{f}")
+        bracket = F.coalesce(text.startswith("{") | text.startswith("["), F.lit(False))
+        some = some | bracket
         found = found | bracket & F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
-    return found
+    return some & found
+
+
+def _not_text(fields: list[str]) -> Column:
+    """Comma-separated names of fields that hold anything but a string or null."""
+    message = F.try_parse_json("value")
+    kinds = {f: F.schema_of_variant(F.try_variant_get(message, f"$.{f}", "variant")) for f in fields}
+    return F.concat_ws(",", *[F.when(~kind.isin("STRING", "VOID"), F.lit(f)) for f, kind in kinds.items()])
 
 
 def _text(*names: str) -> dict[str, Column]:
     return {n: F.col(f"_{n}") for n in names}
 
 
-def parse_events(df: DataFrame, mode: str = "quarantine") -> Parsed:
+def parse_events(df: DataFrame, mode: str = "quarantine", strict: bool = False) -> Parsed:
     """Event messages to in-flight rows; a missing product id stays NULL."""
     cols = _text("event_id", "user_id", "event_type", "product_id")
     cols["event_time"] = parse_time(F.col("_timestamp"))
     return _parse(df, ["event_id", "user_id", "event_type", "product_id", "timestamp"], cols,
-                  S.EVENT_ROW, mode)
+                  S.EVENT_ROW, mode, strict)
 
 
-def parse_products(df: DataFrame, mode: str = "quarantine") -> Parsed:
+def parse_products(df: DataFrame, mode: str = "quarantine", strict: bool = False) -> Parsed:
     """Product messages; a quoted price counts as a number."""
     cols = _text("product_id", "product_name")
     cols["price"] = F.col("_price").try_cast("double")
     cols["category"] = F.col("_category")
     cols["timestamp"] = parse_time(F.col("_timestamp"))
     return _parse(df, ["product_id", "product_name", "price", "category", "timestamp"], cols,
-                  S.PRODUCT_ROW, mode)
+                  S.PRODUCT_ROW, mode, strict)
 
 
-def parse_profiles(df: DataFrame, mode: str = "quarantine") -> Parsed:
+def parse_profiles(df: DataFrame, mode: str = "quarantine", strict: bool = False) -> Parsed:
     """Profile messages; the registration date stays text until the sink."""
     cols = _text("user_id", "username", "user_segment", "registration_date")
     cols["timestamp"] = parse_time(F.col("_timestamp"))
-    return _parse(df, [*PROFILE_FIELDS, "timestamp"], cols, S.PROFILE_ROW, mode)
+    return _parse(df, [*PROFILE_FIELDS, "timestamp"], cols, S.PROFILE_ROW, mode, strict)
 
 
 def flatten_events(df: DataFrame, mode: str = "quarantine") -> DataFrame:
@@ -140,22 +156,32 @@ def product_records(df: DataFrame, mode: str = "quarantine") -> DataFrame:
 def parse_payload(df: DataFrame, fn=None, mode: str = "quarantine") -> Parsed:
     """User hook: text in, record text out, then read the record as the generic table.
 
-    ``fn`` maps a Column to a Column; an Arrow-backed ``pandas_udf`` of str -> str fits as well. The
-    record holds event_time, processing_time and payload. Without ``fn`` the message itself is the
+    ``fn`` maps a Column to a Column; an Arrow-backed ``pandas_udf`` of str -> str fits as well. A Python
+    function wrapped in ``Isolated`` may raise: such messages are rejects and the others go on. The record holds event_time, processing_time and payload. Without ``fn`` the message itself is the
     payload (:func:`parse_generic`). A message whose record lacks the event time is a reject; a missing
     processing time is now.
     """
     if fn is None:
         return parse_generic(df, mode)
     names = ["event_time", "processing_time", "payload"]
-    done = df.withColumn("_message", F.col("value")).withColumn("value", fn(F.col("value")))
+    made = fn(F.col("value"))
+    if isinstance(fn, Isolated):
+        fn.ship(df.sparkSession)
+        done = df.withColumn("_message", F.col("value")).withColumn("_made", made)
+        failed = done.where("_made.error is not null")
+        done = done.where("_made.error is null").withColumn("value", F.col("_made.record")).drop("_made")
+    else:
+        failed, done = None, df.withColumn("_message", F.col("value")).withColumn("value", made)
     cols = {"event_time": parse_time(F.col("_event_time")),
             "processing_time": F.coalesce(parse_time(F.col("_processing_time")),
                                           F.current_timestamp()),
             "payload": F.col("_payload")}
     parsed = _parse(done, names, cols, S.GENERIC, mode)
-    back = parsed.rejects.select(*[F.col("_message").alias(c) if c == "value" else F.col(c)
-                                   for c in df.columns], ERROR)
+    message = [F.col("_message").alias(c) if c == "value" else F.col(c) for c in df.columns]
+    back = parsed.rejects.select(*message, ERROR)
+    if failed is not None:
+        back = back.unionByName(failed.select(*message, F.concat(
+            F.lit("function failed: "), F.col("_made.error")).alias(ERROR)))
     return Parsed(parsed.rows, back)
 
 

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillwork import schemas as S
 from rillwork.functions import day_of, window_of
+from rillwork.functions.payload import Isolated
 from rillwork.operators import (aggregate as agg, inspect as look, join as jn, lookup as lk,
                                 parse as ps, sqlfile)
 from rillwork.plans import inputs as src
 from rillwork.session import apply_defaults, shared_dir
 from rillwork.sources import tables, topics
 from rillwork.sources.buckets import BucketedTable
+from rillwork.streaming import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +116,42 @@ def payload_records(spark, sf):
     return ps.apply_payload_fn(src.event_messages(spark, sf)).drop("processing_time")
 
 
+@query
+def payload_variant(spark, sf):
+    """The generic table with the payload as JSON (variant), written and read back by field."""
+    rows = ps.parse_payload(src.event_messages(spark, sf)).rows
+    path = shared_dir(spark, "variant")
+    sinks.append(rows, path, S.GENERIC_JSON)
+    field = lambda f: F.variant_get("payload", f"$.{f}", "string").alias(f)
+    return spark.read.parquet(path).select("event_time", *map(field, ("event_id", "user_id", "product_id")))
+
+
+def _record_with_product(text: str) -> str:
+    """A user function: it fails on messages without a product."""
+    import json
+    data = json.loads(text)
+    return json.dumps({"event_time": data["timestamp"], "payload": data["product_id"]})
+
+
+@query
+def payload_python(spark, sf):
+    """Records and failures of a Python function over all messages."""
+    done = ps.parse_payload(src.event_messages(spark, sf), Isolated(_record_with_product))
+    nothing = F.lit(None).cast("string")
+    rows = done.rows.select("event_time", F.col("payload").alias("product_id"), nothing.alias("error"))
+    return rows.unionByName(done.rejects.select(
+        F.col("timestamp").alias("event_time"), nothing.alias("product_id"), "error"))
+
+
+@query
+def strict_rejects(spark, sf):
+    """Messages whose ids are numbers, where text is required."""
+    bare = src.event_messages(spark, sf).withColumn(
+        "value", F.when(F.get_json_object("value", "$.event_type") == "click",
+                        F.regexp_replace("value", '"user_id":"([0-9]+)"', '"user_id":$1')).otherwise(F.col("value")))
+    return ps.parse_events(bare, strict=True).rejects.select("offset", "error")
+
+
 @query
 def product_rows(spark, sf):
     return product_rows_of(spark, sf)
@@ -345,6 +383,15 @@ def latest_windows_top10(spark, sf):
     return look.newest(counts, "window_start", 10, ("event_type",))
 
 
+@query
+def latest_windows_by_day(spark, sf):
+    """The same rows from the stored, day-partitioned table, of which only the newest days are read."""
+    path = shared_dir(spark, "counts")
+    sinks.append(agg.count_by_window(event_rows_of(spark, sf)), path, partition_by="window_start")
+    return look.newest_by_day(spark, path, "window_start_day", "window_start", 10, ("event_type",)).drop(
+        "window_start_day")
+
+
 @query
 def latest_enriched_top10(spark, sf):
     return look.newest(_enriched(spark, sf, "1 hour"), "event_timestamp", 10,

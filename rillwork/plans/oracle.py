@@ -309,3 +309,39 @@ ORACLE |= {
       SELECT 'reject', error, count(*) FROM rejects GROUP BY error""",
 }
 ORACLE["stream_fan_out_committed"] = ORACLE["stream_fan_out"]
+ORACLE["latest_windows_by_day"] = ORACLE["latest_windows_top10"]
+ORACLE["stream_sql_file_aggregation"] = ORACLE["sql_file_aggregation"]
+ORACLE["stream_sql_file_join"] = ORACLE["sql_file_join"]
+ORACLE["payload_variant"] = _with("ev") + "SELECT event_time, event_id, user_id, product_id FROM ev"
+ORACLE["payload_python"] = _with("ev") + """
+      SELECT event_time, product_id,
+             CASE WHEN product_id IS NULL THEN 'function failed: KeyError: ''product_id''' END AS error
+      FROM ev"""
+ORACLE["strict_rejects"] = """
+      SELECT event_id AS "offset", 'not a string: user_id' AS error FROM events WHERE event_type = 'click'"""
+ORACLE["stream_lookup_metrics"] = _CACHE + """
+      SELECT count(*) AS lookups, count(*) FILTER (WHERE cache = 'hit') AS hits,
+             count(*) FILTER (WHERE cache = 'fetch') AS fetches,
+             count(*) FILTER (WHERE cache = 'miss') AS misses,
+             count(*) FILTER (WHERE cache = 'fetch') AS expired, CAST(0 AS BIGINT) AS late
+      FROM walk"""
+ORACLE["stream_refreshed_profiles"] = _with("ev", "up", live=_one_per_time("up"), placed="""
+      SELECT e.*, make_timestamp((f + (epoch_us(e.event_time) - f) // 432000000000 * 432000000000)) AS tick
+      FROM ev e, (SELECT epoch_ms(min(ts)) * 1000 AS f FROM events)""", seen="""
+      SELECT p.*, l.username, l.user_segment, l.registration_date,
+             l."timestamp" > p.tick - INTERVAL '15 days' AS there
+      FROM placed p ASOF LEFT JOIN live l ON p.user_id = l.user_id AND p.tick >= l."timestamp\"""") + """
+      SELECT event_id, user_id, event_type, product_id, event_time,
+             CASE WHEN there THEN username END AS username,
+             CASE WHEN there THEN user_segment END AS user_segment,
+             CASE WHEN there THEN registration_date END AS registration_date
+      FROM seen"""
+ORACLE["stream_late_rows"] = _with("ev", sliced="""
+      SELECT *, (epoch_us(event_time + CASE WHEN event_type = 'error' THEN INTERVAL '15 days'
+                                           ELSE INTERVAL '0 days' END)
+              - (SELECT epoch_us(min(event_time)) FROM ev)) // 864000000000 AS slice
+      FROM ev""", highs="SELECT slice, max(event_time) AS high FROM sliced GROUP BY slice") + """
+      SELECT event_id, event_time,
+             CASE WHEN event_time <= (SELECT max(high) FROM highs h WHERE h.slice < s.slice) - INTERVAL '5 days'
+                  THEN 'late' ELSE 'on_time' END AS side
+      FROM sliced s"""

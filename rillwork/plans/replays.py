@@ -9,14 +9,17 @@ their time: the latest time of the data is known, and no data row is later.
 
 from __future__ import annotations
 
+import itertools
 import json
+import time
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillwork import schemas as S
-from rillwork.operators import aggregate as agg, join as jn, lookup as lk, parse as ps
+from rillwork.functions import window_of
+from rillwork.operators import aggregate as agg, join as jn, lookup as lk, parse as ps, sqlfile
 from rillwork.plans import inputs as src
 from rillwork.plans.catalog import plain_times, stored_rows_of
 from rillwork.plans.jobs import BranchedJob, MultiTopicJob, TemplateJob, wait
@@ -25,13 +28,16 @@ from rillwork.sources import tables, topics
 from rillwork.sources.buckets import BucketedTable
 from rillwork.streaming import commits, sinks
 from rillwork.streaming.cells import enrich_expiring_stream, enrich_hybrid_stream, enrich_sql_stream
+from rillwork.streaming.counters import CounterTable, counted
 from rillwork.streaming.lookups import BucketedLookup, CachedLookup, RefreshingLookup, keep_latest
+from rillwork.streaming.versions import VersionedTable, clock, refresh_on
 
 REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 SLICE = 10
 DELAY = f"{SLICE + 1} days"
-FILES_PER_TRIGGER = 64
+#: Files of a slice, and of a micro-batch: one slice after the other.
+FILES_PER_TRIGGER = 4
 CLOSING = {
     "user-events": {"event_id": "end", "user_id": "end", "event_type": "end", "product_id": "end"},
     "product-updates": {"product_id": "end", "product_name": "end", "price": 0, "category": "end"},
@@ -78,7 +84,7 @@ class _Replay:
         while start <= self.last:  # by days of the data, not by rows
             end = start + timedelta(days=SLICE)
             part = messages.where((F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(end)))
-            part.write.mode("append").parquet(self.path(name))
+            part.repartition(FILES_PER_TRIGGER, "offset").write.mode("append").parquet(self.path(name))
             start = end
         value = json.dumps({**CLOSING[name], "timestamp": self.end.isoformat()})
         closing = self.spark.range(1).select(
@@ -144,10 +150,12 @@ def stream_refreshing_lookup(spark, sf):
 
 @replay
 def stream_cached_lookup(spark, sf):
-    """A fixed clock: what is found once stays good, so each event has its user's latest profile."""
+    """Each micro-batch is 40 minutes after the one before: entries expire with the second, are fetched again and
+    are the same again, so each event has its user's latest profile."""
     r = _Replay(spark, sf, "cached")
+    ticks = itertools.count()
     lookup = CachedLookup(lambda: stored_rows_of(spark, sf), timedelta(hours=1), r.path("cache"),
-                          lambda: datetime(2030, 1, 1))
+                          lambda: datetime(2030, 1, 1) + timedelta(minutes=40) * next(ticks))
     sinks.write_each(r.rows("events"), lookup, r.path("out"), r.path("checkpoint"),
                      trigger=sinks.AVAILABLE_NOW).awaitTermination()
     return r.read("out", "event_time")
@@ -206,6 +214,94 @@ def stream_cache_counts(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
+@replay
+def stream_lookup_metrics(spark, sf):
+    """What the expiring cache counted while the stream ran, summed over its micro-batches."""
+    r = _Replay(spark, sf, "metrics")
+    table = CounterTable(spark, r.path("counters"))
+    spark.streams.addListener(table)
+    try:
+        rows = enrich_expiring_stream(r.rows("events"), r.rows("updates"), int(TTL.total_seconds() * 1000),
+                                      delay=DELAY)
+        q = sinks.append(counted(rows, cache_col="cache"), r.path("out"), checkpoint=r.path("checkpoint"),
+                         trigger=sinks.AVAILABLE_NOW)
+        q.awaitTermination()
+        for _ in range(600):  # the listener is told a moment later
+            if str(q.runId) in table.ended:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(table)
+    names = ("lookups", "hits", "fetches", "misses", "expired", "late")
+    return table.rows().agg(*[F.sum(n).alias(n) for n in names])
+
+
+#: The dimension of the refreshed lookup: renewed so often, and who is still in it.
+TICK, STAYS = timedelta(days=5), timedelta(days=15)
+
+
+@replay
+def stream_refreshed_profiles(spark, sf):
+    """A clock renews a dimension (updates of the last 15 days) every 5 days, by differences; events see the
+    version of their time. Profiles change, come and go between ticks."""
+    r = _Replay(spark, sf, "refreshed")
+    updates = ps.parse_profiles(src.profile_messages(spark, sf)).rows
+    schema = updates.select("user_id", *jn.PROFILE_COLS).schema
+    table = VersionedTable(spark, r.path("versions"), schema)
+
+    def load(now):
+        recent = (F.col("timestamp") <= F.lit(now)) & (F.col("timestamp") > F.lit(now - STAYS))
+        return agg.latest_profiles(updates.where(recent)).select("user_id", *jn.PROFILE_COLS)
+
+    ticks = clock(spark, int(TICK.total_seconds()), r.first)
+    for _ in range((r.last - r.first) // TICK + 1):
+        refresh_on(ticks, table, load, r.path("ticks"), sinks.AVAILABLE_NOW).awaitTermination()
+    sinks.write_each(r.rows("events"), lambda df, i: table.join(df, jn.PROFILE_COLS), r.path("out"),
+                     r.path("checkpoint"), trigger=sinks.AVAILABLE_NOW).awaitTermination()
+    return r.read("out", "event_time")
+
+
+@replay
+def stream_late_rows(spark, sf):
+    """Error events arrive 15 days after their time, with a watermark 5 days behind. A slice of arrivals
+    is one micro-batch."""
+    r = _Replay(spark, sf, "late")
+    ev = ps.parse_events(src.event_messages(spark, sf)).rows
+    arrives = F.col("event_time") + F.when(F.col("event_type") == "error", F.expr("interval 15 days")).otherwise(
+        F.expr("interval 0 days"))
+    at = r.first
+    while at <= r.last + timedelta(days=15):
+        part = ev.where((arrives >= F.lit(at)) & (arrives < F.lit(at + timedelta(days=SLICE))))
+        part.write.mode("append").parquet(r.path(f"arrivals/slice={(at - r.first).days:05d}"))
+        stream = spark.readStream.schema(ev.schema).parquet(r.path("arrivals/*"))
+        commits.write_split_late(stream, "event_time", timedelta(days=5), r.path("tables"), r.path("checkpoint"),
+                                 sinks.AVAILABLE_NOW).awaitTermination()
+        at += timedelta(days=SLICE)
+    both = [commits.committed(spark, r.path("tables"), t).select(
+        "event_id", "event_time", F.lit(t).alias("side")) for t in ("on_time", "late")]
+    return both[0].unionByName(both[1])
+
+
+# Query files -----------------------------------------------------------------------------------
+
+@replay
+def stream_sql_file_aggregation(spark, sf):
+    """The bundled query over a stream with a watermark."""
+    r = _Replay(spark, sf, "sql-counts")
+    rows = r.rows("events").withWatermark("event_time", DELAY)
+    return r.run(sqlfile.run_single_input(spark, "event_counts.sql", rows), "window_start")
+
+
+@replay
+def stream_sql_file_join(spark, sf):
+    r = _Replay(spark, sf, "sql-join")
+    placed = lambda df, col: df.withColumn("window_start", window_of(F.col(col), "1 hour")["start"]).withWatermark(
+        "window_start", DELAY)
+    return r.run(sqlfile.run_sql_file(spark, "events_with_products.sql", {
+        "user_events": placed(r.rows("events"), "event_time"),
+        "product_updates": placed(r.rows("products"), "timestamp")}), "event_timestamp")
+
+
 @replay
 def stream_external_lookup(spark, sf):
     r = _Replay(spark, sf, "external")

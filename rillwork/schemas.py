@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 _TYPES = {"string": T.StringType(), "double": T.DoubleType(), "timestamp": T.TimestampType(),
-          "date": T.DateType(), "int": T.IntegerType(), "bigint": T.LongType()}
+          "date": T.DateType(), "int": T.IntegerType(), "bigint": T.LongType(), "variant": T.VariantType()}
 
 
 def _schema(**fields: str) -> T.StructType:
@@ -34,6 +34,7 @@ PROFILE_ROW = _schema(user_id="string!", username="string!", user_segment="strin
 USER_EVENTS = _schema(event_id="string!", user_id="string!", event_type="string!",
                       product_id="string", timestamp="timestamp!", processing_time="timestamp!")
 GENERIC = _schema(event_time="timestamp!", processing_time="timestamp!", payload="string")
+GENERIC_JSON = _schema(event_time="timestamp!", processing_time="timestamp!", payload="variant")
 EVENT_COUNTS = _schema(event_type="string!", event_count="bigint!", window_start="timestamp!",
                        window_end="timestamp!", processing_time="timestamp!")
 USER_PROFILES = _schema(user_id="string!", username="string!", user_segment="string!",
@@ -61,6 +62,8 @@ PARTITION_BY = {
 def _cast(col: Column, source: T.DataType, target: T.DataType) -> Column:
     if source == target:
         return col
+    if isinstance(target, T.VariantType) and isinstance(source, T.StringType):
+        return F.try_parse_json(col)
     return col.try_cast(target)
 
 

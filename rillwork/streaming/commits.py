@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import json
 import re
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rillwork.sources import files
@@ -45,8 +46,8 @@ class CommitLog:
     def last(self) -> int:
         return self.entries[-1]["batch"] if self.entries else -1
 
-    def publish(self, batch_id: int, schemas: dict[str, T.StructType], filled: list[str]) -> None:
-        entry = {"entries": [{"batch": batch_id, "tables": filled}],
+    def publish(self, batch_id: int, schemas: dict[str, T.StructType], filled: list[str], **more) -> None:
+        entry = {"entries": [{"batch": batch_id, "tables": filled, **more}],
                  "tables": {n: s.jsonValue() for n, s in schemas.items()}}
         files.publish(self.spark, f"{self.folder}/{batch_id:012d}.json", json.dumps(entry))
         self._take(entry)
@@ -78,28 +79,67 @@ def committed(spark: SparkSession, root: str, table: str) -> DataFrame:
             .option("basePath", f"{root}/{table}").parquet(*folders).select(*schema.names))
 
 
+def _stage(batch: DataFrame, batch_id: int, branches: list[sinks.Branch], root: str):
+    """Write the branches of a micro-batch below their tables: (schemas, names of tables with rows)."""
+    spark, schemas, filled = batch.sparkSession, {}, []
+    for b in branches:
+        folder = f"{root}/{b.target}/batch={batch_id}"
+        files.remove(spark, folder)
+        rows = b.rows(batch)
+        schemas[b.target] = sinks.stored_schema(rows, b.schema, b.partition_by)
+        sinks.append(rows, folder, b.schema, partition_by=b.partition_by)
+        if files.names(spark, folder):
+            filled.append(b.target)
+    return schemas, filled
+
+
 def write_together(stream: DataFrame, branches: list[sinks.Branch], root: str, checkpoint: str,
                    trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
     """Fan out one scan to tables below ``root`` (a branch's target is a name), one commit per micro-batch."""
     root = root.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        log = CommitLog(spark, root)
+        log = CommitLog(batch.sparkSession, root)
+        if batch_id <= log.last:
+            return
+        batch.persist()
+        try:
+            log.publish(batch_id, *_stage(batch, batch_id, branches, root))
+        finally:
+            batch.unpersist()
+
+    return sinks.start(stream, run, checkpoint, trigger, name)
+
+
+def write_split_late(stream: DataFrame, time_col: str, delay: timedelta, root: str, checkpoint: str,
+                     trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """Rows in time to the table ``on_time``, late ones to the table ``late`` with ``late_by`` (seconds behind the
+    watermark), in one commit.
+
+    The watermark of a micro-batch is the newest time of all micro-batches before it, less ``delay``; rows at
+    or before it are late. It is kept in the log, so a restart judges as the first run did. Put stateful queries
+    behind ``on_time``: they drop nothing then. Rows without time are late, with ``late_by`` null.
+    """
+    root = root.rstrip("/")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        log = CommitLog(batch.sparkSession, root)
         if batch_id <= log.last:
             return
+        newest = log.entries[-1]["newest"] if log.entries else None
         batch.persist()
         try:
-            schemas, filled = {}, []
-            for b in branches:
-                folder = f"{root}/{b.target}/batch={batch_id}"
-                files.remove(spark, folder)
-                rows = b.rows(batch)
-                schemas[b.target] = sinks.stored_schema(rows, b.schema, b.partition_by)
-                sinks.append(rows, folder, b.schema, partition_by=b.partition_by)
-                if [n for n in files.names(spark, folder)]:
-                    filled.append(b.target)
-            log.publish(batch_id, schemas, filled)
+            behind = F.lit(0)
+            if newest is not None:
+                behind = F.lit(newest - delay // timedelta(microseconds=1)) - F.unix_micros(time_col)
+            is_late = F.col(time_col).isNull() | (behind >= 0 if newest is not None else F.lit(False))
+            branches = [sinks.Branch(lambda df: df.where(~is_late), "on_time"),
+                        sinks.Branch(lambda df: df.where(is_late).withColumn(
+                            "late_by", F.when(F.col(time_col).isNotNull(), behind / 1e6)), "late")]
+            staged = _stage(batch, batch_id, branches, root)
+            top = batch.agg(F.max(F.unix_micros(time_col))).first()[0]
+            seen = [t for t in (newest, top) if t is not None]
+            log.publish(batch_id, *staged, newest=max(seen) if seen else None)
         finally:
             batch.unpersist()
 
