@@ -1,15 +1,18 @@
 """Main text of web pages by minimum cuts.
 
 A page falls into blocks: runs of text between the borders of block elements. A linear classifier gives
-each block a cost of being content (structure it stands in, link share, sentences, length), which becomes
-its capacity to the terminals. Blocks that follow each other or share a parent are tied, the more
+each block a cost of being content (names and tags it stands in, link share, sentences, length, vocabulary,
+repetition; log odds), which becomes its capacity to the terminals. Blocks that follow each other or share a parent are tied, the more
 the nearer they are in the DOM. The minimum cut separates content from the rest.
 """
 
 from __future__ import annotations
 
 import html as entities
+import math
 import re
+from bisect import bisect_right
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -49,15 +52,23 @@ HERE = re.compile(r"(?:article|articlebody|main|content|post|entry|story|body|te
 #: Names of wrappers and flags rather than of parts.
 WRAPPER = re.compile(r"(?:has|with|no|is|without|layout|wrapper|wrap|container|page|outer|inner|grid|row)")
 AWAY_TAGS = set("nav footer aside form dialog menu".split())
-#: Weights of the classifier: a positive sum speaks for boilerplate.
-COST = {"away": 8.0, "here": -6.0, "outside": 3.0, "links": 4.0, "short": 1.0, "sentence": -1.5,
-        "long": -2.0, "notice": 3.0, "heading": -0.5, "paragraph": -1.0}
+HEADINGS, ITEMS = set("h1 h2 h3 h4".split()), set("li td th dt dd option".split())
+#: Weights of the classifier, log odds that a block is boilerplate; a positive sum speaks for it. What an element
+#: is called is one feature of several, on the scale of the others and of the ties.
+COST = {"away": 4.5, "here": -3.0, "outside": 1.5, "links": 4.5, "short": 0.5, "length": -0.7, "sentence": -1.0,
+        "bare": 0.5, "rights": 2.0, "appeal": 3.5, "heading": -0.8, "paragraph": -0.7, "item": 0.2, "repeated": 0.7}
 #: Ties: neighbours under one parent; each step further apart in the DOM halves them, and a border
-#: between parts that say what they are leaves a tenth.
-NEAR, BORDER = 1.5, 0.1
-NOTICE = re.compile(r"©|\(c\) \d{4}|all rights reserved|cookies|sign up|log ?in|subscribe|newsletter", re.I)
-SENTENCE = re.compile(r"[.!?…。！？](?:\s|$|[\"'»”])")
-LONG, SHORT = 200, 25
+#: between parts that say different things of themselves leaves a quarter.
+NEAR, BORDER, FAR = 1.4, 0.25, 12
+#: Wording of rights, and of appeals to the reader (consent, sign-up, sharing, adverts).
+RIGHTS = re.compile(r"©|\(c\) \d{4}|all rights reserved|terms of (?:use|service)", re.I)
+APPEAL = re.compile(r"\bwe use cookies\b|\baccept (?:all )?cookies\b|\b(?:cookie|privacy) policy\b|\bsign up\b|"
+                    r"\blog ?in\b|\bsubscribe\b|\bnewsletter\b|\bshare this\b|\bfollow us\b|\bskip to\b|"
+                    r"\badvert(?:isement|orial|ising)?\b|\bsponsor(?:s|ed)?\b|\b(?:buy|shop|order|download|try) "
+                    r"(?:it |this )?now\b|\bclick here\b|\bspecial offer\b|\b\d+ ?% off\b|\blimited time\b", re.I)
+SENTENCE = re.compile(r"[.!?…。！？।۔։።][\"'»”’)\]]*(?:\s|$)")
+#: Code points under which a block is short, of a usual one, and of one that may hold notices.
+SHORT, USUAL, NOTICES = 25, 60, 200
 
 
 @dataclass
@@ -165,21 +176,26 @@ def blocks_of(page: str) -> list[Block]:
     root = Element("", None, 0, False, "")
     stack, found, pieces, linked, links = [root], [], [], 0, 0
     at, end = 0, len(page)
+    # Places in the stack: of each tag, and of the elements that hold blocks. So no tag walks the whole stack.
+    places: dict[str, list[int]] = {}
+    holders = [0]
 
     def flush():
         nonlocal pieces, linked
         if pieces:
             text = " ".join(entities.unescape("".join(pieces)).split())
             if text:
-                found.append(Block(text, linked, next(
-                    e for e in reversed(stack) if e.tag in BLOCKS or e is root)))
+                found.append(Block(text, linked, stack[holders[-1]]))
         pieces, linked = [], 0
 
     def close(to: int):
         nonlocal links
         for e in stack[to:]:
             links -= e.tag == "a"
+            places[e.tag].pop()
         del stack[to:]
+        while holders[-1] >= to:
+            holders.pop()
 
     while at < end:
         m = TAG.search(page, at)
@@ -199,9 +215,8 @@ def blocks_of(page: str) -> list[Block]:
         if slash:
             if tag in BLOCKS:
                 flush()
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if place:
-                close(place)
+            if places.get(tag):
+                close(places[tag][-1])
             continue
         if tag == "br":
             pieces.append(" ")
@@ -210,14 +225,10 @@ def blocks_of(page: str) -> list[Block]:
             flush()
         if tag in CLOSES:
             closes, limit = CLOSES[tag]
-            first = 0
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in limit:
-                    break
-                if stack[i].tag in closes:
-                    first = i
+            stop = max((p[-1] for t in limit if (p := places.get(t))), default=0)
+            first = [p[i] for t in closes if (p := places.get(t)) and (i := bisect_right(p, stop)) < len(p)]
             if first:
-                close(first)
+                close(min(first))
         if tag in VOID:
             continue
         element = child(stack[-1], tag, m[3])
@@ -227,6 +238,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if m[3].endswith("/") and tag not in BLOCKS and tag != "a":
             continue
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BLOCKS:
+            holders.append(len(stack))
         stack.append(element)
         links += tag == "a"
     flush()
@@ -235,9 +249,9 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def steps_apart(a: Element, b: Element) -> int:
-    """Steps between two elements in the DOM."""
+    """Steps between two elements in the DOM, ``FAR`` at most."""
     n = 0
-    while a is not b:
+    while a is not b and n < FAR:
         if a.depth >= b.depth:
             a = a.parent
         else:
@@ -246,20 +260,26 @@ def steps_apart(a: Element, b: Element) -> int:
     return n
 
 
-def cost(block: Block, structured: bool) -> float:
-    """What it costs to call a block content, less what it costs to call it boilerplate."""
-    text, state = block.text, block.element.state
+def cost(block: Block, structured: bool, times: int) -> float:
+    """What it costs to call a block content, less what it costs to call it boilerplate. ``times``: how often
+    the page has its text."""
+    text, state, tag = block.text, block.element.state, block.element.tag
     total = COST[state] if state else COST["outside"] * structured
-    total += COST["links"] * (block.linked > 0.5 * len(text)) * (state != "here")
-    total += COST["short"] * (len(text) < SHORT) + COST["long"] * (len(text) >= LONG)
-    total += COST["sentence"] * (SENTENCE.search(text) is not None)
-    total += COST["notice"] * (len(text) < LONG and NOTICE.search(text) is not None)
-    total += COST["heading"] * (block.element.tag in ("h1", "h2", "h3"))
-    return total + COST["paragraph"] * (block.element.tag in ("p", "blockquote", "pre"))
+    total += COST["links"] * min(1.0, block.linked / len(text))
+    total += COST["short"] * (len(text) < SHORT)
+    total += COST["length"] * min(3.0, max(0.0, math.log2(len(text) / USUAL)))
+    total += COST["sentence"] if SENTENCE.search(text) else COST["bare"]
+    if len(text) < NOTICES:
+        total += COST["rights"] * min(2, len(set(map(str.lower, RIGHTS.findall(text)))))
+        total += COST["appeal"] * min(2, len(set(map(str.lower, APPEAL.findall(text)))))
+    total += COST["repeated"] * (times > 1 and len(text) < NOTICES)
+    total += COST["heading"] * (tag in HEADINGS) + COST["item"] * (tag in ITEMS)
+    return total + COST["paragraph"] * (tag in ("p", "blockquote", "pre"))
 
 
 def ties_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
-    """Each block with the one before it, and with the last one under the same parent."""
+    """Each block with the one before it, and with the last one under the same parent that says the same of
+    itself (what stands between them may be put away)."""
     ties, last = [], {}
 
     def tie(a, b, weight):
@@ -270,9 +290,9 @@ def ties_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
         if i:
             steps = steps_apart(blocks[i - 1].element, block.element)
             tie(i - 1, i, NEAR * 0.5 ** max(0, steps - 2))
-        parent = id(block.element.parent)
+        parent = id(block.element.parent), block.element.state
         if (before := last.get(parent, i - 1)) < i - 1:
-            tie(before, i, NEAR / 2)
+            tie(before, i, NEAR)
         last[parent] = i
     return ties
 
@@ -281,7 +301,8 @@ def main_text(page: str | None) -> str:
     """Content blocks in page order, joined by \\n; white space inside a block is one space."""
     blocks = blocks_of(page) if page else []
     structured = any(b.element.state == "here" for b in blocks)
-    costs = [cost(b, structured) for b in blocks]
+    times = Counter(b.text for b in blocks)
+    costs = [cost(b, structured, times[b.text]) for b in blocks]
     if all(c > 0 for c in costs):
         return ""
     content = labels(costs, ties_of(blocks)) if any(c > 0 for c in costs) else [True] * len(blocks)
