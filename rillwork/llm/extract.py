@@ -52,11 +52,11 @@ HERE = re.compile(r"(?:article|articlebody|main|content|post|entry|story|body|te
 #: Names of wrappers and flags rather than of parts.
 WRAPPER = re.compile(r"(?:has|with|no|is|without|layout|wrapper|wrap|container|page|outer|inner|grid|row)")
 AWAY_TAGS = set("nav footer aside form dialog menu".split())
-HEADINGS, ITEMS = set("h1 h2 h3 h4".split()), set("li td th dt dd option".split())
+HEADINGS = set("h1 h2 h3 h4".split())
 #: Weights of the classifier, log odds that a block is boilerplate; a positive sum speaks for it. What an element
 #: is called is one feature of several, on the scale of the others and of the ties.
 COST = {"away": 4.5, "here": -3.0, "outside": 1.5, "links": 4.5, "short": 0.5, "length": -0.7, "sentence": -1.0,
-        "bare": 0.5, "rights": 2.0, "appeal": 3.5, "heading": -0.8, "paragraph": -0.7, "item": 0.2, "repeated": 0.7}
+        "bare": 0.5, "rights": 2.0, "appeal": 3.5, "heading": -0.8, "paragraph": -0.7, "repeated": 0.7}
 #: Ties: neighbours under one parent; each step further apart in the DOM halves them, and a border
 #: between parts that say different things of themselves leaves a quarter.
 NEAR, BORDER, FAR = 1.4, 0.25, 12
@@ -273,7 +273,7 @@ def cost(block: Block, structured: bool, times: int) -> float:
         total += COST["rights"] * min(2, len(set(map(str.lower, RIGHTS.findall(text)))))
         total += COST["appeal"] * min(2, len(set(map(str.lower, APPEAL.findall(text)))))
     total += COST["repeated"] * (times > 1 and len(text) < NOTICES)
-    total += COST["heading"] * (tag in HEADINGS) + COST["item"] * (tag in ITEMS)
+    total += COST["heading"] * (tag in HEADINGS)
     return total + COST["paragraph"] * (tag in ("p", "blockquote", "pre"))
 
 
