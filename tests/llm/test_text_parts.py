@@ -190,3 +190,50 @@ def test_walk_takes_cells_in_order():
     assert sums == sorted(sums) and len(cells) == (sizes > 0).sum()
     some = multiindex.walk(one, two, sizes, 12)
     assert some == cells[:len(some)] and sum(sizes[c] for c in some[:-1]) < 12
+
+
+def test_automata_keep_the_length_of_a_format():
+    rng = random.Random(4)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(120)]
+    model = Automaton.learned(hexes[:80])
+    assert len(model.ends) == 41
+    for v in hexes[80:]:
+        exact = model.log_chance(v)
+        assert exact > -40 * np.log(16) - 20
+        assert all(model.log_chance(x) < exact - 5 for x in (v[:-1], v + "0", v[:20], v + v))
+    keys = ["AK" + "".join(rng.choice("XYZ") for _ in range(rng.choice([4, 9]))) for _ in range(200)]
+    model = Automaton.learned(keys)
+    assert model.log_chance("AKXYZX") > model.log_chance("AKXYZXYZ") + 5
+    assert model.log_chance("AKXYZXYZX") > model.log_chance("AKXYZXYZ") + 5
+
+
+def test_held_out_credentials_are_recognised(spark, sf_dir):
+    """Labelled values hidden from the rules: learned from two thirds, looked for among ordinary tokens."""
+    import pyarrow as pa
+    from rillwork.llm import credentials
+    docs = pa.table({"text": [r.text for r in spark.read.parquet(
+        sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet").select("text").collect()]})
+    found = pa.Table.from_batches(list(credentials.samples(docs.to_batches()))).to_pylist()
+    values = {}
+    for r in found:
+        values.setdefault(r["kind"], []).append(r["value"])
+    plain = values.pop("")
+    for kind, mine in values.items():
+        held = mine[::3]
+        model = Automaton.learned([v for v in mine if v not in held])
+        background = credentials.Background.learned(plain[::2])
+        formats = credentials.Formats([model], [min(map(len, mine))], background, [credentials.LIMITS[1]])
+        score = lambda v: formats.ratios(v)[0]
+        bound = credentials.limit([score(v) for v in plain[::2]], [score(v) for v in mine if v not in held])
+        assert len(model.ends) > 1, kind
+        assert sum(score(v) > bound for v in held) >= 0.9 * len(held), kind
+        assert sum(score(v) > bound for v in plain[1::2]) <= 0.001 * len(plain), kind
+
+
+def test_few_ordinary_tokens_do_not_switch_the_method_off(spark):
+    from rillwork.llm import credentials
+    rng = random.Random(5)
+    key = lambda: "zk_" + "".join(rng.choice("0123456789") for _ in range(12))
+    rows = [(i, f"token={key()}") for i in range(40)] + [(99, f"x {key()} y")]
+    got = credentials.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [s.kind for r in got if r.doc_id == 99 for s in r.spans] == ["format"]
