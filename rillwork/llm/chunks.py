@@ -65,53 +65,65 @@ def cut_batch(texts: list[str]) -> list[tuple[bytes, np.ndarray]]:
     return out
 
 
-def chunk_rows(batches):
-    """(doc_id, start, end in code points, two halves of the digest) of each chunk."""
+CHUNKS = "doc_id bigint, start bigint, end bigint, h1 bigint, h2 bigint"
+
+
+def chunk_rows(by_text: bool):
+    """(doc_id, start, end in code points, two halves of the digest) of each chunk; with ``by_text`` also a digest
+    of the whole text, which tells rows with the same id apart."""
     import xxhash
     digest = xxhash.xxh3_128_digest
-    for batch in batches:
-        for i in range(0, batch.num_rows, SLICE):
-            part = batch.slice(i, SLICE)
-            ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            docs, starts, ends, digests = [], [], [], []
-            for doc, (b, borders) in zip(ids, cut_batch(texts)):
-                if len(b) == 0:
-                    continue
-                edges = borders.tolist()
-                digests += [digest(b[s:e]) for s, e in zip(edges, edges[1:])]
-                count = np.r_[0, np.cumsum((np.frombuffer(b, np.uint8) & 0xC0) != 0x80)][borders]
-                starts.append(count[:-1])
-                ends.append(count[1:])
-                docs.append(np.full(len(edges) - 1, doc))
-            if docs:
-                halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                cols = [*map(np.concatenate, (docs, starts, ends)), halves[:, 0], halves[:, 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                                 ["doc_id", "start", "end", "h1", "h2"])
-
-
-def repeated_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, start, end, first_doc) of every chunk that at least two documents hold."""
+    names = [c.split()[0] for c in CHUNKS.split(", ")] + ["whole"] * by_text
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE):
+                part = batch.slice(i, SLICE)
+                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
+                docs, starts, ends, digests, wholes = [], [], [], [], []
+                for doc, (b, borders) in zip(ids, cut_batch(texts)):
+                    if len(b) == 0:
+                        continue
+                    edges = borders.tolist()
+                    digests += [digest(b[s:e]) for s, e in zip(edges, edges[1:])]
+                    count = np.r_[0, np.cumsum((np.frombuffer(b, np.uint8) & 0xC0) != 0x80)][borders]
+                    starts.append(count[:-1])
+                    ends.append(count[1:])
+                    docs.append(np.full(len(edges) - 1, doc))
+                    if by_text:
+                        wholes.append(np.full(len(edges) - 1, xxhash.xxh3_64_intdigest(b), np.uint64))
+                if docs:
+                    halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                    cols = [*map(np.concatenate, (docs, starts, ends)), halves[:, 0], halves[:, 1]]
+                    cols += [np.concatenate(wholes).view(np.int64)] if by_text else []
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
+
+    return run
+
+
+def repeated_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_text: bool = False
+                    ) -> DataFrame:
+    """(doc_id, start, end, first_doc) of every chunk that at least two documents hold; ``by_text``: and whole."""
     docs = (df.select(quoted(id_col).cast("bigint").alias("doc_id"), quoted(text_col).alias("text"))
             .where("doc_id is not null and text is not null"))
-    chunks = written(docs.mapInArrow(chunk_rows, "doc_id bigint, start bigint, end bigint, h1 bigint, "
-                                                 "h2 bigint"), "chunks")
+    chunks = written(docs.mapInArrow(chunk_rows(by_text), CHUNKS + ", whole bigint" * by_text), "chunks")
     shared = (chunks.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"),
                                              F.max("doc_id").alias("last_doc"))
               .where("first_doc < last_doc").select("h1", "h2", "first_doc"))
-    return chunks.join(shared, ["h1", "h2"]).select("doc_id", "start", "end", "first_doc")
+    return chunks.join(shared, ["h1", "h2"]).drop("h1", "h2")
 
 
 def spans_of(repeated: DataFrame, least_span: int) -> DataFrame:
     """Runs of touching chunks of a document, at least ``least_span`` code points long."""
-    before = Window.partitionBy("doc_id").orderBy("start", "end").rowsBetween(
+    by = [c for c in ("doc_id", "whole") if c in repeated.columns]
+    before = Window.partitionBy(*by).orderBy("start", "end").rowsBetween(
         Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("doc_id").orderBy("start", "end").rowsBetween(
+    upto = Window.partitionBy(*by).orderBy("start", "end").rowsBetween(
         Window.unboundedPreceding, 0)
     fresh = F.coalesce(F.col("start") > F.max("end").over(before), F.lit(True))
     runs = repeated.withColumn("fresh", fresh).withColumn(
         "run", F.count_if("fresh").over(upto))
-    return (runs.groupBy("doc_id", "run").agg(
+    return (runs.groupBy(*by, "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_chunks"),
         F.count_if(F.col("first_doc") < F.col("doc_id")).alias("n_dropped"),
         F.min("first_doc").alias("first_doc"))
@@ -132,16 +144,21 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  least_span: int = LEAST_SPAN) -> DataFrame:
-    """The documents with each repeated passage left only where its id is smallest; columns as before."""
-    gone = spans_of(repeated_chunks(df, id_col, text_col).where("first_doc < doc_id"), least_span)
-    its, cuts = free_name(df, "its"), free_name(df, "cuts")
-    per_doc = gone.groupBy(F.col("doc_id").alias(its)).agg(
+    """The documents with each repeated passage left only where its id is smallest; columns as before. Rows with
+    the same id and different texts lose each their own passages."""
+    import xxhash
+    gone = spans_of(repeated_chunks(df, id_col, text_col, by_text=True).where("first_doc < doc_id"), least_span)
+    its, cuts, whole, own = (free_name(df, c) for c in ("its", "cuts", "whole", "own"))
+    per_doc = gone.groupBy(F.col("doc_id").alias(its), F.col("whole").alias(whole)).agg(
         F.collect_list(F.struct("start", "end")).alias(cuts))
+    digest = arrow_map(lambda texts: pa.array(np.array(
+        [0 if t is None else xxhash.xxh3_64_intdigest(t.encode()) for t in texts], np.uint64).view(np.int64)), "bigint")
 
     def run(texts, spans):
         return pa.array([without(t, c) for t, c in zip(texts, spans)], pa.string())
 
-    joined = df.join(per_doc, quoted(id_col).cast("bigint") == F.col(its), "left")
+    joined = df.withColumn(own, digest(quoted(text_col))).join(
+        per_doc, (quoted(id_col).cast("bigint") == F.col(its)) & (F.col(own) == F.col(whole)), "left")
     text = arrow_map(run, "string")(quoted(text_col), F.col(cuts))
     return joined.withColumn(text_col, text).select(*map(quoted, df.columns))
 

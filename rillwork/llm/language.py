@@ -2,19 +2,19 @@
 
 For each language an interpolated Kneser-Ney model predicts the letters of lower-cased words (runs of
 letters, with a word boundary before and after) from up to ``ORDER - 1`` preceding characters of the word.
-The models share sorted arrays of n-gram hashes, one row of parameters per n-gram and one column per
-language. A text gets the language with the lowest cross-entropy per character; a calibrated limit rejects
+The models lie in sorted arrays of n-gram hashes with one entry per n-gram and language. A text gets the language with the lowest cross-entropy per character; a calibrated limit rejects
 texts that no learned language explains.
 
-Models are fitted on a bounded sample: at most ``PIECES`` pieces of ``PIECE_CHARS`` code points per language,
-the ones with the smallest hashes among all pieces of all labelled texts. One in ``HELD`` of them calibrates.
-So a language's model holds at most PIECES * PIECE_CHARS * ORDER n-grams, and the broadcast grows with
-the number of languages only.
+Models are fitted on a bounded sample of ``TRAINING`` code points per language: pieces of up to ``PIECE_CHARS``, in the
+order of their hashes among all pieces of all labelled texts, until they hold so many. One in ``HELD`` of them
+calibrates. So a language's model holds at most TRAINING * ORDER n-grams, and the broadcast grows with the
+number of languages only.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +25,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rillwork.llm.common import arrow_map, quoted, written
 
 ORDER = 5
-PIECES, PIECE_CHARS, HELD = 320, 4096, 4
+PIECE_CHARS, HELD = 4096, 4
+TRAINING = 320 * PIECE_CHARS
+#: Ranges of hashes that are counted before pieces are put in order.
+RANGES = 65_536
 #: Equal shares of a character that no model has seen.
 ALPHABET = 4096
 #: A task's word table starts anew beyond so many words; longer words are not kept.
@@ -34,7 +37,9 @@ TABLE_ROWS, KEPT_CHARS = 100_000, 40
 DEVIATIONS, SLACK = 6.0, 1.5
 UNKNOWN = "und"
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Combining marks belong to the letter before them.
+MARKS = "".join(c for c in map(chr, range(0x300, 0x12000)) if unicodedata.category(c)[0] == "M")
+LETTERS = re.compile(rf"[^\W\d_](?:[^\W\d_]|[{re.escape(MARKS)}])*")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,11 +104,12 @@ def fit(words: list[str], counts: list[int]):
 
 @dataclass
 class Models:
-    """Models of all languages in shared sorted arrays, and what calibration has found."""
+    """Models of all languages, and what calibration has found. Per order a sorted array of the hashes, and for
+    each hash one (language, value) entry per language that has it: the size is that of all models together."""
 
     langs: list[str]
-    shares: list[tuple[np.ndarray, np.ndarray]]
-    rests: list[tuple[np.ndarray, np.ndarray]]
+    shares: list[tuple[np.ndarray, ...]]
+    rests: list[tuple[np.ndarray, ...]]
     mean: np.ndarray
     spread: np.ndarray
     sharpness: float = 1.0
@@ -112,17 +118,18 @@ class Models:
     def merged(cls, fitted: dict[str, list]) -> Models:
         langs = sorted(fitted)
 
-        def merge(order, which, default):
-            keys = np.unique(np.concatenate([fitted[x][order][which] for x in langs]))
-            table = np.full((len(keys), len(langs)), default, np.float32)
-            for i, x in enumerate(langs):
-                own = fitted[x][order]
-                table[np.searchsorted(keys, own[which]), i] = own[which + 1]
-            return keys, table
+        def merge(order, which):
+            parts = [fitted[x][order] for x in langs]
+            keys = np.concatenate([p[which] for p in parts])
+            lang = np.repeat(np.arange(len(langs), dtype=np.uint16), [len(p[which]) for p in parts])
+            value = np.concatenate([p[which + 1] for p in parts]).astype(np.float32)
+            by = np.argsort(keys, kind="stable")
+            distinct, first = np.unique(keys[by], return_index=True)
+            return distinct, np.r_[first, len(keys)].astype(np.int64), lang[by], value[by]
 
         n = len(langs)
-        return cls(langs, [merge(k, 0, 0.0) for k in range(ORDER if n else 0)],
-                   [merge(k, 2, 1.0) for k in range(ORDER if n else 0)], np.zeros(n), np.ones(n))
+        return cls(langs, [merge(k, 0) for k in range(ORDER if n else 0)],
+                   [merge(k, 2) for k in range(ORDER if n else 0)], np.zeros(n), np.ones(n))
 
     def word_costs(self, words: list[str]) -> np.ndarray:
         """Nats of each word (rows) in each language."""
@@ -142,19 +149,23 @@ class Models:
             at = np.flatnonzero(place[spots] >= k - 1)
             spot = spots[at]
             context = hashes[k - 2][spot - 1] if k > 1 else np.zeros(len(spot), np.uint64)
-            known, rest = look_up(self.rests[k - 1], context)
+            known, entry, lang, rest = look_up(self.rests[k - 1], context)
+            chance[at[entry], lang] *= rest
             at, spot = at[known], spot[known]
-            chance[at] *= rest[known]
-            found, share = look_up(self.shares[k - 1], hashes[k - 1][spot])
-            chance[at[found]] += share[found]
+            _, entry, lang, share = look_up(self.shares[k - 1], hashes[k - 1][spot])
+            chance[at[entry], lang] += share
         return chance
 
 
 def look_up(table, keys):
-    """Which keys are in a sorted array, and their rows (only meaningful where found)."""
-    sorted_, rows = table
+    """Which keys are in a sorted array, and the entries of those: number of the key, language, value."""
+    sorted_, first, lang, value = table
     at = np.minimum(np.searchsorted(sorted_, keys), len(sorted_) - 1)
-    return sorted_[at] == keys, rows[at]
+    known = sorted_[at] == keys
+    where = np.flatnonzero(known)
+    start, size = first[at[where]], first[at[where] + 1] - first[at[where]]
+    entries = np.repeat(start - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+    return known, np.repeat(where, size), lang[entries], value[entries]
 
 
 class Scorer:
@@ -171,15 +182,18 @@ class Scorer:
         if len(self.rows) + len(new) > TABLE_ROWS:
             self.rows, self.costs = {}, self.costs[:0]
             new = sorted(used)
+        new.sort(key=lambda w: len(w) > KEPT_CHARS)  # those that are not kept come last
         if new:
             self.rows.update(zip(new, range(len(self.costs), len(self.costs) + len(new))))
             self.costs = np.concatenate([self.costs, self.models.word_costs(new)])
         chars = np.array([sum(map(len, w)) + len(w) for w in split], np.int64)
         total = np.array([self.costs[list(map(self.rows.__getitem__, w))].sum(0) if w
                           else np.zeros(self.costs.shape[1]) for w in split])
-        for w in new:
-            if len(w) > KEPT_CHARS:
-                del self.rows[w]
+        long = [w for w in new if len(w) > KEPT_CHARS]
+        for w in long:
+            del self.rows[w]
+        if long:
+            self.costs = self.costs[:-len(long)]
         return chars, total.reshape(len(split), -1) / np.maximum(chars, 1)[:, None]
 
 
@@ -197,18 +211,30 @@ def judge(models: Models, chars: np.ndarray, entropy: np.ndarray):
 # Training ----------------------------------------------------------------------------------------
 
 def training_pieces(docs: DataFrame) -> DataFrame:
-    """(lang, piece, held) from labelled (doc_id, lang, text); at most ``PIECES`` per language."""
+    """(lang, piece, held) from labelled (doc_id, lang, text); ``TRAINING`` code points per language.
+
+    Ranges of hashes are counted first, so only the pieces of the ranges that are needed are put in order.
+    """
     usable = docs.where("doc_id is not null and lang is not null and length(text) > 0")
     last = F.floor((F.length("text") - 1) / PIECE_CHARS).cast("int")
     order = F.xxhash64("doc_id", "at")
-    every = (usable.select("doc_id", "lang", F.explode(F.sequence(F.lit(0), last)).alias("at"))
-             .withColumn("order", order))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id", "at"))
-    chosen = written(every.withColumn("place", place).where(F.col("place") <= PIECES), "pieces")
-    chosen = chosen.dropDuplicates(["lang", "doc_id", "at"])
+    every = (usable.select("doc_id", "lang", F.length("text").alias("n"),
+                           F.explode(F.sequence(F.lit(0), last)).alias("at"))
+             .select("doc_id", "lang", "at", order.alias("order"),
+                     F.least(F.lit(PIECE_CHARS), F.col("n") - F.col("at") * PIECE_CHARS).alias("chars"))
+             .withColumn("range", F.shiftright("order", 48)))
+    upto = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counted = every.groupBy("lang", "range").agg(F.sum("chars").alias("chars"))
+    needed = counted.withColumn("before", F.coalesce(F.sum("chars").over(upto), F.lit(0))).where(
+        F.col("before") < TRAINING).groupBy("lang").agg(F.max("range").alias("top"))  # a row a language
+    some = every.join(needed, "lang").where("range <= top")
+    by = Window.partitionBy("lang").orderBy("order", "doc_id", "at")
+    place = some.dropDuplicates(["lang", "doc_id", "at"]).select(
+        "lang", "doc_id", "at", F.row_number().over(by).alias("place"),
+        F.coalesce(F.sum("chars").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    chosen = written(place.where(F.col("before") < TRAINING), "pieces")
     text = F.substring("text", F.col("at") * PIECE_CHARS + 1, F.lit(PIECE_CHARS))
-    # The chosen list has at most PIECES rows per language.
-    return (usable.join(F.broadcast(chosen), ["doc_id", "lang"])
+    return (usable.join(chosen, ["doc_id", "lang"])
             .select("lang", "doc_id", "at", text.alias("piece"), (F.col("place") % HELD == 0).alias("held"))
             .dropDuplicates(["lang", "doc_id", "at"]).select("lang", "piece", "held"))
 
@@ -264,7 +290,11 @@ def calibrate(models: Models, rows) -> None:
             models.mean[i] = np.average(mine[at], weights=chars[at])
             models.spread[i] = max(1.0, np.sqrt(((mine[at] - models.mean[i]) ** 2 * chars[at]).mean()))
         else:
-            models.mean[i] = np.inf
+            models.mean[i] = np.nan
+    # A language with too little to calibrate on is judged by the others' mean and spread.
+    known = ~np.isnan(models.mean)
+    models.spread[~known] = models.spread[known].mean() if known.any() else 1.0
+    models.mean[~known] = models.mean[known].mean() if known.any() else np.inf
     if not len(truth):
         return
     goal = ((entropy.argmin(1) == truth).sum() + 1) / (len(truth) + 2)
@@ -317,7 +347,8 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 
     Models are learned from the non-null labels of rows that are not held out. A null text or one without
     a letter is ``und`` with score 0, null entropy, rejected; so is every text if nothing could be learned.
-    Ties go to the smaller language name. Whole texts are judged, each word by word.
+    A language whose pieces are too few to calibrate on is rejected by the others' limits; if no language has
+    enough, nothing with a letter is rejected. Ties go to the smaller language name. Whole texts are judged, each word by word.
     """
     labelled = df.select(quoted(id_col).alias("doc_id"), quoted(lang_col).cast("string").alias("lang"),
                          quoted(text_col).alias("text"))

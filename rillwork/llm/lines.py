@@ -6,26 +6,32 @@ Keys held by at least ``least_docs`` documents are *frequent*: cleaning drops th
 in the document with the largest id. A cuckoo filter per shard holds the frequent keys; a line that
 passes its filter is looked up in the exact table, so false positives cost a lookup and nothing else.
 
-Documents can be inserted and deleted in any order. The index is a folder of Parquet tables:
+Documents can be inserted and deleted in any order. The index is a folder of Parquet tables; a version counts once
+its manifest is there, written last. So an index can be opened again, and what a lost driver left of a batch is
+written over:
 
     changes/NNNNNN   (key, doc_id, sign)            what each batch added (+1) or took away (-1)
     counts/NNNNNN    (key, shard, n_docs, last_doc)  exact reference counts after the batch
     filters/NNNNNN   (shard, filter)                 the filters after the batch
+    manifest/NNNNNN  shards and what counts as frequent
 """
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillwork.llm.common import arrow_map, quoted
+from rillwork.llm.common import arrow_map, free_name, quoted, written
 from rillwork.llm.cuckoo import CuckooFilter
 from rillwork.session import shared_dir
+from rillwork.sources import files
 
 SPACE = b" \t\n\x0b\x0c\r"
 LEAST_CHARS, LEAST_DOCS = 20, 3
-#: Frequent keys of a shard that the number of shards aims at; it is fixed when the index is made.
+#: Frequent keys of a shard that the number of shards aims at; at twice as many there are more shards.
 SHARD_KEYS, LEAST_SHARDS = 50_000, 8
 #: Parts that the lines of one shard are spread over when they meet its filter: a line that a third of
 #: all documents hold is probed by several tasks.
@@ -68,6 +74,12 @@ class LineIndex:
         self.spark, self.folder = spark, folder
         self.least_chars, self.least_docs = least_chars, least_docs
         self.version, self.shards = 0, 0
+        found = files.names(spark, f"{folder}/manifest")
+        if found:
+            made = json.loads(files.text(spark, f"{folder}/manifest/{found[-1]}"))
+            if (made["least_chars"], made["least_docs"]) != (least_chars, least_docs):
+                raise ValueError(f"the index was made with {made}")
+            self.version, self.shards = int(found[-1]), made["shards"]
 
     # Tables ------------------------------------------------------------------------------------
 
@@ -79,7 +91,7 @@ class LineIndex:
             *[f"{self.folder}/{table}/{v:06d}" for v in versions])
 
     def _write(self, df: DataFrame, table: str) -> None:
-        df.write.parquet(f"{self.folder}/{table}/{self.version + 1:06d}")
+        df.write.mode("overwrite").parquet(f"{self.folder}/{table}/{self.version + 1:06d}")
 
     def changes(self) -> DataFrame:
         return self._read("changes", CHANGES)
@@ -138,15 +150,20 @@ class LineIndex:
                                   F.col("newest").alias("last_doc"))
         else:
             totals = self._merged(before, delta, batch)
-        if first:
-            frequent = totals.where(F.col("n_docs") >= self.least_docs).count()
-            self.shards = max(LEAST_SHARDS, -(-frequent // SHARD_KEYS))
-        shard = F.pmod(F.xxhash64("key"), F.lit(self.shards)).cast("int")
+        totals = written(totals, "totals")
+        frequent = totals.where(F.col("n_docs") >= self.least_docs).count()
+        shards = self.shards
+        if first or frequent > 2 * SHARD_KEYS * shards:
+            shards = max(LEAST_SHARDS, -(-frequent // SHARD_KEYS))
+        shard = F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")
         self._write(totals.select("key", shard.alias("shard"), "n_docs", "last_doc"), "counts")
         after = self.spark.read.schema(COUNTS).parquet(
             f"{self.folder}/counts/{self.version + 1:06d}")
-        self._write(self._new_filters(before, after, first), "filters")
-        self.version += 1
+        # With more shards all filters are built anew.
+        self._write(self._new_filters(before, after, first or shards != self.shards), "filters")
+        files.publish(self.spark, f"{self.folder}/manifest/{self.version + 1:06d}", json.dumps(
+            {"shards": shards, "least_chars": self.least_chars, "least_docs": self.least_docs}))
+        self.version, self.shards = self.version + 1, shards
 
     def _merged(self, before: DataFrame, delta: DataFrame, batch: DataFrame) -> DataFrame:
         """Counts after a batch. Where a holder left, the largest id is found anew among the key's
@@ -208,13 +225,14 @@ class LineIndex:
                 [pa.array([r[i] for r in rows], shape[i].type) for i in range(3)],
                 fields=list(shape))
 
+        doc, gone, made = (free_name(df, c) for c in ("__doc", "__gone", "__done"))
         per_doc = (self.drops(df, id_col, text_col).groupBy("doc_id")
-                   .agg(F.collect_list("key").alias("__gone")).withColumnRenamed("doc_id", "__doc"))
+                   .agg(F.collect_list("key").alias(gone)).withColumnRenamed("doc_id", doc))
         work = arrow_map(run, "n_lines bigint, n_dropped bigint, kept string")
-        joined = df.join(per_doc, quoted(id_col).cast("bigint") == F.col("__doc"), "left")
-        done = joined.withColumn("__done", work(quoted(text_col), F.col("__gone")))
+        joined = df.join(per_doc, quoted(id_col).cast("bigint") == F.col(doc), "left")
+        done = joined.withColumn(made, work(quoted(text_col), F.col(gone)))
         rest = [quoted(c) for c in df.columns if c.lower() not in ("n_lines", "n_dropped", "kept")]
-        return done.select(*rest, "__done.n_lines", "__done.n_dropped", "__done.kept")
+        return done.select(*rest, f"{made}.n_lines", f"{made}.n_dropped", f"{made}.kept")
 
 
 def built(keys: pd.DataFrame) -> pd.DataFrame:

@@ -18,12 +18,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rillwork.llm.common import SPACE, WORD, quoted
+from rillwork.llm.common import SPACE, WORD, free_name, quoted
 
 LEAST_WORDS, MOST_REPEATED, LEAST_KEPT = 50, 50, 50
 
 SYMBOLS = "#*$%&|<>"
-SENTENCE_END = rf"[.!?…。！？][\"'»”’)\]]*([{SPACE}]|\z)"
+#: Marks that end a sentence in the scripts that have one (Latin, CJK, Devanagari, Arabic, Armenian, Ethiopic,
+#: Burmese, Khmer, Tibetan), and the letters of scripts without any (Thai, Lao): a line may just end in them.
+ENDS, UNMARKED = ".!?…。！？।॥۔؟։።፧။។៕།", "\u0e01-\u0eff"
+SENTENCE_END = rf"[{ENDS}][\"'»”’)\]]*([{SPACE}]|\z)|[{UNMARKED}][{SPACE}]*\z"
 SEPARATORS = "|»›•·>/"
 SEPARATOR = rf"(?:^|[{SPACE}])[{SEPARATORS}](?=[{SPACE}]|\z)"
 SYMBOL_WORD = rf"(?:^|[{SPACE}])[^{SPACE}{SYMBOLS}]*[{SYMBOLS}]"
@@ -102,15 +105,16 @@ def assess(df: DataFrame, text_col: str = "text", to: str = "quality") -> DataFr
 
     split = F.array_remove(F.split(text, rf"[{SPACE}]+"), "")
     with_word = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
-    found = df.withColumns({"__w": let(split, by_words), "__l": let(with_word, by_lines),
-                            "__symbols": matches(text, f"[{SYMBOLS}]").cast("bigint")})
-    n, kept = F.col("__w.n_words"), total(F.col("__l.passed"))
-    failed = (n < LEAST_WORDS) | (F.col("__w.n_repeat_words") * 100 > n * MOST_REPEATED)
+    w, l, symbols = (free_name(df, c) for c in ("__w", "__l", "__symbols"))
+    found = df.withColumns({w: let(split, by_words), l: let(with_word, by_lines),
+                            symbols: matches(text, f"[{SYMBOLS}]").cast("bigint")})
+    n, kept = F.col(f"{w}.n_words"), total(F.col(f"{l}.passed"))
+    failed = (n < LEAST_WORDS) | (F.col(f"{w}.n_repeat_words") * 100 > n * MOST_REPEATED)
     result = F.struct(
-        n.alias("n_words"), F.col("__w.word_chars"), F.col("__symbols").alias("n_symbols"),
-        F.col("__l.n_dup_lines"), F.col("__w.n_repeat_words"), F.col("__l.n_lines"),
-        (F.col("__l.n_lines") - F.size("__l.passed")).alias("n_failed_lines"), F.col("__l.line_chars"),
-        kept.alias("kept_chars"), F.array_join("__l.passed", "\n").alias("cleaned"),
+        n.alias("n_words"), F.col(f"{w}.word_chars"), F.col(symbols).alias("n_symbols"),
+        F.col(f"{l}.n_dup_lines"), F.col(f"{w}.n_repeat_words"), F.col(f"{l}.n_lines"),
+        (F.col(f"{l}.n_lines") - F.size(f"{l}.passed")).alias("n_failed_lines"), F.col(f"{l}.line_chars"),
+        kept.alias("kept_chars"), F.array_join(f"{l}.passed", "\n").alias("cleaned"),
         failed.alias("base_failed"),
-        (~failed & (kept * 100 >= F.col("__l.line_chars") * LEAST_KEPT)).alias("kept"))
-    return found.withColumn(to, result).drop("__w", "__l", "__symbols")
+        (~failed & (kept * 100 >= F.col(f"{l}.line_chars") * LEAST_KEPT)).alias("kept"))
+    return found.withColumn(to, result).drop(w, l, symbols)

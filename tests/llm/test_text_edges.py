@@ -327,3 +327,86 @@ def test_tokens_digest_of_nothing(odd):
     none = sentencepieces.encode_documents(odd.where("doc_id = 2"), model_path())
     row = none.withColumn("decoded", F.lit("")).select(*token_digests(none)).first()
     assert (row.n_tokens, row.ids_sha256, row.decoded_sha256) == (0, sha(""), sha(""))
+
+
+def test_an_index_is_opened_again_and_overwrites_what_a_lost_driver_left(spark, tmp_path, monkeypatch):
+    from rillwork.sources import files
+    docs = spark.createDataFrame([(i, f"a line that many documents hold\nown line of document {i}") for i in range(4)],
+                                 "doc_id bigint, text string")
+    folder = str(tmp_path / "index")
+    lines.LineIndex(spark, folder).insert(docs)
+    again = lines.LineIndex(spark, folder)
+    dropped = lambda index: sum(r.n_dropped for r in index.clean(docs).collect())
+    assert again.version == 1 and dropped(again) == 3
+    with monkeypatch.context() as m:
+        m.setattr(files, "publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            again.delete(docs.where("doc_id < 2"))
+    third = lines.LineIndex(spark, folder)
+    assert third.version == 1 and dropped(third) == 3
+    third.delete(docs.where("doc_id < 2"))
+    assert dropped(lines.LineIndex(spark, folder)) == 0  # two holders are too few
+    with pytest.raises(ValueError):
+        lines.LineIndex(spark, folder, least_docs=5)
+
+
+def test_an_index_gets_more_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lines, "SHARD_KEYS", 2)
+    monkeypatch.setattr(lines, "LEAST_SHARDS", 1)
+    made = lambda n, of: spark.createDataFrame(
+        [(n * 100 + d, "\n".join(f"a common line of batch {n} number {k}" for k in range(of))) for d in range(3)],
+        "doc_id bigint, text string")
+    index = lines.LineIndex(spark, str(tmp_path / "i"))
+    for n, of in ((0, 2), (1, 3), (2, 20)):
+        index.insert(made(n, of))
+    assert index.shards > 1
+    assert [sum(r.n_dropped for r in index.clean(made(n, of)).collect()) for n, of in ((0, 2), (1, 3), (2, 20))] == [
+        4, 6, 40]
+
+
+def test_rows_with_one_id_lose_their_own_passages_only(spark):
+    rng = np.random.default_rng(3)
+    text = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n))
+    shared, other = text(60), text(120)
+    df = spark.createDataFrame([(1, shared + " " + text(20)), (2, text(20) + " " + shared), (2, other)],
+                               "doc_id bigint, text string")
+    got = {r.text for r in chunks.drop_repeats(df).collect()}
+    assert other in got and len(got) == 3 and sum(len(t) for t in got) < sum(len(r.text) for r in df.collect()) - 300
+
+
+def test_sentences_end_in_many_scripts(spark):
+    ends = ["वाक्य है।", "جملہ ہے۔", "هل هذا؟", "Նախադասություն։", "ዓረፍተ ነገር።", "句子。", "ประโยคภาษาไทย", "ending."]
+    df = spark.createDataFrame([(e, e.rstrip("।۔؟։።。.") + ",") for e in ends], "good string, bad string")
+    rows = df.select(F.col("good").rlike(quality.SENTENCE_END), F.col("bad").rlike(quality.SENTENCE_END)).collect()
+    assert [tuple(r) for r in rows] == [(True, False)] * len(ends)
+
+
+def test_clashing_names_of_users(spark):
+    df = spark.createDataFrame([(1, "a line of the user that is long enough", "x", "s")],
+                               "doc_id bigint, text string, lang string, source string")
+    names = ("__w", "__l", "__symbols", "__doc", "__gone", "__done", "spans", "whole", "own", "its", "cuts")
+    for n in names:
+        df = df.withColumn(n, F.lit("mine"))
+    for got in (quality.assess(df), lines.dedup_lines(df), credentials.redact(df), chunks.drop_repeats(df)):
+        row = got.first().asDict()
+        assert all(row[n] == "mine" for n in names)
+
+
+def test_words_keep_their_marks_and_tables_stay_small():
+    assert language.words_of("हिन्दी भाषा, 12 ทั้งหมด été") == ["हिन्दी", "भाषा", "ทั้งหมด", "été"]
+    model = language.fit(["abc", "abd", "xyz"], [3, 2, 1])
+    scorer = language.Scorer(language.Models.merged({"a": model, "b": model}))
+    long = ["q" * (language.KEPT_CHARS + 1 + i) for i in range(50)]
+    first = scorer(["abc " + " ".join(long), "abc"])
+    assert len(scorer.rows) == len(scorer.costs) == 1
+    again = scorer(["abc " + " ".join(long), "abc"])
+    assert np.array_equal(first[1], again[1]) and len(scorer.costs) == 1
+
+
+def test_a_language_without_calibration_still_rejects():
+    fits = {x: language.fit([f"{x}{y}{z}" for y in "abc" for z in "def"], [1] * 9) for x in "pq"}
+    models = language.Models.merged(fits)
+    language.calibrate(models, [("p", "pad pbe pcf " * 9)] * 3)
+    assert np.isfinite(models.mean).all() and models.mean[1] == models.mean[0]
+    chars, entropy = language.Scorer(models)(["qad qbe qcf", "ウィキペディア 日本語"])
+    assert language.judge(models, chars, entropy)[3].tolist() == [False, True]
