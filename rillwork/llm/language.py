@@ -39,7 +39,7 @@ UNKNOWN = "und"
 
 #: Combining marks belong to the letter before them.
 MARKS = "".join(c for c in map(chr, range(0x300, 0x12000)) if unicodedata.category(c)[0] == "M")
-LETTERS = re.compile(rf"[^\W\d_](?:[^\W\d_]|[{re.escape(MARKS)}])*")
+LETTERS = re.compile(rf"[^\W\d_]+(?:[{re.escape(MARKS)}]+[^\W\d_]*)*")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
