@@ -3,8 +3,8 @@
 A gear hash rolls over the UTF-8 bytes of a text. A byte is a cut if its hash is the smallest among ``REACH``
 bytes before and after it, so chunks are ``REACH`` bytes at least and about twice that on average, and
 a cut depends on its surroundings only: an insertion moves the cuts near it and no others. Chunks are
-compared by 128-bit digest. A chunk that two documents hold is repeated; it stays in the document with the
-smallest id.
+compared by 128-bit digest. A chunk that stands at two places, of two documents or of one, is repeated; it
+stays in the document with the smallest id, at its first place there.
 """
 
 from __future__ import annotations
@@ -65,12 +65,18 @@ def cut_batch(texts: list[str]) -> list[tuple[bytes, np.ndarray]]:
     return out
 
 
-CHUNKS = "doc_id bigint, start bigint, end bigint, h1 bigint, h2 bigint"
+CHUNKS = "doc_id bigint, start bigint, end bigint, h1 bigint, h2 bigint, again boolean"
+
+
+def seen_before(digests: list[bytes]) -> list[bool]:
+    """For each digest whether the list holds it earlier."""
+    known: set[bytes] = set()
+    return [d in known or known.add(d) is not None for d in digests]
 
 
 def chunk_rows(by_text: bool):
-    """(doc_id, start, end in code points, two halves of the digest) of each chunk; with ``by_text`` also a digest
-    of the whole text, which tells rows with the same id apart."""
+    """(doc_id, start, end in code points, two halves of the digest, whether the text holds the chunk earlier) of
+    each chunk; with ``by_text`` also a digest of the whole text, which tells rows with the same id apart."""
     import xxhash
     digest = xxhash.xxh3_128_digest
     names = [c.split()[0] for c in CHUNKS.split(", ")] + ["whole"] * by_text
@@ -80,12 +86,14 @@ def chunk_rows(by_text: bool):
             for i in range(0, batch.num_rows, SLICE):
                 part = batch.slice(i, SLICE)
                 ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                docs, starts, ends, digests, wholes = [], [], [], [], []
+                docs, starts, ends, digests, again, wholes = [], [], [], [], [], []
                 for doc, (b, borders) in zip(ids, cut_batch(texts)):
                     if len(b) == 0:
                         continue
                     edges = borders.tolist()
-                    digests += [digest(b[s:e]) for s, e in zip(edges, edges[1:])]
+                    own = [digest(b[s:e]) for s, e in zip(edges, edges[1:])]
+                    digests += own
+                    again += seen_before(own)
                     count = np.r_[0, np.cumsum((np.frombuffer(b, np.uint8) & 0xC0) != 0x80)][borders]
                     starts.append(count[:-1])
                     ends.append(count[1:])
@@ -95,21 +103,23 @@ def chunk_rows(by_text: bool):
                 if docs:
                     halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                     cols = [*map(np.concatenate, (docs, starts, ends)), halves[:, 0], halves[:, 1]]
-                    cols += [np.concatenate(wholes).view(np.int64)] if by_text else []
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
+                    cols = [pa.array(c, pa.int64()) for c in cols] + [pa.array(again)]
+                    cols += [pa.array(np.concatenate(wholes).view(np.int64))] if by_text else []
+                    yield pa.RecordBatch.from_arrays(cols, names)
 
     return run
 
 
 def repeated_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_text: bool = False
                     ) -> DataFrame:
-    """(doc_id, start, end, first_doc) of every chunk that at least two documents hold; ``by_text``: and whole."""
+    """(doc_id, start, end, first_doc, again) of every chunk that stands at two places; ``by_text``: and whole."""
     docs = (df.select(quoted(id_col).cast("bigint").alias("doc_id"), quoted(text_col).alias("text"))
             .where("doc_id is not null and text is not null"))
     chunks = written(docs.mapInArrow(chunk_rows(by_text), CHUNKS + ", whole bigint" * by_text), "chunks")
     shared = (chunks.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"),
-                                             F.max("doc_id").alias("last_doc"))
-              .where("first_doc < last_doc").select("h1", "h2", "first_doc"))
+                                             F.max("doc_id").alias("last_doc"),
+                                             F.max("again").alias("inside"))
+              .where("first_doc < last_doc or inside").select("h1", "h2", "first_doc"))
     return chunks.join(shared, ["h1", "h2"]).drop("h1", "h2")
 
 
@@ -125,18 +135,18 @@ def spans_of(repeated: DataFrame, least_span: int) -> DataFrame:
         "run", F.count_if("fresh").over(upto))
     return (runs.groupBy(*by, "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_chunks"),
-        F.count_if(F.col("first_doc") < F.col("doc_id")).alias("n_dropped"),
+        F.count_if((F.col("first_doc") < F.col("doc_id")) | F.col("again")).alias("n_dropped"),
         F.min("first_doc").alias("first_doc"))
         .where(F.col("end") - F.col("start") >= least_span).drop("run"))
 
 
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    least_span: int = LEAST_SPAN) -> DataFrame:
-    """One row per passage of a document that other documents hold as well:
+    """One row per passage that stands at another place as well, in another document or the same:
 
     doc_id, start, end (code points, end exclusive), n_chunks, n_dropped (chunks that an earlier document
-    holds), first_doc (smallest id that holds one of the chunks). Documents that share nothing have no
-    row. Rows without id or text are left out; rows with the same id count as one document, its
+    holds, or this one further up), first_doc (smallest id that holds one of the chunks). Documents that repeat
+    nothing have no row. Rows without id or text are left out; rows with the same id count as one document, its
     passages merged. Whole texts are cut; a text without any cut is one chunk.
     """
     return spans_of(repeated_chunks(df, id_col, text_col), least_span)
@@ -144,10 +154,11 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  least_span: int = LEAST_SPAN) -> DataFrame:
-    """The documents with each repeated passage left only where its id is smallest; columns as before. Rows with
-    the same id and different texts lose each their own passages."""
+    """The documents with each repeated passage left only where its id is smallest, once; columns as before. Rows
+    with the same id and different texts lose each their own passages."""
     import xxhash
-    gone = spans_of(repeated_chunks(df, id_col, text_col, by_text=True).where("first_doc < doc_id"), least_span)
+    gone = spans_of(repeated_chunks(df, id_col, text_col, by_text=True)
+                    .where("first_doc < doc_id or again"), least_span)
     its, cuts, whole, own = (free_name(df, c) for c in ("its", "cuts", "whole", "own"))
     per_doc = gone.groupBy(F.col("doc_id").alias(its), F.col("whole").alias(whole)).agg(
         F.collect_list(F.struct("start", "end")).alias(cuts))

@@ -51,6 +51,14 @@ def arrow_map(fn: Callable[..., pa.Array], returns: str) -> Callable[..., Column
     return F.arrow_udf(run, returns).asNondeterministic()
 
 
+def least_by_hash(df: DataFrame, key: str, n: int, total: int) -> DataFrame:
+    """At most ``n`` of the ``total`` rows, those with the least hashes of ``key``. Hashes above a limit that
+    leaves about ``n`` rows are filtered first, so that all tasks together sort that many, not each of them."""
+    share = min(1.0, (n + 8 * n ** 0.5 + 64) / max(total, 1))
+    limit = min(2 ** 63 - 1, int(share * 2 ** 64) - 2 ** 63)
+    return df.where(F.xxhash64(key) <= limit).orderBy(F.xxhash64(key), key).limit(n)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or a form of it that no column of the frame has (case aside)."""
     taken = {c.lower() for c in df.columns}

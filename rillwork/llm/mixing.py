@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rillwork.llm.common import WORD, quoted, written
+from rillwork.llm.common import WORD, free_name, quoted, written
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 #: Units of a block of the cube method.
@@ -189,11 +189,12 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         seed: int = 0) -> DataFrame:
     """The rows that the mix takes, each as often as it takes it; columns as before. See :func:`plan`."""
     columns = unit_columns(id_col, text_col, source_col)
-    marked = df.select(*map(quoted, df.columns), *[c.alias(f"__mix_{n}") for n, c in columns.items()])
+    mine = {n: free_name(df, f"__mix_{n}") for n in UNIT}
+    its = {n: free_name(df, f"__want_{n}") for n in UNIT}
+    times, turn = free_name(df, "__times"), free_name(df, "__turn")
+    marked = df.select(*map(quoted, df.columns), *[c.alias(mine[n]) for n, c in columns.items()])
     wanted = (plan(df, id_col, text_col, source_col, seed).where("times > 0").select(*UNIT, "times")
-              .distinct().select(*[F.col(c).alias(f"__want_{c}") for c in UNIT],
-                                 F.col("times").alias("__times")))
-    same = [F.col(f"__mix_{c}").eqNullSafe(F.col(f"__want_{c}")) for c in UNIT]
-    taken = marked.join(wanted, same)
-    often = F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__turn")
-    return taken.select(*map(quoted, df.columns), often).drop("__turn")
+              .distinct().select(*[F.col(c).alias(its[c]) for c in UNIT], F.col("times").alias(times)))
+    taken = marked.join(wanted, [F.col(mine[c]).eqNullSafe(F.col(its[c])) for c in UNIT])
+    often = F.explode(F.sequence(F.lit(1), F.col(times))).alias(turn)
+    return taken.select(*map(quoted, df.columns), often).drop(turn)

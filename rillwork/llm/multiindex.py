@@ -14,8 +14,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from rillwork.llm.common import quoted, written
+from rillwork.llm.common import least_by_hash, quoted, written
 
 #: Most vectors that centroids are fitted on; a half has as many centroids as the square root of their
 #: number. Sample queries that measure recall, and the recall aimed at.
@@ -23,15 +24,19 @@ SAMPLE, PROBES, RECALL = 20_000, 100, 0.97
 ROUNDS = 12
 #: Entries and queries of a block in the exact ranking.
 ENTRIES, QUERIES = 8192, 4096
+#: Sums of squares within these bounds are exact enough as they are.
+SQUARES = (1e-280, 1e300)
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(vec_id, vec): finite, non-zero vectors of the most common length (of equally common ones the
-    shortest). One row per id: of different vectors under one id the smallest counts."""
+    shortest). One row per id: of different vectors under one id the smallest counts. Floats stay floats; components
+    of any other type are doubles."""
+    kind = df.select(quoted(vec_col)).schema[0].dataType
+    single = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
     rows = df.select(quoted(id_col).cast("bigint").alias("vec_id"),
-                     quoted(vec_col).cast("array<float>").alias("vec"))
-    finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x)
-                      & (F.abs(x) < F.lit(float("inf")).cast("float")))
+                     quoted(vec_col).cast(f"array<{'float' if single else 'double'}>").alias("vec"))
+    finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = rows.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite
                       & F.exists("vec", lambda x: x != 0))
     one = written(good.groupBy("vec_id").agg(F.min("vec").alias("vec")), "vectors")
@@ -48,9 +53,10 @@ def matrix(column) -> np.ndarray:
 
 
 def to_centroids(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """Squared distances."""
-    return np.maximum((points ** 2).sum(1)[:, None] - 2 * points @ centroids.T
-                      + (centroids ** 2).sum(1), 0)
+    """Squared distances, as the expanded square gives them; infinite where that overflows."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        d = (points ** 2).sum(1)[:, None] - 2 * points @ centroids.T + (centroids ** 2).sum(1)
+    return np.where(np.isnan(d), np.inf, np.maximum(d, 0))
 
 
 def centroids_of(points: np.ndarray, k: int) -> np.ndarray:
@@ -61,8 +67,8 @@ def centroids_of(points: np.ndarray, k: int) -> np.ndarray:
         near = to_centroids(points, chosen).argmin(1)
         size = np.bincount(near, minlength=k)
         total = np.zeros_like(chosen)
-        np.add.at(total, near, points)
-        chosen = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], chosen)
+        np.add.at(total, near, points / np.maximum(size, 1)[near][:, None])
+        chosen = np.where(size[:, None] > 0, total, chosen)
     return chosen
 
 
@@ -99,9 +105,23 @@ def walk(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, enough: float):
     return cells
 
 
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    """Euclidean lengths. Rows whose squares leave the range of doubles are scaled first."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        squares = (vectors ** 2).sum(1)
+        d = np.sqrt(squares)
+        odd = np.flatnonzero(~((squares >= SQUARES[0]) & (squares <= SQUARES[1])))
+        if len(odd):
+            top = np.abs(vectors[odd]).max(axis=1, initial=0.0)
+            scale = np.where((top > 0) & np.isfinite(top), top, 1.0)
+            d[odd] = np.where(np.isfinite(top), scale * np.sqrt(((vectors[odd] / scale[:, None]) ** 2).sum(1)), np.inf)
+    return d
+
+
 def nearest(entries: np.ndarray, ids: np.ndarray, query: np.ndarray, k: int):
     """Positions and distances of the k nearest, ties by id."""
-    d = np.sqrt(((entries - query) ** 2).sum(1))
+    with np.errstate(over="ignore"):
+        d = lengths(entries - query)
     if len(d) > k:
         at = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1])
     else:
@@ -117,10 +137,11 @@ class MultiIndex:
     def __init__(self, df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 10,
                  recall: float = RECALL):
         self.k, self.vectors = k, usable(df, id_col, vec_col)
-        sample = (self.vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)).toArrow()
+        self.kind = self.vectors.schema["vec"].dataType.simpleString()
         self.total = self.vectors.count()
         if not self.total:
             return
+        sample = least_by_hash(self.vectors, "vec_id", SAMPLE, self.total).toArrow()
         points = matrix(sample["vec"])
         cut, n = max(1, points.shape[1] // 2), max(1, int(len(points) ** 0.5))
         self.halves = Halves(centroids_of(points[:, :cut], n), centroids_of(points[:, cut:], n))
@@ -141,7 +162,7 @@ class MultiIndex:
                      batch.column("vec")], ["c1", "c2", "vec_id", "vec"])
 
         return written(self.vectors.select("vec_id", "vec").mapInArrow(
-            assign, "c1 int, c2 int, vec_id bigint, vec array<float>"), "cells")
+            assign, f"c1 int, c2 int, vec_id bigint, vec {self.kind}"), "cells")
 
     def _measured(self, probes: np.ndarray, probe_ids: np.ndarray, recall: float) -> int:
         """Entries to walk until ``recall`` of the sample queries' true neighbours have been met."""
@@ -220,7 +241,7 @@ class MultiIndex:
                             ["query_id", "vec_id", "score"])
 
         asked = written(queries.select("vec_id", "vec").mapInArrow(
-            visits, "query_id bigint, c1 int, c2s array<int>, vec array<float>"), "visits")
+            visits, f"query_id bigint, c1 int, c2s array<int>, vec {self.kind}"), "visits")
         # A block is some entries of one first centroid against some of the queries that visit it.
         held = self.entries.groupBy("c1").count().select("c1", F.ceil(
             F.col("count") / ENTRIES).cast("int").alias("parts"))

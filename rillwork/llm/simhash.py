@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rillwork.llm.common import arrow_map, quoted, written
+from rillwork.llm.common import arrow_map, least_by_hash, quoted, written
 from rillwork.llm.graph import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -206,7 +206,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     spark = distinct.sparkSession
     total = distinct.count()
     depth = max(LEAST_DEPTH, int(np.ceil(np.log2(max(total, 1) / SHARD_ROWS))))
-    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()
+    sample = least_by_hash(distinct, "fp", TREE_SAMPLE, total).collect()
     tree = build_tree(np.array([r["fp"] for r in sample], np.int64).view(np.uint64), depth)
 
     def places(batches):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from helpers_text import DOCS, awkward, brute_components, brute_fingerprint, sha
 from rillwork.llm import (chunks, credentials, extract, language, lines, mixing, multiindex, quality,
                           resampling, sentencepieces, simhash, winnowing)
-from rillwork.llm.common import prepared
+from rillwork.llm.common import least_by_hash, prepared
 from rillwork.llm.queries import model_path
 
 
@@ -186,6 +186,68 @@ def test_spans_of_planted_passages(spark):
     assert passage not in left[1] and left[1].startswith(rows[1][1][:100])
 
 
+def plain_spans(docs, least=chunks.LEAST_SPAN):
+    """Chunks by one sum per byte, and passages by looking every chunk up among all places."""
+    places, cut = {}, {}
+    for doc, text in docs:
+        raw = text.encode()
+        padded = chunks.PAD + raw + chunks.PAD
+        sums = [sum(int(chunks.GEAR[padded[i - k]]) << k for k in range(min(i + 1, chunks.ROLL))) % 2 ** 32
+                for i in range(len(padded))]
+        start, borders = len(chunks.PAD), {0, len(raw)}
+        for i in range(start - 3, start + len(raw)):
+            before, after = sums[max(0, i - chunks.REACH):i], sums[i + 1:i + 1 + chunks.REACH]
+            if sums[i] < min(before) and sums[i] <= min(after):
+                at = i + 1
+                while at < len(padded) and padded[at] & 0xC0 == 0x80:
+                    at += 1
+                if 0 < at - start < len(raw):
+                    borders.add(at - start)
+        edges = sorted(borders)
+        cut[doc] = [(len(raw[:s].decode()), len(raw[:e].decode()), raw[s:e]) for s, e in zip(edges, edges[1:])]
+        for s, _, piece in cut[doc]:
+            places.setdefault(piece, []).append((doc, s))
+    out = []
+    for doc, pieces in cut.items():
+        run = []
+        for s, e, piece in [*pieces, (None, None, None)]:
+            if piece is not None and len(places[piece]) > 1 and (not run or run[-1][1] == s):
+                run.append((s, e, min(places[piece])))
+                continue
+            if run and run[-1][1] - run[0][0] >= least:
+                out.append((doc, run[0][0], run[-1][1], len(run), sum(first != (doc, a) for a, _, first in run),
+                            min(first[0] for _, _, first in run)))
+            run = [(s, e, min(places[piece]))] if piece is not None and len(places[piece]) > 1 else []
+    return sorted(out)
+
+
+def test_spans_equal_plain_version(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 4000 and text <> ''").collect()
+    docs = [(r.doc_id, r.text) for r in sorted(given, key=lambda r: r.doc_id)[:150]]
+    top = max(i for i, _ in docs)
+    docs += [(top + 1, f"{docs[0][1]} {docs[1][1]} {docs[0][1]}"), (top + 2, "déjà vu 日本語 \U0001f600 " * 40),
+             (top + 3, docs[3][1][40:] + docs[4][1][:-30])]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = [tuple(r) for r in chunks.repeated_spans(df).select(
+        "doc_id", "start", "end", "n_chunks", "n_dropped", "first_doc").collect()]
+    assert sorted(got) == plain_spans(docs) and len(got) >= 4
+
+
+def test_passages_that_one_document_repeats(spark):
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmno"), rng.integers(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passage = text(60)
+    twice = f"{text(50)} {passage} {text(50)} {passage} {text(50)}"
+    df = spark.createDataFrame([(1, twice), (2, text(200))], "doc_id bigint, text string")
+    first, second = chunks.repeated_spans(df).orderBy("start").collect()
+    assert (first.doc_id, first.n_dropped, first.first_doc) == (1, 0, 1)
+    assert second.n_dropped == second.n_chunks == first.n_chunks
+    left = {r.doc_id: r.text for r in chunks.drop_repeats(df).collect()}
+    middle = passage[60:-60]
+    assert twice.count(middle) == 2 and left[1].count(middle) == 1 and left[1].startswith(twice[:400])
+
+
 def test_formats_are_inferred(spark):
     rng = np.random.default_rng(5)
     pick = lambda chars, n: "".join(rng.choice(list(chars), n))
@@ -277,6 +339,30 @@ def test_vectors_that_take_no_part(spark):
     assert [r.score for r in got] == [0.0, 0.0, 2 ** 0.5]
 
 
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(38,18)", "int"])
+def test_vectors_keep_their_type(spark, kind):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 1e-12]), (2, [3.0, 1.0]), (3, [1e-18, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn(
+        "embedding", F.col("embedding").cast(f"array<{kind}>"))
+    got = [(r.vec_id, r.score) for r in multiindex.neighbours(df, every=100).orderBy("rank").collect()]
+    near = {"double": 1e-12, "decimal(38,18)": 1e-12, "float": float(np.float32(1e-12)), "int": 0.0}[kind]
+    assert got == [(1, near)] + [(3, 1.0)] * (kind != "int") + [(2, 5 ** 0.5)]
+
+
+def test_vectors_at_the_ends_of_doubles(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1e200, 3e180]), (2, [1e-200, 0.0]), (3, [-1.7e308, 0.0]), (4, [1e200, 1e-200])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in multiindex.neighbours(df, every=100).orderBy("rank").collect()]
+    assert got == [(4, 1e-200), (1, 3e180), (2, 1e200), (3, 1.7e308)]
+
+
+def test_samples_by_hash_are_the_least_ones(spark):
+    df = spark.range(20_000).withColumnRenamed("id", "fp")
+    want = [r.fp for r in df.orderBy(F.xxhash64("fp"), "fp").limit(300).collect()]
+    assert [r.fp for r in least_by_hash(df, "fp", 300, 20_000).collect()] == want
+    assert least_by_hash(df, "fp", 300, 20_000).count() == 300 and least_by_hash(df, "fp", 30_000, 20_000).count() == 20_000
+
+
 PAGE = """<!DOCTYPE html><html><head><title>x</title><script>var a = "</p>";</script></head>
 <body class="has-sidebar"><header><a href="/">Home</a> Site</header>
 <div id="nav"><ul><li><a href=a>One</a><li><a href=b>Two</a></ul></div>
@@ -384,10 +470,12 @@ def test_sentences_end_in_many_scripts(spark):
 def test_clashing_names_of_users(spark):
     df = spark.createDataFrame([(1, "a line of the user that is long enough", "x", "s")],
                                "doc_id bigint, text string, lang string, source string")
-    names = ("__w", "__l", "__symbols", "__doc", "__gone", "__done", "spans", "whole", "own", "its", "cuts")
+    names = ("__w", "__l", "__symbols", "__doc", "__gone", "__done", "spans", "whole", "own", "its", "cuts", "__times",
+             "__turn", "__mix_size", "__want_doc_id")
     for n in names:
         df = df.withColumn(n, F.lit("mine"))
-    for got in (quality.assess(df), lines.dedup_lines(df), credentials.redact(df), chunks.drop_repeats(df)):
+    for got in (quality.assess(df), lines.dedup_lines(df), credentials.redact(df), chunks.drop_repeats(df),
+                mixing.mix(df)):
         row = got.first().asDict()
         assert all(row[n] == "mine" for n in names)
 
