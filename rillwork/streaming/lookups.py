@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -115,14 +116,26 @@ def keep_latest(updates: DataFrame, table: BucketedTable, checkpoint: str, trigg
     return start(updates, run, checkpoint, trigger, name)
 
 
+@dataclass(frozen=True)
+class Segment:
+    """Cache entries that were written together; with more than one bucket, in a folder per bucket."""
+
+    path: str
+    rows: int
+    buckets: int
+    newest: datetime
+
+
 class CachedLookup:
     """A cache of found profiles with expiry, between the stream and the table.
 
     All rows of a micro-batch share one clock reading. A profile is good while
     now < fetch time + ttl; users without a good profile are looked up in the table; a miss is not
-    kept. Users are dealt into buckets by hash; a micro-batch reads the buckets of its users and
-    writes those in which something changed, each as a new version that drops expired entries. A
-    repeated batch reads the versions of the batches before it. A bucket's version before last is
+    kept. The profiles that a micro-batch fetches are a segment of their own. A segment at least half as large as the
+    one before is merged with it, without expired entries, so there are about log2(entries) segments and an
+    entry is rewritten about as often. Segments have a bucket per ``bucket_rows`` entries, users dealt by hash, and
+    a micro-batch reads the buckets of its users. A segment that has expired as a whole is dropped unread. A
+    repeated batch starts from the segments before it; folders that neither it nor the next batch can need are
     removed. After a restart the cache is empty and fills anew.
     """
 
@@ -131,50 +144,76 @@ class CachedLookup:
 
     def __init__(self, load: Load, ttl: timedelta, path: str,
                  clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
-                 buckets: int = 256):
-        self.load, self.ttl, self.clock, self.buckets = load, ttl, clock, buckets
+                 bucket_rows: int = 250_000):
+        self.load, self.ttl, self.clock, self.bucket_rows = load, ttl, clock, bucket_rows
         self.path = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
-        self._versions: dict[int, list[int]] = {}
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int")
-
-    def _folder(self, bucket: int, batch_id: int) -> str:
-        return f"{self.path}/batch={batch_id}/bucket={bucket}"
-
-    def _stored(self, spark: SparkSession, buckets: list[int], before: int) -> DataFrame:
-        found = []
-        for b in buckets:
-            older = [v for v in self._versions.get(b, []) if v < before]
-            found += [self._folder(b, older[-1])] if older else []
-        if not found:
-            return spark.createDataFrame([], self.SCHEMA)
-        return spark.read.schema(self.SCHEMA).parquet(*found)
+        self.written = 0
+        self._after: dict[int, list[Segment]] = {}
+
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
+
+    def _buckets_for(self, rows: int) -> int:
+        """A power of two, so that the bucket of a smaller segment follows from that of a larger one."""
+        return 1 << (-(-rows // self.bucket_rows) - 1).bit_length() if rows else 1
+
+    def _stored(self, spark: SparkSession, segments: list[Segment], touched: set[int] | None = None) -> DataFrame:
+        """Entries of the segments; of the buckets that ``touched`` ones fall into, if given."""
+        out = spark.createDataFrame([], self.SCHEMA)
+        for s in segments:
+            if s.buckets == 1:
+                out = out.unionByName(spark.read.schema(self.SCHEMA).parquet(s.path))
+                continue
+            rows = spark.read.schema(f"{self.SCHEMA}, bucket int").parquet(s.path)
+            if touched is not None:
+                rows = rows.where(F.col("bucket").isin(sorted({b % s.buckets for b in touched})))
+            out = out.unionByName(rows.drop("bucket"))
+        return out
+
+    def _written(self, rows: DataFrame, path: str, buckets: int, newest: datetime) -> Segment:
+        spark = rows.sparkSession
+        if buckets == 1:
+            rows.write.mode("overwrite").parquet(path)
+        else:
+            dealt = rows.withColumn("bucket", self._bucket(buckets)).repartition("bucket")
+            dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        count = spark.read.schema(self.SCHEMA).parquet(path).count()
+        self.written += count
+        return Segment(path, count, buckets, newest)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        spark = batch.sparkSession
-        now = F.lit(self.clock())
-        users = batch.select("user_id").where("user_id is not null").distinct().withColumn(
-            "bucket", self._bucket())
-        touched = sorted(r["bucket"] for r in users.select("bucket").distinct().collect())
-        good = self._stored(spark, touched, batch_id).where(F.col("fetched_at") > now - F.lit(self.ttl))
-        missing = users.join(good.select("user_id"), "user_id", "left_anti")
+        spark, now = batch.sparkSession, self.clock()
+        earlier = max((i for i in self._after if i < batch_id), default=None)
+        before = self._after.get(earlier, [])
+        live = [s for s in before if now < s.newest + self.ttl]
+        good = F.col("fetched_at") > F.lit(now) - F.lit(self.ttl)
+        users = batch.select("user_id").where("user_id is not null").distinct()
+        most = max((s.buckets for s in live), default=1)
+        touched = {r[0] for r in users.select(self._bucket(most)).distinct().collect()} if most > 1 else {0}
+        missing = users.join(self._stored(spark, live, touched).where(good), "user_id", "left_anti")
         wanted = self.load().select(*VERSION_COLS).join(missing, "user_id", "left_semi")
-        found = latest_profiles(wanted).select("user_id", now.alias("fetched_at"), *PROFILE_COLS)
-        new = f"{self.path}/new={batch_id}"
-        found.withColumn("bucket", self._bucket()).write.mode("overwrite").parquet(new)
-        fetched = spark.read.schema(f"{self.SCHEMA}, bucket int").parquet(new)
-        changed = sorted(r["bucket"] for r in fetched.select("bucket").distinct().collect())
-        if changed:
-            after = self._stored(spark, changed, batch_id).where(
-                F.col("fetched_at") > now - F.lit(self.ttl)).withColumn("bucket", self._bucket())
-            after.unionByName(fetched).write.mode("overwrite").partitionBy("bucket").parquet(
-                f"{self.path}/batch={batch_id}")
-        remove(spark, new)
-        for b in changed:
-            kept = [v for v in self._versions.get(b, []) if v < batch_id]
-            for v in kept[:-1]:
-                remove(spark, self._folder(b, v))
-            self._versions[b] = [*kept[-1:], batch_id]
-        return join_profiles(batch, self._stored(spark, touched, batch_id + 1).where(
-            F.col("fetched_at") > now - F.lit(self.ttl)))
+        found = latest_profiles(wanted).select("user_id", F.lit(now).alias("fetched_at"), *PROFILE_COLS)
+        new = self._written(found, f"{self.path}/new={batch_id}", 1, now)
+        kept, merged, rows = list(live), [], new.rows
+        while new.rows and kept and 2 * rows >= kept[-1].rows:
+            merged.append(kept.pop())
+            rows += merged[-1].rows
+        buckets = self._buckets_for(rows)
+        if merged or buckets > 1:
+            new = self._written(self._stored(spark, [*merged, new]).where(good), f"{self.path}/batch={batch_id}",
+                                buckets, now)
+        after = [*kept, new] if new.rows else kept
+        self._settle(spark, before, earlier, after, batch_id)
+        most = max((s.buckets for s in after), default=1)
+        touched = {r[0] for r in users.select(self._bucket(most)).distinct().collect()} if most > 1 else {0}
+        return join_profiles(batch, self._stored(spark, after, touched).where(good))
+
+    def _settle(self, spark: SparkSession, before: list[Segment], earlier: int | None, after: list[Segment],
+                batch_id: int) -> None:
+        """Note what the batch leaves, and remove what only batches before the last can have needed."""
+        known = {s.path for segments in self._after.values() for s in segments}
+        known |= {f"{self.path}/new={batch_id}"}
+        self._after = {batch_id: after} if earlier is None else {earlier: before, batch_id: after}
+        needed = {s.path for segments in self._after.values() for s in segments}
+        for path in known - needed:
+            remove(spark, path)

@@ -295,6 +295,30 @@ def test_cached_lookup(spark, tmp_path):
     assert seen(2) == ["A2", "B1"]      # the first entry has expired
 
 
+def test_cache_grows_by_merged_segments(spark, tmp_path):
+    """Rows written stay within a small multiple of the fetched ones, and buckets follow the entries."""
+    users = [f"u{i}" for i in range(320)]
+    stored = profile_rows(spark, [(u, u.upper(), "s", "d", at(0)) for u in users]).cache()
+    now = [datetime(2024, 1, 1, tzinfo=timezone.utc)]
+    cache = CachedLookup(lambda: stored, timedelta(minutes=60), str(tmp_path / "cache"), lambda: now[0], bucket_rows=40)
+    for i in range(8):
+        seen = users[40 * i:40 * i + 40] + users[:5]
+        ev = event_rows(spark, [(f"{i}-{u}", u, "t", None, at(0)) for u in seen])
+        for _ in range(1 + (i == 5)):  # one batch comes twice
+            got = {r.user_id: r.username for r in cache(ev, i).collect()}
+            assert got == {u: u.upper() for u in seen}
+        now[0] += timedelta(minutes=1)
+    segments = cache._after[7]
+    assert sum(s.rows for s in segments) == 320 and max(s.buckets for s in segments) == 8
+    assert cache.written <= 320 * 5 + 160
+    folders = {p.name for p in next((tmp_path / "cache").iterdir()).iterdir() if p.is_dir()}
+    assert folders == {s.path.rsplit("/", 1)[1] for i in (6, 7) for s in cache._after[i]}
+    now[0] += timedelta(minutes=60)  # all have expired: dropped unread
+    ev = event_rows(spark, [("x", "u1", "t", None, at(0)), ("y", "none", "t", None, at(0))])
+    assert {r.user_id: r.username for r in cache(ev, 8).collect()} == {"u1": "U1", "none": None}
+    assert [s.rows for s in cache._after[8]] == [1]
+
+
 def test_write_each_applies_a_lookup(spark, sf_dir, topic_dir, tmp_path):
     stored = tables.to_profile_rows(src.profile_table(spark, sf_dir)).rows
     rows = ps.parse_events(replay(spark, topic_dir["user-events"])).rows
