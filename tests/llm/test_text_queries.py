@@ -1,5 +1,6 @@
 """Registered text queries over whole tables: against DuckDB, or against plain versions."""
 
+import functools
 import math
 import re
 import zlib
@@ -7,10 +8,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import connect, difference
 from helpers_text import (WORD, brute_components, brute_fingerprint, brute_lines, brute_targets, sha)
+from rillwork.llm import language
 from rillwork.llm.queries import ORACLE, QUERIES, model_path
 
 
@@ -57,6 +60,76 @@ def test_language_id_by_held_out_accuracy(spark, sf_dir, docs):
     assert sum(held) >= 0.98 * len(held) > 0
 
 
+def plain_models(pieces):
+    """language -> word -> nats: interpolated Kneser-Ney in dictionaries, built from (lang, piece)."""
+    words = defaultdict(Counter)
+    for lang, piece in pieces:
+        words[lang].update(language.words_of(piece))
+    made = {}
+    for lang, counts in words.items():
+        raw, before = defaultdict(Counter), defaultdict(set)
+        for w, times in counts.items():
+            s = f" {w} "
+            for end in range(1, len(s)):
+                for k in range(1, min(language.ORDER, end + 1) + 1):
+                    gram = s[end - k + 1:end + 1]
+                    raw[k][gram] += times
+                    if end >= k:
+                        before[gram].add(s[end - k])
+        orders = {}
+        for k in range(1, language.ORDER + 1):
+            # Counts at the start of a word and in the highest order, else the number of preceding characters.
+            amount = {g: n if k == language.ORDER or k > 1 and g[0] == " " else len(before[g])
+                      for g, n in raw[k].items()}
+            ones, twos = (sum(a == x for a in amount.values()) for x in (1, 2))
+            discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+            total, taken = Counter(), Counter()
+            for g, a in amount.items():
+                total[g[:-1]] += a
+                taken[g[:-1]] += min(a, discount)
+            orders[k] = amount, discount, total, taken
+
+        def chance(s, end, orders=orders):
+            p = 1 / language.ALPHABET
+            for k in range(1, min(language.ORDER, end + 1) + 1):
+                amount, discount, total, taken = orders[k]
+                gram = s[end - k + 1:end + 1]
+                if gram[:-1] in total:
+                    a = amount.get(gram, 0)
+                    p = (a - min(a, discount) + taken[gram[:-1]] * p) / total[gram[:-1]]
+            return p
+
+        made[lang] = functools.cache(lambda w, chance=chance: -sum(
+            math.log(chance(f" {w} ", end)) for end in range(1, len(w) + 2)))
+    return made
+
+
+def test_language_id_equals_plain_models(spark, sf_dir, docs):
+    """Languages and cross-entropies of all documents, from dictionaries over the same training pieces."""
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    learned = [r for r in docs if r.lang is not None and r.text
+               and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    pieces = language.training_pieces(df.where(~language.held_out(F.col("doc_id")))).collect()
+    size = language.PIECE_CHARS
+    assert Counter((r.lang, r.piece) for r in pieces) == Counter(
+        (r.lang, r.text[i:i + size]) for r in learned for i in range(0, len(r.text), size))
+    held = Counter(r.lang for r in pieces if r.held)
+    assert held == {x: n // language.HELD for x, n in Counter(r.lang for r in pieces).items()}
+    models = plain_models([(r.lang, r.piece) for r in pieces if not r.held])
+    found = {r.doc_id: r.language for r in language.identify(df).select("doc_id", "language").collect()}
+    query = {r.doc_id: r.lang_pred for r in QUERIES["op3_language_id"](spark, sf_dir).collect()}
+    for r in docs:
+        split = language.words_of(r.text)
+        if not split:
+            assert query[r.doc_id] == language.UNKNOWN
+            continue
+        chars = sum(len(w) + 1 for w in split)
+        cost = sorted((sum(map(of, split)) / chars, lang) for lang, of in models.items())
+        assert math.isclose(found[r.doc_id].entropy, cost[0][0], rel_tol=1e-5)
+        if cost[1][0] - cost[0][0] > 1e-5:
+            assert query[r.doc_id] == found[r.doc_id].lang == cost[0][1]
+
+
 RULES = {"assign": (r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                     r"([A-Za-z0-9+/_.=-]+)", 2, 6),
          "access": (r"AKIA[A-Z0-9]+", 0, 20), "hex": (r"[0-9a-f]+", 0, 24)}
@@ -142,7 +215,10 @@ def test_html_extraction(spark, sf_dir):
         assert (found[p.page_id].text, found[p.page_id].n_chars) == (want, len(want))
 
 
-def test_neighbours(spark, sf_dir):
+@pytest.mark.parametrize("scale", ["0.001", "0.1"])
+def test_neighbours(spark, sf_dir, scale):
+    """Recall at two sizes: 500 and 2,000 vectors."""
+    sf_dir = sf_dir.replace("0.001", scale)
     vecs = {r.vec_id: np.array(r.embedding, float) for r in rows(spark, sf_dir, "embeddings")}
     found = defaultdict(list)
     for r in QUERIES["op10_ann"](spark, sf_dir).collect():
