@@ -235,3 +235,17 @@ def test_rerun_tasks_put_rows_in_the_same_part(spark):
     ev, pr = _events(spark), _products(spark)
     runs = [tuples(jn.left_join_in_window(ev.repartition(n), pr, hot_rows=1)) for n in (1, 5)]
     assert runs[0] == runs[1]
+
+
+def test_query_files_in_several_threads_read_their_own_inputs(spark):
+    """Each caller's rows carry its own number; all use the same view name."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def frame(n):
+        ev = event_rows(spark, [(f"e{i}", "u", f"t{n}", None, at(i)) for i in range(3)])
+        return sqlfile.run_single_input(spark, "event_counts.sql", ev)
+
+    with ThreadPoolExecutor(8) as pool:
+        frames = list(pool.map(frame, range(24)))
+    for n, df in enumerate(frames):
+        assert {r.event_type for r in df.collect()} == {f"t{n}"}
