@@ -36,12 +36,12 @@ def asof_join(events: DataFrame, versions: DataFrame, key: str, event_time: Colu
           .select("_key", "_t", F.struct(F.col("_t").alias("t"), "_v.*").alias("_v")))
     no_version = F.lit(None).cast(ve.schema["_v"].dataType)
     no_row = F.lit(None).cast(ev.schema["_row"].dataType)
-    ev, ve = _sliced(ev, ve, slice_width, hot_rows)
+    ev, ve, units = _sliced(ev, ve, slice_width, hot_rows)
 
     # One row per (key, slice) from each side. An event slice sorts before the versions of the same
     # slice, so the rows before it hold the versions of earlier slices only.
     unit = ["_key", "_slice", "_fine"]
-    marks = (ev.select(*unit).distinct().select(*unit, no_version.alias("_v"), F.lit(1).alias("_own"))
+    marks = (units.select(*unit, no_version.alias("_v"), F.lit(1).alias("_own"))
              .unionByName(ve.groupBy(*unit).agg(F.max("_v").alias("_v")).withColumn("_own", F.lit(0))))
     before = (Window.partitionBy("_key").orderBy("_slice", "_fine", F.col("_own").desc())
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -63,19 +63,31 @@ def asof_join(events: DataFrame, versions: DataFrame, key: str, event_time: Colu
 
 
 def _sliced(ev: DataFrame, ve: DataFrame, width: str, hot_rows: int | None
-            ) -> tuple[DataFrame, DataFrame]:
-    """Both sides with their slice and, in hot slices, the finer cut within it."""
+            ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both sides with their slice and, in hot slices, the finer cut within it; and the distinct
+    (key, slice, cut) of the events.
+
+    Events are counted once, per slice: the same shuffle gives the hot slices and the slices that stay
+    whole. Only events of hot slices are gone through again for their finer cuts; if no slice is hot,
+    adaptive execution leaves that out.
+    """
     span = window_of(F.col("_t"), width)
     start, end = F.unix_micros(span["start"]), F.unix_micros(span["end"])
     ev, ve = (df.withColumns({"_slice": span["start"], "_width": end - start,
                               "_past": F.unix_micros("_t") - start}) for df in (ev, ve))
+    at = ["_key", "_slice"]
     if hot_rows is None:
-        return tuple(df.withColumn("_fine", F.lit(0)) for df in (ev, ve))
-    both = ev.select("_key", "_slice").unionByName(ve.select("_key", "_slice"))
-    hot = (both.groupBy("_key", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+        return (*(df.withColumn("_fine", F.lit(0)) for df in (ev, ve)),
+                ev.select(*at).distinct().withColumn("_fine", F.lit(0)))
+    counted, versions = (df.groupBy(*at).agg(F.count(F.lit(1)).alias("_n")) for df in (ev, ve))
+    hot = (counted.unionByName(versions).groupBy(*at).agg(F.sum("_n").alias("_n"))
            .where(F.col("_n") > hot_rows)
-           .select("_key", "_slice", F.ceil(F.col("_n") / hot_rows).alias("_parts")))
+           .select(*at, F.ceil(F.col("_n") / hot_rows).alias("_parts")))
     hot = F.broadcast(hot)  # an entry per ``hot_rows`` rows, see ``skew``
-    fine = F.coalesce(F.floor(F.col("_past") * F.col("_parts") / F.col("_width")), F.lit(0)).cast("int")
-    return tuple(df.join(hot, ["_key", "_slice"], "left").withColumn("_fine", fine)
-                 for df in (ev, ve))
+    fine = F.floor(F.col("_past") * F.col("_parts") / F.col("_width"))
+    cut = fine.cast("int").alias("_fine")
+    # The count is read here too, so that both uses are one shuffle.
+    whole = counted.where("_n > 0").join(hot, at, "left_anti").select(*at, F.lit(0).alias("_fine"))
+    finer = ev.join(hot, at).select(*at, cut).distinct()
+    return (*(df.join(hot, at, "left").withColumn("_fine", F.coalesce(fine, F.lit(0)).cast("int"))
+              for df in (ev, ve)), whole.unionByName(finer))
