@@ -8,7 +8,7 @@ from pyspark.sql import Observation, functions as F
 
 from helpers import at, event, event_rows, messages, product_rows, profile_rows, tuples
 from rillwork.operators import (aggregate as agg, inspect as look, join as jn, lookup as lk,
-                                sqlfile)
+                                skew, sqlfile)
 from rillwork.operators.asof import asof_join
 from rillwork.sources import synth
 
@@ -230,6 +230,18 @@ def test_adaptive_execution_splits_a_hot_product(spark, tmp_path):
             spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("events, repeated", [(300, 300 * 4), (2, 2 * 20)])
+def test_events_of_hot_groups_are_repeated_in_proportion_to_the_input(spark, monkeypatch, events, repeated):
+    """40 products of a group make 20 parts; many events are repeated ``spread`` times, few once per part."""
+    sides, split = [], skew.split_right
+    monkeypatch.setattr(skew, "split_right", lambda *a: sides.append(split(*a)) or sides[-1])
+    ev = event_rows(spark, [(f"e{i}", "u", "t", "p", at(i % 60)) for i in range(events)])
+    pr = product_rows(spark, [("p", f"n{i}", 1.0, "c", at(i)) for i in range(40)])
+    joined = jn.left_join_in_window(ev, pr, hot_rows=2)
+    assert sides[0][0].count() == repeated
+    assert joined.count() == joined.distinct().count() == events * 40
+
+
 def test_rerun_tasks_put_rows_in_the_same_part(spark):
     """Parts come from row content, so two runs of the same plan agree."""
     ev, pr = _events(spark), _products(spark)
