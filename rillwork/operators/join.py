@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from rillwork.functions import copy_block, parse_date, window_of
@@ -88,15 +90,16 @@ def left_join_in_window(events: DataFrame, products: DataFrame, width: str = "1
 
 def join_in_window(events: DataFrame, products: DataFrame, width: str = "1 minute",
                    delay: str | None = None, hot_rows: int | None = skew.HOT_ROWS,
-                   spread: int = 4) -> DataFrame:
+                   spread: int = 4, keep: Sequence[str] = ()) -> DataFrame:
     """Events with the product updates of their window.
 
-    The product id comes from the product side: an unmatched event has none.
+    The product id comes from the product side: an unmatched event has none. ``keep`` names event columns to carry
+    along: a lookup per event belongs before this join, which may give many rows per event.
     """
     joined = left_join_in_window(events, products, width, delay, hot_rows, spread)
     return joined.select("event_id", "user_id", "event_type",
                          F.col("event_time").alias("event_timestamp"),
-                         *[F.col(_P + c).alias(c) for c in PRODUCT_COLS])
+                         *[F.col(_P + c).alias(c) for c in PRODUCT_COLS], *keep)
 
 
 def join_profiles(events: DataFrame, profiles: DataFrame, spread: int = 1) -> DataFrame:
@@ -121,10 +124,12 @@ def three_way(events: DataFrame, products: DataFrame, profiles: DataFrame,
               delay: str | None = None, spread: int = 4) -> DataFrame:
     """Events as they are, plus product and profile columns; the event keeps its own product id.
 
-    ``delay`` and ``spread`` are for streams, see :func:`left_join_in_window`.
+    Profiles are joined first: events are shuffled and sorted by user, not their matches, of which there may be
+    many per event. ``delay`` and ``spread`` are for streams, see :func:`left_join_in_window`.
     """
-    joined = left_join_in_window(events, products, width, delay, hot_rows, spread)
-    out = join_profiles(joined, profiles, spread if joined.isStreaming else 1)
+    streaming = events.isStreaming or products.isStreaming
+    known = join_profiles(events, profiles, spread if streaming else 1)
+    out = left_join_in_window(known, products, width, delay, hot_rows, spread)
     return out.select(*events.columns, F.col(_P + "product_name").alias("product_name"),
                       F.col(_P + "category").alias("category"), "username", "user_segment")
 

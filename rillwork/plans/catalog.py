@@ -275,7 +275,8 @@ def join_events_products_split(spark, sf):
 
 
 def _enriched(spark, sf, width):
-    rows = lk.enrich_static(_joined(spark, sf, width), stored_rows_of(spark, sf))
+    known = lk.enrich_static(event_rows_of(spark, sf), stored_rows_of(spark, sf))
+    rows = jn.join_in_window(known, product_rows_of(spark, sf), width, keep=jn.PROFILE_COLS)
     return jn.enriched_records(rows).drop("processing_time")
 
 

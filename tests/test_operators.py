@@ -10,6 +10,7 @@ from helpers import at, event, event_rows, messages, product_rows, profile_rows,
 from rillwork.operators import (aggregate as agg, inspect as look, join as jn, lookup as lk,
                                 skew, sqlfile)
 from rillwork.operators.asof import asof_join
+from rillwork.plans.catalog import BATCH
 from rillwork.sources import synth
 
 SLOW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
@@ -62,6 +63,16 @@ def test_three_way_keeps_own_product_id(spark):
     assert ("e2", "p2") in ids and ("e3", None) in ids
 
 
+def test_profiles_are_joined_to_events_not_to_their_matches(spark, sf_dir):
+    three = jn.three_way(_events(spark), _products(spark), agg.latest_profiles(profile_rows(spark, [
+        ("u1", "n", "s", "d", at(0))])))
+    for df in (three, *(BATCH[q](spark, sf_dir) for q in (
+            "enriched_events", "enriched_three_way", "enriched_three_way_latest"))):
+        joins = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+                 if "Join LeftOuter" in line]
+        assert "_kproduct_id" in joins[0]  # the outermost
+
+
 @SLOW
 @given(seed=st.integers(0, 10_000), hot_rows=st.integers(1, 6))
 def test_split_join_equals_brute_force(spark, seed, hot_rows):
