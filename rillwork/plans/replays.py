@@ -36,7 +36,8 @@ REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 SLICE = 10
 DELAY = f"{SLICE + 1} days"
-#: Files of a slice, and of a micro-batch: one slice after the other.
+#: Least files of a slice, and of a micro-batch: one slice after the other. A file is written and read by one
+#: task, so there are as many as cores.
 FILES_PER_TRIGGER = 4
 CLOSING = {
     "user-events": {"event_id": "end", "user_id": "end", "event_type": "end", "product_id": "end"},
@@ -67,6 +68,7 @@ class _Replay:
         self.first, self.last = first or datetime(2000, 1, 1), last or datetime(2000, 1, 1)
         self.end = self.last + timedelta(days=2 * (SLICE + 1))
         self.stored: set[str] = set()
+        self.files = max(FILES_PER_TRIGGER, spark.sparkContext.defaultParallelism)
 
     def path(self, name: str) -> str:
         return f"{self.dir}/{name}"
@@ -76,7 +78,7 @@ class _Replay:
         if name not in self.stored:
             self._store(name)
             self.stored.add(name)
-        return topics.replay_stream(spark, self.path(name), maxFilesPerTrigger=str(FILES_PER_TRIGGER))
+        return topics.replay_stream(spark, self.path(name), maxFilesPerTrigger=str(self.files))
 
     def _store(self, name: str) -> None:
         messages = MESSAGES[name](self.spark, self.sf_dir)
@@ -84,7 +86,7 @@ class _Replay:
         while start <= self.last:  # by days of the data, not by rows
             end = start + timedelta(days=SLICE)
             part = messages.where((F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(end)))
-            part.repartition(FILES_PER_TRIGGER, "offset").write.mode("append").parquet(self.path(name))
+            part.repartition(self.files, "offset").write.mode("append").parquet(self.path(name))
             start = end
         value = json.dumps({**CLOSING[name], "timestamp": self.end.isoformat()})
         closing = self.spark.range(1).select(

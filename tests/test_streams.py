@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from helpers import at, event, event_rows, messages, profile_rows, tuples
 from rillwork import schemas as S
 from rillwork.operators import aggregate as agg, join as jn, lookup as lk, parse as ps
-from rillwork.plans import inputs as src
+from rillwork.plans import inputs as src, replays
 from rillwork.plans.jobs import BranchedJob, MultiTopicJob, TemplateJob, wait
 from rillwork.sources import tables, topics
 from rillwork.streaming import sinks
@@ -443,3 +443,12 @@ def test_broker_options():
     assert opts == {"kafka.bootstrap.servers": "h:9092", "subscribe": "a,b",
                     "startingOffsets": "earliest", "groupIdPrefix": "g",
                     "maxOffsetsPerTrigger": "10"}
+
+
+def test_slices_of_a_replay_are_dealt_over_all_cores(spark, sf_dir):
+    r = replays._Replay(spark, sf_dir, "dealt")
+    r._store("user-events")
+    rows = spark.read.parquet(r.path("user-events")).where(F.col("timestamp") <= F.lit(r.last))
+    slices = F.floor(F.datediff("timestamp", F.lit(r.first)) / replays.SLICE)
+    files = rows.select(slices.alias("slice"), F.input_file_name().alias("file")).distinct()
+    assert all(n >= max(4, spark.sparkContext.defaultParallelism) for _, n in files.groupBy("slice").count().collect())
