@@ -5,12 +5,16 @@ rather than with another. Two states may become one if their steps, their ends a
 after them look alike. The last test keeps formats: after ten of forty characters thirty are left, after eleven
 twenty-nine, so a fixed length stays a chain of states however thin the tree is there, while a run of any
 length folds into a loop.
+
+The tree may come with equal states already drawn together (:func:`counted_tree`), so that counts of any number of
+strings make one of bounded size.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 #: Characters of one class are equally likely; any other character is a class of its own.
@@ -20,6 +24,11 @@ SIZE_OF = {chars[0]: len(chars) for chars in CLASSES}
 #: Confidence of the compatibility test, visits below which a state proves nothing, and the chance of a
 #: step that no training string took.
 ALPHA, LEAST_VISITS, UNSEEN = 0.05, 5, 1e-4
+#: Places in a string that counts tell apart; those from here on are one, and so are the lengths left.
+DEEP = 256
+#: Pairs by which each class is taken to occur more often than seen, so that a few strings do not make what
+#: follows a rare class likely.
+THIN = 16
 #: Log chance of a character that ordinary text never has there.
 OTHER = math.log(0.1 / 128)
 
@@ -36,6 +45,14 @@ class State:
     left: Counter = field(default_factory=Counter)  # lengths of what follows
     steps: Counter = field(default_factory=Counter)
     to: dict[str, State] = field(default_factory=dict)
+    into: State | None = None  # the state that this one has become a part of
+
+
+def whole(state: State) -> State:
+    """The state that a state is a part of by now."""
+    while state.into is not None:
+        state = state.into
+    return state
 
 
 def prefix_tree(texts: list[str]) -> State:
@@ -53,6 +70,51 @@ def prefix_tree(texts: list[str]) -> State:
     return root
 
 
+def places(shape: str, common: set[str]) -> Iterator[str]:
+    """The states that a string of classes passes: its prefixes while they are common, then the last common
+    prefix with the place in the string, which stops at ``DEEP``, and the class before."""
+    n = 0
+    while n < len(shape) and shape[:n + 1] in common:
+        n += 1
+    for i in range(len(shape) + 1):
+        yield shape[:i] if i <= n else f"{shape[:n]} {min(i, DEEP)} {shape[i - 1]}"
+
+
+def count_places(shapes: Iterable[str], common: set[str]) -> Counter:
+    """How often (state, class of the step or None, length of what is left or None) occurs."""
+    seen: Counter = Counter()
+    for shape in shapes:
+        for i, state in enumerate(places(shape, common)):
+            seen[state, None, min(len(shape) - i, DEEP)] += 1
+            if i < len(shape):
+                seen[state, shape[i], None] += 1
+    return seen
+
+
+def counted_tree(counts: Iterable[tuple[str, str | None, int | None, int]], common: set[str]) -> State:
+    """The start state of a tree from sums of :func:`count_places`, an (…, count) each."""
+    states: dict[str, State] = {}
+
+    def state(name):
+        at = name.split(" ")
+        return states.setdefault(name, State(len(name) if len(at) == 1 else int(at[1])))
+
+    start = state("")
+    for name, c, left, n in sorted(counts, key=lambda x: (x[0], x[1] or "", x[2] or 0)):
+        one = state(name)
+        if c is None:
+            one.visits += n
+            one.left[left] += n
+            one.ends += n if left == 0 else 0
+        else:
+            prefix, *tail = name.split(" ")
+            follower = name + c if not tail and name + c in common else (
+                f"{prefix} {min(one.depth + 1, DEEP)} {c}")
+            one.steps[c] += n
+            one.to[c] = state(follower)
+    return start
+
+
 def differ(f1: int, n1: int, f2: int, n2: int) -> bool:
     """Whether two observed frequencies are too far apart to be one (Hoeffding's bound)."""
     bound = math.sqrt(0.5 * math.log(2 / ALPHA)) * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
@@ -76,10 +138,13 @@ def lengths_differ(a: State, b: State) -> bool:
 
 
 def compatible(a: State, b: State) -> bool:
-    """Whether two states, and all that follows them, look alike. ``b`` is the root of a tree."""
-    pairs = [(a, b)]
+    """Whether two states, and all that follows them, look alike."""
+    pairs, seen = [(a, b)], set()
     while pairs:
-        a, b = pairs.pop()
+        a, b = map(whole, pairs.pop())
+        if a is b or (id(a), id(b)) in seen:
+            continue
+        seen.add((id(a), id(b)))
         if lengths_differ(a, b):
             return False
         if min(a.visits, b.visits) < LEAST_VISITS:
@@ -93,11 +158,16 @@ def compatible(a: State, b: State) -> bool:
     return True
 
 
-def fold(into: State, tree: State) -> None:
-    """Add the tree's counts to a state and its followers."""
+def fold(into: State, tree: State, settled: set[int]) -> None:
+    """Make two states one, and their followers. Of two the settled one stays."""
     pairs = [(into, tree)]
     while pairs:
-        a, b = pairs.pop()
+        a, b = map(whole, pairs.pop())
+        if a is b:
+            continue
+        if id(b) in settled and id(a) not in settled:
+            a, b = b, a
+        b.into = a
         a.visits += b.visits
         a.ends += b.ends
         a.steps.update(b.steps)
@@ -120,31 +190,36 @@ class Automaton:
 
     @classmethod
     def learned(cls, texts: list[str]) -> Automaton:
+        return cls.merged(prefix_tree(sorted(texts)))
+
+    @classmethod
+    def merged(cls, start: State) -> Automaton:
         """Settled states are kept. Of the states that follow one the most visited is merged into a compatible
         settled state, if there is one (of its own depth first, then the most visited), or else is settled."""
-        settled = [prefix_tree(sorted(texts))]
-        known = {id(settled[0])}
+        settled = [start]
+        known = {id(start)}
         while True:
-            new = max(((t.visits, -t.depth, -n, s, c, t) for n, s in enumerate(settled)
-                       for c, t in sorted(s.to.items()) if id(t) not in known), default=None, key=lambda x: x[:3])
+            new = max(((t.visits, -t.depth, -n, t) for n, s in enumerate(settled)
+                       for _, f in sorted(s.to.items()) if id(t := whole(f)) not in known), default=None,
+                      key=lambda x: x[:3])
             if new is None:
                 break
-            parent, c, tree = new[3:]
+            tree = new[3]
             match = max((s for s in settled if compatible(s, tree)), default=None,
                         key=lambda s: (s.depth == tree.depth, s.visits))
             if match is None:
                 settled.append(tree)
                 known.add(id(tree))
             else:
-                parent.to[c] = match
-                fold(match, tree)
+                fold(match, tree, known)
+                settled = [s for s in settled if s.into is None]
         number = {id(s): i for i, s in enumerate(settled)}
-        steps = [{c: (math.log(s.steps[c] / s.visits / SIZE_OF.get(c, 1)), number[id(t)])
+        steps = [{c: (math.log(s.steps[c] / s.visits / SIZE_OF.get(c, 1)), number[id(whole(t))])
                   for c, t in s.to.items()} for s in settled]
         taken: dict[str, Counter] = {}
         for s in settled:
             for c, t in s.to.items():
-                taken.setdefault(c, Counter())[number[id(t)]] += s.steps[c]
+                taken.setdefault(c, Counter())[number[id(whole(t))]] += s.steps[c]
         others = {c: (math.log(UNSEEN), max(n, key=lambda i: (n[i], -i))) for c, n in taken.items()}
         return cls(steps, [math.log(max(s.ends / max(s.visits, 1), UNSEEN)) for s in settled], others)
 
@@ -172,10 +247,15 @@ class Background:
         seen: Counter = Counter()
         for text in texts:
             seen.update(zip(["", *classes(text)], text))
+        return cls.counted(seen)
+
+    @classmethod
+    def counted(cls, seen: dict[tuple[str, str], int]) -> Background:
+        """From how often a character follows a class."""
         total: Counter = Counter()
         for (before, _), n in seen.items():
             total[before] += n
-        return cls({k: math.log(0.9 * n / total[k[0]] + 0.1 / 128) for k, n in seen.items()})
+        return cls({k: math.log(0.9 * n / (total[k[0]] + THIN) + 0.1 / 128) for k, n in seen.items()})
 
     @classmethod
     def even(cls, chars: str) -> Background:

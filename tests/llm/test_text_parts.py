@@ -237,3 +237,51 @@ def test_few_ordinary_tokens_do_not_switch_the_method_off(spark):
     rows = [(i, f"token={key()}") for i in range(40)] + [(99, f"x {key()} y")]
     got = credentials.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert [s.kind for r in got if r.doc_id == 99 for s in r.spans] == ["format"]
+
+
+def test_formats_are_learned_from_all_values(spark):
+    """States and limits come from every value and token: counts of far more than a sample would hold, whole long
+    values, and the same result however the rows are dealt."""
+    import math
+    import zlib
+    from rillwork.llm import credentials
+    rng = random.Random(11)
+    pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    keys = ["zk_" + pick("0123456789", 12) for _ in range(3000)] + ["X" + pick("XYZ", 300) for _ in range(20)]
+    words = [pick("etaoinshrdlu", rng.randint(6, 20)) for _ in range(6000)]
+    rows = [(f"token={k} {w}",) for k, w in itertools.zip_longest(keys, words, fillvalue="longer")]
+    df = spark.createDataFrame(rows, "text string")
+    formats, again = (credentials.train(df.repartition(n)) for n in (3, 7))
+    trained = [k for k in [*keys, "longer"] if zlib.crc32(k.encode()) % credentials.HELD]
+    model = formats.automata[0]
+    assert model == again.automata[0] and formats.limits == again.limits
+    assert formats.background == again.background
+    start = {c: math.exp(chance) for c, (chance, _) in model.steps[0].items()}
+    long = [k for k in trained if k[0] == "X"]
+    share = len(long) / len(trained)
+    assert long and start == pytest.approx({"g": (1 - share) / 20, "G": share / 20})  # classes of 20 letters
+    tokens = spark.createDataFrame([(w,) for w in words], "value string").repartition(5)
+    assert credentials.unclaimed(tokens, formats, [math.inf]) == credentials.Background.learned(words)
+    gain = lambda x: model.log_chance(x) + len(x) * math.log(20)
+    assert gain(long[0]) > gain(long[0][:150]) + 3  # places from DEEP on are one
+    ratios = [r[0] for r in map(formats.ratios, keys[:50])]
+    codes, s, e = credentials.placed(keys[:50])
+    assert formats.ratios_of(codes, s, e)[0] == pytest.approx(ratios)
+
+
+def test_counts_make_the_tree_of_the_strings():
+    """Counted in one piece or in many, and as far as prefixes are common the same states as the tree."""
+    from rillwork.llm.automata import classes, count_places, counted_tree
+    rng = random.Random(12)
+    texts = ["ab-" + "".join(rng.choice("0123456789XYZ") for _ in range(rng.choice([4, 9]))) for _ in range(400)]
+    shapes = ["".join(classes(t)) for t in texts]
+    common = {s[:i] for s in shapes for i in range(len(s) + 1)}
+    rows = lambda counts: [(*k, n) for k, n in counts.items()]
+    whole = Automaton.merged(counted_tree(rows(count_places(shapes, common)), common))
+    assert whole == Automaton.learned(texts)
+    some = {s for s in common if len(s) < 5}
+    parts = count_places(shapes[:100], some)
+    parts.update(count_places(shapes[100:], some))
+    assert Automaton.merged(counted_tree(rows(parts), some)) == Automaton.merged(
+        counted_tree(rows(count_places(shapes, some)), some))
+    assert sum(parts["", None, n] for n in range(20)) == len(texts)
