@@ -417,7 +417,8 @@ def sql_file_join(spark, sf):
 
 @query
 def sql_file_three_way(spark, sf):
+    """The text joins profiles to all matches: a hash table of a partition's profiles spares a sort of those."""
     return sqlfile.run_sql_file(spark, "events_products_profiles.sql", {
         "user_events": _placed(event_rows_of(spark, sf), "event_time"),
         "product_updates": _placed(product_rows_of(spark, sf), "timestamp"),
-        "user_profiles": agg.latest_profiles(stored_rows_of(spark, sf))})
+        "user_profiles": agg.latest_profiles(stored_rows_of(spark, sf)).hint("shuffle_hash")})

@@ -283,3 +283,15 @@ def test_query_files_in_several_threads_read_their_own_inputs(spark):
         frames = list(pool.map(frame, range(24)))
     for n, df in enumerate(frames):
         assert {r.event_type for r in df.collect()} == {f"t{n}"}
+
+
+def test_three_way_text_does_not_sort_the_matches(spark, sf_dir):
+    """Many matches per event reach the profile join; only the two sides of the window join are sorted for one."""
+    from rillwork.plans.catalog import BATCH
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = BATCH["sql_file_three_way"](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("ShuffledHashJoin [user_id") == 1 and "SortMergeJoin [user_id" not in plan
