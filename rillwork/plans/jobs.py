@@ -127,7 +127,8 @@ class MultiTopicJob(_TopicJob):
     def start(self, spark: SparkSession) -> list[StreamingQuery]:
         """Profiles are read once, when enrichment starts. ``refresh_seconds`` renews them while
         the job runs. ``lookup`` (any object of ``streaming.lookups``) takes their place: it is called
-        with each micro-batch."""
+        with each micro-batch. Profiles that are never renewed meet the events before the window join, which may
+        give many rows per event."""
         spark = apply_defaults(spark)
         mode, running = self.mode, []
         if self.user_profiles_table and self.user_profiles_topic:
@@ -139,19 +140,18 @@ class MultiTopicJob(_TopicJob):
                 and self.user_profiles_topic):
             events = ps.parse_events(self._topic(spark, self.user_events_topic), mode)
             products = ps.parse_products(self._topic(spark, self.product_updates_topic), mode)
-            joined = jn.join_in_window(events.rows, products.rows, self.width, self.delay,
-                                       spread=self.spread)
             load = lambda: tables.to_profile_rows(
                 tables.table_scan(spark, self.user_profiles_table)).rows
-            if self.lookup is None and self.refresh_seconds is None:
-                dim = RefreshingLookup(load, None).dimension()
-                rows = jn.enriched_records(jn.join_profiles(joined, dim, self.spread))
-                running.append(self._append(rows, self.enriched_events_table, S.ENRICHED_EVENTS,
-                                            "enriched_events"))
+            lookup = self.lookup or RefreshingLookup(load, self.refresh_seconds)
+            join = lambda rows, keep: jn.join_in_window(rows, products.rows, self.width, self.delay,
+                                                        spread=self.spread, keep=keep)
+            if isinstance(lookup, RefreshingLookup) and lookup.every is None:
+                known = jn.join_profiles(events.rows, lookup.dimension(), self.spread)
+                running.append(self._append(jn.enriched_records(join(known, jn.PROFILE_COLS)),
+                                            self.enriched_events_table, S.ENRICHED_EVENTS, "enriched_events"))
             else:
-                lookup = self.lookup or RefreshingLookup(load, self.refresh_seconds)
                 running.append(sinks.write_each(
-                    joined, lambda df, i: jn.enriched_records(lookup(df, i)),
+                    join(events.rows, ()), lambda df, i: jn.enriched_records(lookup(df, i)),
                     self.enriched_events_table, f"{self.checkpoint}/enriched_events",
                     S.ENRICHED_EVENTS, S.PARTITION_BY["enriched_events"], self.trigger,
                     "enriched_events"))

@@ -4,10 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import at, event, messages, tuples
-from rillwork.operators import blocks, join as jn, parse as ps
+from rillwork.operators import blocks, join as jn, lookup as lk, parse as ps
+from rillwork.plans import inputs as src
 from rillwork.plans.catalog import BATCH
+from rillwork.plans.jobs import MultiTopicJob, wait
 from rillwork.sources import topics
 from rillwork.streaming import sinks
+from rillwork.streaming.lookups import RefreshingLookup
 
 
 @pytest.mark.parametrize("name", ["join_events_products_1d", "join_events_products_split"])
@@ -53,3 +56,26 @@ def test_a_stream_joins_blocks_of_rows(spark, tmp_path, marked):
     assert tuples(got) == tuples(jn.left_join_in_window(*parsed, "1 hour", hot_rows=None))
     kept = sum(s.numRowsUpdated for p in q.recentProgress for s in p.stateOperators)
     assert 0 < kept < (60 if marked else 30)
+
+
+def test_profiles_that_stay_meet_events_not_pairs(spark, sf_dir, tmp_path):
+    class Fixed(RefreshingLookup):
+        def __call__(self, batch, batch_id):
+            raise AssertionError("called with the pairs of a micro-batch")
+
+    made = {"user-events": src.event_messages, "product-updates": src.product_messages,
+            "user-profiles": src.profile_messages}
+    for name, fn in made.items():
+        fn(spark, sf_dir).coalesce(1).write.parquet(str(tmp_path / name))
+    parsed = [ps.parse_events(src.event_messages(spark, sf_dir)).rows,
+              ps.parse_products(src.product_messages(spark, sf_dir)).rows,
+              ps.parse_profiles(src.profile_messages(spark, sf_dir)).rows]
+    wait(MultiTopicJob(
+        user_events_topic="user-events", product_updates_topic="product-updates", user_profiles_topic="user-profiles",
+        enriched_events_table=str(tmp_path / "out"), width="1 hour", checkpoint=str(tmp_path / "cp"),
+        trigger=sinks.AVAILABLE_NOW, lookup=Fixed(lambda: parsed[2], None),
+        open_topic=lambda s, t: topics.replay_stream(s, str(tmp_path / t))).start(spark))
+    want = jn.enriched_records(lk.enrich_static(jn.join_in_window(*parsed[:2], "1 hour"), parsed[2]))
+    matched = spark.read.parquet(str(tmp_path / "out")).select(want.columns).where("product_id is not null")
+    assert tuples(matched.drop("processing_time")) == tuples(
+        want.where("product_id is not null").drop("processing_time")) != []
